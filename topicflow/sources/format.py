@@ -1,0 +1,359 @@
+"""``format("topicflow")`` for readers and writers that go by a short name.
+
+Spark plans the files as partitions and runs the reads and writes on executors; here each
+partition is moved between Parquet and Arrow batches. There is no session inside a Python
+data source, so delivery state is limited to what a directory listing can tell: a batch read
+looks at the whole topic and acknowledges nothing, a stream acknowledges whole files. For
+leases and bounded pulls use :func:`topicflow.pull_messages`.
+"""
+
+from __future__ import annotations
+
+import json
+import time
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark.sql import SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    DataSourceStreamArrowWriter,
+    DataSourceStreamReader,
+    InputPartition,
+    WriterCommitMessage,
+)
+
+from topicflow.options import Subscription, Topic, normalize, required
+from topicflow.schema import ENVELOPE_SCHEMA
+
+#: Bytes of Parquet read by one task.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+#: What a written frame must hold: the result of ``to_messages``.
+MESSAGE_SCHEMA = pa.schema(
+    [
+        ("message_id", pa.string()),
+        ("data", pa.binary()),
+        ("attributes", pa.map_(pa.string(), pa.string())),
+        ("publish_time", pa.timestamp("us", "UTC")),
+    ]
+)
+
+
+def register_format(spark: SparkSession) -> None:
+    """Make ``format("topicflow")`` known to a session.
+
+    The classes travel to executors by value, so the package need not be installed there.
+    """
+    import topicflow
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(topicflow)
+    spark.dataSource.register(TopicDataSource)
+
+
+def _located(path: str) -> tuple[pafs.FileSystem, str]:
+    """The Arrow file system of a path, and the path as that file system names it."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path.removeprefix("file:")
+    if "://" in path:
+        return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    return pafs.LocalFileSystem(), path
+
+
+def _is_there(files: pafs.FileSystem, path: str) -> bool:
+    return files.get_file_info(path).type != pafs.FileType.NotFound
+
+
+class TopicDataSource(DataSource):
+    """Options ``root`` and ``topic``; ``subscription`` to read; ``publish_id`` to name a write."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "topicflow"
+
+    def schema(self) -> T.StructType:
+        return ENVELOPE_SCHEMA
+
+    def _check(self, schema: T.StructType) -> dict:
+        if schema.simpleString() != ENVELOPE_SCHEMA.simpleString():
+            raise ValueError("The message schema is fixed; decode the payload instead")
+        return normalize(self.options)
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return TopicReader(Subscription.of(self._check(schema)))
+
+    def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
+        return TopicStreamReader(Subscription.of(self._check(schema)))
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
+        if overwrite:
+            raise ValueError("A topic is append-only and cannot be overwritten; use a new topic")
+        topic, options = self._target(schema)
+        return TopicWriter(topic, options.get("publish_id") or uuid.uuid4().hex)
+
+    def streamWriter(self, schema: T.StructType, overwrite: bool) -> DataSourceStreamArrowWriter:
+        topic, options = self._target(schema)
+        return TopicStreamWriter(topic, required(options, "checkpoint"))
+
+    def _target(self, schema: T.StructType) -> tuple[Topic, dict]:
+        if sorted(schema.names) != sorted(MESSAGE_SCHEMA.names):
+            raise ValueError(f"Write the result of to_messages: {MESSAGE_SCHEMA.names}")
+        options = normalize(self.options)
+        return Topic.of(options), options
+
+
+@dataclass
+class FileSlices(InputPartition):
+    """Byte ranges of files; a row group belongs to the range it starts in."""
+
+    slices: list[tuple[str, int, int]]
+    offset: int
+
+
+def _topic_files(topic: Topic) -> list[tuple[str, int]]:
+    """Path (below the topic) and size of every visible Parquet file."""
+    files, base = _located(topic.path)
+    selector = pafs.FileSelector(base, recursive=True, allow_not_found=True)
+    return sorted(
+        (info.path.removeprefix(base).lstrip("/"), info.size)
+        for info in files.get_file_info(selector)
+        if info.is_file and info.path.endswith(".parquet") and info.base_name[0] not in "._"
+    )
+
+
+def _split(found: list[tuple[str, int]], offset: int) -> list[FileSlices]:
+    """Even work: small files share a partition, a large one is cut."""
+    partitions, current, room = [], [], PARTITION_BYTES
+    for path, size in found:
+        start = 0
+        while start < size:
+            end = min(size, start + room)
+            current.append((path, start, end))
+            room -= end - start
+            start = end
+            if room == 0:
+                partitions.append(FileSlices(current, offset))
+                current, room = [], PARTITION_BYTES
+    if current:
+        partitions.append(FileSlices(current, offset))
+    return partitions
+
+
+def _attributes_text(attributes: pa.MapArray) -> pa.Array:
+    """``{k=v, k2=v2}`` for every row of a map column."""
+    if isinstance(attributes, pa.ChunkedArray):
+        attributes = attributes.combine_chunks()
+    pairs = pc.binary_join_element_wise(attributes.keys, attributes.items, "=")
+    lists = pa.ListArray.from_arrays(attributes.offsets, pairs)
+    joined = pc.fill_null(pc.binary_join(lists, ", "), "")
+    return pc.binary_join_element_wise("{", joined, "}", "")
+
+
+def _envelopes(table: pa.RecordBatch, subscription: str, offset: int) -> pa.RecordBatch:
+    rows = table.num_rows
+    published = pc.floor_temporal(table["publish_time"], unit="millisecond")
+    columns = [
+        pa.repeat(pa.scalar(subscription, pa.string()), rows),
+        pa.repeat(pa.scalar(offset, pa.int64()), rows),
+        table["data"],
+        published.cast(pa.timestamp("ms", "UTC")).cast(pa.int64()),
+        pa.repeat(pa.scalar(time.time_ns() // 1_000_000, pa.int64()), rows),
+        _attributes_text(table["attributes"]),
+        table["message_id"],
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=ENVELOPE_SCHEMA.names)
+
+
+def _read_slices(sub: Subscription, partition: FileSlices) -> Iterator[pa.RecordBatch]:
+    files, base = _located(sub.topic.path)
+    for path, start, end in partition.slices:
+        with files.open_input_file(f"{base}/{path}") as source:
+            parquet = pq.ParquetFile(source)
+            groups = [
+                i
+                for i in range(parquet.metadata.num_row_groups)
+                if start <= _group_start(parquet.metadata.row_group(i)) < end
+            ]
+            if groups:
+                for batch in parquet.iter_batches(row_groups=groups, columns=MESSAGE_SCHEMA.names):
+                    yield _envelopes(batch, sub.name, partition.offset)
+
+
+def _group_start(group: pq.RowGroupMetaData) -> int:
+    column = group.column(0)
+    first = column.data_page_offset
+    return min(first, column.dictionary_page_offset) if column.has_dictionary_page else first
+
+
+class TopicReader(DataSourceReader):
+    """Every message of the topic; ``offset`` is -1."""
+
+    def __init__(self, sub: Subscription):
+        self.sub = sub
+
+    def partitions(self) -> list[FileSlices]:
+        return _split(_topic_files(self.sub.topic), -1)
+
+    def read(self, partition: FileSlices) -> Iterator[pa.RecordBatch]:
+        return _read_slices(self.sub, partition)
+
+
+class TopicStreamReader(DataSourceStreamReader):
+    """New files of the topic, with a plain counter as offset.
+
+    Each call that finds new files records their names under the next number in the state of
+    the subscription before it returns the number, so a replayed offset names the same files.
+    One stream at a time may use a subscription.
+    """
+
+    def __init__(self, sub: Subscription):
+        self.sub = sub
+        self.seen: set[str] = set()
+        self.count = 0
+
+    def _recorded(self, number: int) -> list[tuple[str, int]] | None:
+        files, path = _located(f"{self.sub.state_path}/found/{number}.json")
+        if not _is_there(files, path):
+            return None
+        with files.open_input_stream(path) as stream:
+            return [(name, size) for name, size in json.loads(stream.read())]
+
+    def _record(self, number: int, found: list[tuple[str, int]]) -> None:
+        files, path = _located(f"{self.sub.state_path}/found/{number}.json")
+        files.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        unfinished = f"{path}.{uuid.uuid4().hex}"
+        with files.open_output_stream(unfinished) as stream:
+            stream.write(json.dumps(found).encode())
+        files.move(unfinished, path)
+
+    def initialOffset(self) -> dict:
+        return {"offset": 0}
+
+    def latestOffset(self) -> dict:
+        while (known := self._recorded(self.count + 1)) is not None:
+            self.seen.update(path for path, _ in known)
+            self.count += 1
+        fresh = [found for found in _topic_files(self.sub.topic) if found[0] not in self.seen]
+        if fresh:
+            self._record(self.count + 1, fresh)
+            self.seen.update(path for path, _ in fresh)
+            self.count += 1
+        return {"offset": self.count}
+
+    def partitions(self, start: dict, end: dict) -> list[FileSlices]:
+        numbers = range(start["offset"] + 1, end["offset"] + 1)
+        found = [entry for number in numbers for entry in self._recorded(number) or []]
+        return _split(found, end["offset"])
+
+    def read(self, partition: FileSlices) -> Iterator[pa.RecordBatch]:
+        return _read_slices(self.sub, partition)
+
+    def commit(self, end: dict) -> None:
+        """Acknowledge the files up to ``end``: Spark calls this once their batch is done."""
+        for number in range(end["offset"], 0, -1):
+            files, target = _located(f"{self.sub.file_acks}/ack_id=found-{number}/part-0.parquet")
+            if _is_there(files, target):
+                break
+            found = self._recorded(number) or []
+            named = [path.removeprefix("publish_id=").split("/", 1) for path, _ in found]
+            table = pa.table(
+                {
+                    "subscription": pa.array([self.sub.name] * len(named), pa.string()),
+                    "publish_id": pa.array([publish_id for publish_id, _ in named], pa.string()),
+                    "file_name": pa.array([name for _, name in named], pa.string()),
+                    "acked_at": pa.array([time.time_ns() // 1_000_000] * len(named), pa.int64()),
+                }
+            )
+            directory = target.rsplit("/", 1)[0]
+            files.create_dir(directory, recursive=True)
+            unfinished = f"{directory}/_{uuid.uuid4().hex}"
+            with files.open_output_stream(unfinished) as stream:
+                pq.write_table(table, stream)
+            files.move(unfinished, target)
+
+
+@dataclass
+class WrittenFile(WriterCommitMessage):
+    """The staged file a task wrote, or None if it got no rows."""
+
+    path: str | None
+
+
+def _write_file(batches: Iterator[pa.RecordBatch], staging: str) -> WrittenFile:
+    """One staged Parquet file from the rows of one task; nothing is visible yet."""
+    files, directory = _located(staging)
+    path, writer, stream = f"{directory}/part-{uuid.uuid4().hex}.parquet", None, None
+    try:
+        for batch in batches:
+            if writer is None:
+                files.create_dir(directory, recursive=True)
+                stream = files.open_output_stream(path)
+                writer = pq.ParquetWriter(stream, MESSAGE_SCHEMA)
+            table = pa.Table.from_batches([batch]).select(MESSAGE_SCHEMA.names)
+            writer.write_table(table.cast(MESSAGE_SCHEMA))
+    finally:
+        if writer is not None:
+            writer.close()
+            stream.close()
+    return WrittenFile(path if writer is not None else None)
+
+
+def _publish_files(
+    topic: Topic, publish_id: str, messages: list[WriterCommitMessage | None]
+) -> None:
+    """Make the files of the successful tasks visible together, unless the publish is there.
+
+    What failed attempts left is removed with their staging directory.
+    """
+    files, target = _located(topic.publish_path(publish_id))
+    written = [message.path for message in messages if message is not None and message.path]
+    if not _is_there(files, target):
+        _, staging = _located(topic.staging)
+        ready = f"{staging}/{uuid.uuid4().hex}"
+        files.create_dir(ready, recursive=True)
+        for path in written:
+            files.move(path, f"{ready}/{path.rsplit('/', 1)[1]}")
+        files.create_dir(target.rsplit("/", 1)[0], recursive=True)
+        files.move(ready, target)
+    for directory in {path.rsplit("/", 1)[0] for path in written}:
+        files.delete_dir(directory)
+
+
+class TopicWriter(DataSourceArrowWriter):
+    """A batch write: one publish."""
+
+    def __init__(self, topic: Topic, publish_id: str):
+        self.topic, self.publish_id = topic, publish_id
+        self.staging = f"{topic.staging}/{uuid.uuid4().hex}"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFile:
+        return _write_file(iterator, self.staging)
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        _publish_files(self.topic, self.publish_id, messages)
+
+
+class TopicStreamWriter(DataSourceStreamArrowWriter):
+    """A stream write: one publish per micro-batch, named by the query and the batch."""
+
+    def __init__(self, topic: Topic, checkpoint: str):
+        self.topic, self.checkpoint = topic, checkpoint
+        self.staging = f"{topic.staging}/{uuid.uuid4().hex}"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFile:
+        return _write_file(iterator, self.staging)
+
+    def commit(self, messages: list[WriterCommitMessage | None], batchId: int) -> None:
+        files, path = _located(f"{self.checkpoint}/metadata")
+        with files.open_input_stream(path) as stream:
+            query_id = json.loads(stream.read())["id"]
+        _publish_files(self.topic, f"{query_id}-{batchId}", messages)

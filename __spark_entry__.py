@@ -46,7 +46,6 @@ from topicflow.plans.jobs import (  # noqa: E402
 )
 from topicflow.schema import ENVELOPE_SCHEMA, LEASE_SCHEMA  # noqa: E402
 from topicflow.sources.format import register_format  # noqa: E402
-from topicflow.sources.topic import with_file_name  # noqa: E402
 from topicflow.storage import modified_at, shared_scratch  # noqa: E402
 
 #: The instant of every pull below, epoch ms.
@@ -143,7 +142,7 @@ def _keys_of_type(
     """Keys (with file) of the messages whose event has the given type."""
     events = _table(spark, sf_dir, "events").where(F.col("event_type") == event_type)
     ids = events.select(F.col("event_id").cast("string").alias("message_id"))
-    stored = with_file_name(read_topic(spark, sub.topic))
+    stored = read_topic(spark, sub.topic, file_names=True)
     stored = stored.select("publish_id", "message_id", "file_name")
     return stored.join(ids, "message_id", "left_semi")
 

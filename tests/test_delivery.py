@@ -1,0 +1,255 @@
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from topicflow import (
+    Subscription,
+    Topic,
+    ack_pull,
+    backlog,
+    eligible,
+    has_backlog,
+    publish,
+    pull_messages,
+    read_messages,
+    read_topic,
+)
+from topicflow.operators import delivery
+from topicflow.operators.delivery import ack_files, ack_keys, lease, read_acks, read_leases
+from topicflow.operators.maintenance import compact_acks, drop_expired_leases, drop_stale_staging
+from topicflow.storage import find, list_dirs
+
+NOW = 1_000_000
+
+
+def fill(spark, root, first, last, publish_id, parts=2):
+    """Messages named by zero-padded numbers, one ms apart."""
+    df = spark.range(first, last, 1, parts).select(
+        F.lpad(F.col("id").cast("string"), 6, "0").alias("m"),
+        F.timestamp_millis(F.col("id")).alias("t"),
+    )
+    publish(
+        df, root=root, topic="t", publish_id=publish_id,
+        payload="m", message_id="m", publish_time="t",
+    )
+
+
+@pytest.fixture
+def options(spark, root):
+    fill(spark, root, 0, 20, "a")
+    fill(spark, root, 20, 30, "b")
+    return {"root": root, "topic": "t", "subscription": "s"}
+
+
+@pytest.fixture
+def sub(options):
+    return Subscription.of(options)
+
+
+def numbers(df):
+    return sorted(int(r.message_id) for r in df.select("message_id").collect())
+
+
+def keys(spark, sub, *chosen):
+    names = [f"{n:06d}" for n in chosen]
+    rows = read_topic(spark, sub.topic, file_names=True).where(F.col("message_id").isin(names))
+    return rows.select("publish_id", "message_id", "file_name")
+
+
+def test_peek_takes_the_oldest_ten_and_changes_nothing(spark, options, sub):
+    for _ in range(2):
+        assert numbers(read_messages(spark, **options)) == list(range(10))
+    assert read_acks(spark, sub) is None and read_leases(spark, sub) is None
+
+
+def test_pull_hides_messages_until_the_lease_ends(spark, options, sub):
+    first = pull_messages(spark, as_of=NOW, **options)
+    assert numbers(first.messages) == list(range(10))
+    second = pull_messages(spark, as_of=NOW + 1, max_messages=5, **options)
+    assert numbers(second.messages) == list(range(10, 15))
+    assert numbers(eligible(spark, sub, NOW + 2)) == list(range(15, 30))
+    assert numbers(eligible(spark, sub, NOW + 240_000)) == [*range(10), *range(15, 30)]
+    assert numbers(eligible(spark, sub, NOW + 240_001)) == list(range(30))
+
+
+def test_unacked_messages_come_again_acked_ones_do_not(spark, options, sub):
+    first = pull_messages(spark, as_of=NOW, lease_seconds=1, **options)
+    again = pull_messages(spark, as_of=NOW + 1000, lease_seconds=1, **options)
+    assert numbers(again.messages) == numbers(first.messages)
+    again.ack()
+    later = pull_messages(spark, as_of=NOW + 10_000, **options)
+    assert numbers(later.messages) == list(range(10, 20))
+
+
+def test_pull_is_pinned(spark, root, options):
+    pull = pull_messages(spark, as_of=NOW, **options)
+    messages = pull.messages
+    older = spark.sql("select 'x' as m, timestamp_millis(-5L) as t")
+    publish(older, root=root, topic="t", payload="m", message_id="m", publish_time="t")
+    assert numbers(messages) == list(range(10)) == numbers(pull.messages)
+    pull.ack()
+    assert [r.message_id for r in read_messages(spark, max_messages=1, **options).collect()] == ["x"]
+
+
+def test_same_pull_id_returns_the_same_set(spark, options, sub):
+    one = pull_messages(spark, pull_id="job-1", as_of=NOW, **options)
+    one.ack()
+    two = pull_messages(spark, pull_id="job-1", as_of=NOW + 999_999, **options)
+    assert numbers(one.messages) == numbers(two.messages)
+    two.ack()
+    assert read_acks(spark, sub).count() == 10
+
+
+def test_ack_by_pull_id_and_unknown_pull(spark, options, sub):
+    pull_messages(spark, pull_id="p", as_of=NOW, **options)
+    ack_pull(spark, sub, "p")
+    assert numbers(read_acks(spark, sub)) == list(range(10))
+    with pytest.raises(ValueError, match="No pull"):
+        ack_pull(spark, sub, "q")
+
+
+def test_ack_on_read_stays_readable(spark, options):
+    first = read_messages(spark, ack="on_read", **options)
+    second = read_messages(spark, ack="on_read", **options)
+    assert numbers(first) == numbers(first) == list(range(10))
+    assert numbers(second) == list(range(10, 20))
+    with pytest.raises(ValueError, match="on_read"):
+        read_messages(spark, ack="later", **options)
+
+
+def test_subscriptions_are_independent(spark, options):
+    read_messages(spark, ack="on_read", max_messages=30, **options)
+    assert read_messages(spark, **options).isEmpty()
+    assert numbers(read_messages(spark, **{**options, "subscription": "z"})) == list(range(10))
+
+
+def test_empty_topic(spark, root):
+    options = {"root": root, "topic": "none", "subscription": "s"}
+    assert read_messages(spark, **options).isEmpty()
+    pull = pull_messages(spark, **options)
+    assert pull.messages.isEmpty()
+    pull.ack()
+    sub = Subscription.of(options)
+    assert not has_backlog(spark, sub)
+    row = backlog(spark, sub).first()
+    assert (row.messages, row.oldest_publish_timestamp) == (0, None)
+
+
+def test_backlog(spark, options, sub):
+    ack_keys(keys(spark, sub, *range(0, 12)), sub, ack_id="x")
+    row = backlog(spark, sub, NOW).first()
+    assert (row.subscription, row.messages, row.oldest_publish_timestamp) == ("s", 18, 12)
+    assert has_backlog(spark, sub, NOW)
+
+
+def test_every_combination_of_state(spark, options, sub):
+    """never / live / expired / twice leased, each acked or not."""
+    lease(spark, sub, keys(spark, sub, 1, 2, 11, 12), pull_id="live", as_of=NOW)
+    lease(spark, sub, keys(spark, sub, 2, 3, 12, 13), pull_id="old", as_of=NOW - 300_000)
+    ack_keys(keys(spark, sub, 10, 11, 12, 13), sub, ack_id="x")
+    open_now = set(numbers(eligible(spark, sub, NOW)))
+    acked = set(numbers(read_acks(spark, sub)))
+    leased = set(numbers(read_leases(spark, sub).where(F.col("lease_until") > NOW))) - acked
+    assert open_now == set(range(30)) - {1, 2, 10, 11, 12, 13}
+    assert acked | open_now | leased == set(range(30))
+    for x, y in itertools.combinations((acked, open_now, leased), 2):
+        assert not x & y
+
+
+def test_same_id_in_two_publishes_is_two_messages(spark, root, options, sub):
+    fill(spark, root, 0, 1, "c")
+    first = pull_messages(spark, max_messages=2, as_of=NOW, **options)
+    assert numbers(first.messages) == [0, 0]
+    ack_keys(keys(spark, sub, 0).where("publish_id = 'a'"), sub, ack_id="x")
+    assert eligible(spark, sub, NOW + 10**9).where("message_id = '000000'").count() == 1
+
+
+@pytest.mark.parametrize("n", [1, 7, 29, 30, 31, 1000])
+def test_large_pulls_take_exactly_the_oldest(spark, options, sub, monkeypatch, n):
+    monkeypatch.setattr(delivery, "TOP_N_ROWS", 0)
+    ack_keys(keys(spark, sub, 3), sub, ack_id="x")
+    expected = [i for i in range(30) if i != 3][:n]
+    assert numbers(read_messages(spark, max_messages=n, **options)) == expected
+    pull = pull_messages(spark, max_messages=n, as_of=NOW, **options)
+    assert numbers(pull.messages) == expected
+
+
+def test_large_pull_with_one_publish_time(spark, root, monkeypatch):
+    """All messages tie on time: ranges must still be cut exactly."""
+    monkeypatch.setattr(delivery, "TOP_N_ROWS", 0)
+    publish(spark.range(5000).repartition(3), root=root, topic="t", as_of=5, publish_id="p")
+    options = {"root": root, "topic": "t", "subscription": "s"}
+    seen = set()
+    for _ in range(3):
+        pull = pull_messages(spark, max_messages=1700, as_of=NOW, **options)
+        got = {r.message_id for r in pull.messages.collect()}
+        assert not got & seen
+        seen |= got
+    assert len(seen) == 5000
+
+
+def test_max_messages_must_be_positive(spark, options):
+    with pytest.raises(ValueError, match="positive"):
+        read_messages(spark, max_messages=0, **options)
+
+
+def test_file_acks_cover_whole_files(spark, options, sub):
+    rows = keys(spark, sub, *range(20)).select("publish_id", "file_name").distinct().collect()
+    first = min(rows, key=lambda r: r.file_name)
+    ack_files(spark, sub, [(first.publish_id, first.file_name)], ack_id="f")
+    assert numbers(eligible(spark, sub, NOW)) == list(range(10, 30))
+    assert "file_name" not in eligible(spark, sub, NOW).columns
+    assert numbers(pull_messages(spark, as_of=NOW, **options).messages) == list(range(10, 20))
+
+
+class TestCompaction:
+    def test_complete_publishes_are_retired(self, spark, root, options, sub):
+        ack_keys(keys(spark, sub, *range(0, 13)), sub, ack_id="one")
+        ack_keys(keys(spark, sub, *range(12, 25)), sub, ack_id="two")
+        before = numbers(eligible(spark, sub, NOW))
+        assert compact_acks(spark, sub) == ["a"]
+        assert numbers(eligible(spark, sub, NOW)) == before == list(range(25, 30))
+        assert len(list_dirs(spark, sub.acks)) == 1
+        assert numbers(read_acks(spark, sub)) == list(range(20, 25))
+        assert compact_acks(spark, sub) == []
+        fill(spark, root, 30, 35, "c")
+        assert numbers(eligible(spark, sub, NOW)) == list(range(25, 35))
+
+    def test_file_acks_count(self, spark, options, sub):
+        rows = keys(spark, sub, *range(20)).select("publish_id", "file_name").distinct().collect()
+        for i, r in enumerate(rows):
+            ack_files(spark, sub, [(r.publish_id, r.file_name)], ack_id=f"f{i}")
+        assert compact_acks(spark, sub) == ["a"]
+        assert numbers(eligible(spark, sub, NOW)) == list(range(20, 30))
+
+    def test_retired_publishes_are_not_scanned(self, spark, options, sub):
+        ack_keys(keys(spark, sub, *range(20)), sub, ack_id="one")
+        compact_acks(spark, sub)
+        plan = eligible(spark, sub, NOW)._jdf.queryExecution().toString()
+        assert "NOT (publish_id" in plan.split("PartitionFilters")[1].split("]")[0]
+
+    def test_nothing_to_do(self, spark, options, sub):
+        assert compact_acks(spark, sub) == []
+
+    def test_expired_leases_go_after_a_while(self, spark, options, sub):
+        pull_messages(spark, pull_id="old", as_of=NOW, lease_seconds=1, **options)
+        pull_messages(spark, pull_id="new", as_of=NOW + 5000, lease_seconds=1, **options)
+        gone = drop_expired_leases(spark, sub, keep_seconds=1, as_of=NOW + 3000)
+        assert gone == [f"lease_until={NOW + 1000}"]
+        assert len(find(spark, f"{sub.leases}/*/pull_id=*")) == 1
+
+    def test_stale_staging(self, spark, root, options, sub):
+        topic = Topic(root, "t")
+        spark.range(1).write.parquet(f"{topic.staging}/crashed")
+        assert drop_stale_staging(spark, topic) == []
+        assert drop_stale_staging(spark, topic, older_than_seconds=-10) == [
+            f"{topic.staging}/crashed"
+        ]
+        assert read_topic(spark, topic).count() == 30
+
+
+def test_scratch_of_large_pulls_is_removed(spark, options, sub, monkeypatch):
+    monkeypatch.setattr(delivery, "TOP_N_ROWS", 0)
+    pull_messages(spark, max_messages=7, **options)
+    assert list_dirs(spark, sub.staging) == []

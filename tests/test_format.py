@@ -1,0 +1,153 @@
+import pytest
+from pyspark.sql import functions as F
+
+from topicflow import (
+    ENVELOPE_SCHEMA,
+    Subscription,
+    Topic,
+    await_query,
+    eligible,
+    publish,
+    read_topic,
+    to_envelope,
+    to_messages,
+)
+from topicflow.sources import format as topic_format
+from topicflow.sources.format import register_format
+from topicflow.storage import list_dirs
+
+
+@pytest.fixture
+def options(spark, root):
+    register_format(spark)
+    return {"root": root, "topic": "t", "subscription": "s"}
+
+
+def fill(spark, root, first, last, parts=3):
+    df = spark.range(first, last, 1, parts).select(
+        F.col("id").cast("string").alias("m"),
+        F.when(F.col("id") % 2 == 0, F.create_map(F.lit("k"), F.col("id").cast("string"), F.lit("z"), F.lit("é"))).alias("a"),
+        F.timestamp_micros(F.col("id") * 777 - 1000).alias("t"),
+    )
+    publish(
+        df, root=root, topic="t", payload="m", message_id="m", attributes="a", publish_time="t"
+    )
+
+
+def load(spark, options):
+    return spark.read.format("topicflow").options(**options).load()
+
+
+def test_batch_read_equals_the_native_scan(spark, root, options):
+    fill(spark, root, 0, 50)
+    got = load(spark, options)
+    assert [(f.name, f.dataType) for f in got.schema] == [
+        (f.name, f.dataType) for f in ENVELOPE_SCHEMA
+    ]
+    native = to_envelope(read_topic(spark, Topic(root, "t")), "s").drop("event_timestamp")
+    got = got.drop("event_timestamp")
+    assert got.count() == 50
+    assert got.exceptAll(native).isEmpty() and native.exceptAll(got).isEmpty()
+
+
+def test_large_files_are_cut_and_small_ones_share_a_task():
+    cut = topic_format._split([("a", 250), ("b", 10), ("c", 0)], 3)
+    assert [p.slices for p in cut] == [[("a", 0, 250), ("b", 0, 10)]] and cut[0].offset == 3
+    topic_format.PARTITION_BYTES, before = 100, topic_format.PARTITION_BYTES
+    try:
+        cut = topic_format._split([("a", 250), ("b", 10)], 3)
+    finally:
+        topic_format.PARTITION_BYTES = before
+    assert [p.slices for p in cut] == [
+        [("a", 0, 100)],
+        [("a", 100, 200)],
+        [("a", 200, 250), ("b", 0, 10)],
+    ]
+
+
+def test_slices_read_each_row_group_once(spark, root, options):
+    fill(spark, root, 0, 2000, parts=1)
+    sub = Subscription.of(options)
+    [(path, size)] = topic_format._topic_files(sub.topic)
+    for step in (size, 97, 1000):
+        rows = 0
+        for start in range(0, size, step):
+            part = topic_format.FileSlices([(path, start, start + step)], -1)
+            rows += sum(b.num_rows for b in topic_format._read_slices(sub, part))
+        assert rows == 2000
+
+
+def test_empty_topic(spark, options):
+    assert load(spark, options).count() == 0
+
+
+def test_missing_option_and_custom_schema(spark, root, options):
+    with pytest.raises(Exception, match="subscription is required"):
+        load(spark, {"root": root, "topic": "t"}).count()
+    with pytest.raises(Exception, match="schema is fixed"):
+        spark.read.schema("a int").format("topicflow").options(**options).load().count()
+
+
+def test_known_option_spellings(spark, root, options):
+    fill(spark, root, 0, 3)
+    reader = spark.read.format("topicflow")
+    reader = reader.option("projectId", root).option("topicId", "t").option("subscriptionId", "q")
+    assert {r.subscription for r in reader.load().collect()} == {"q"}
+
+
+def test_batch_write(spark, root, options):
+    messages = to_messages(spark.range(0, 100, 1, 4), "w")
+    for _ in range(2):
+        writer = messages.write.format("topicflow").mode("append")
+        writer.options(root=root, topic="t", publish_id="w").save()
+    rows = read_topic(spark, Topic(root, "t")).select("message_id", "data").collect()
+    assert sorted(rows) == sorted(messages.select("message_id", "data").collect())
+    assert len(rows) == 100
+    with pytest.raises(Exception, match="append-only"):
+        messages.write.format("topicflow").mode("overwrite").options(root=root, topic="t").save()
+    with pytest.raises(Exception, match="result of to_messages"):
+        spark.range(1).write.format("topicflow").mode("append").options(root=root, topic="t").save()
+
+
+def test_failed_write_shows_nothing(spark, root, options):
+    broken = spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") == 99, F.raise_error("boom")).otherwise(F.col("id"))
+    )
+    with pytest.raises(Exception, match="boom"):
+        writer = to_messages(broken, "w").write.format("topicflow").mode("append")
+        writer.options(root=root, topic="t").save()
+    assert list_dirs(spark, Topic(root, "t").path) == []
+
+
+def run(spark, root, options):
+    stream = spark.readStream.format("topicflow").options(**options).load()
+    query = stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/cp")
+    assert await_query(query.trigger(availableNow=True).start(f"{root}/out"), 120)
+
+
+def test_stream_read_counts_offsets_and_acknowledges(spark, root, options):
+    fill(spark, root, 0, 10)
+    run(spark, root, options)
+    run(spark, root, options)
+    fill(spark, root, 10, 15)
+    run(spark, root, options)
+    out = spark.read.parquet(f"{root}/out")
+    counts = {r.offset: r["count"] for r in out.groupBy("offset").count().collect()}
+    assert counts == {1: 10, 2: 5}
+    assert out.select("message_id").distinct().count() == 15
+    # a batch is acknowledged when the next one is planned
+    assert eligible(spark, Subscription.of(options)).count() in (0, 5)
+
+
+def test_stream_write_names_publishes_by_query_and_batch(spark, root, options, tmp_path):
+    fill(spark, root, 0, 10)
+    source = str(tmp_path / "src")
+    to_messages(spark.range(10), "x").write.parquet(source)
+    messages = spark.read.parquet(source)
+    stream = spark.readStream.schema(messages.schema).parquet(source)
+    writer = stream.writeStream.format("topicflow").options(root=root, topic="u")
+    writer = writer.option("checkpointLocation", f"{root}/cp").trigger(availableNow=True)
+    query = writer.start()
+    assert await_query(query, 120)
+    rows = read_topic(spark, Topic(root, "u")).collect()
+    assert len(rows) == 10 and {r.publish_id for r in rows} == {f"{query.id}-0"}

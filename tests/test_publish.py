@@ -1,0 +1,144 @@
+import pytest
+from pyspark.sql import functions as F
+
+from topicflow import Topic, publish, read_topic, to_messages
+from topicflow.operators import publish as publishing
+from topicflow.storage import list_dirs, write_once
+
+
+def stored(spark, root, topic="t"):
+    return read_topic(spark, Topic(root, topic))
+
+
+def payloads(df):
+    return sorted(bytes(r.data).decode() for r in df.collect())
+
+
+def test_every_row_becomes_a_message(spark, root):
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "n int, s string")
+    assert publish(df, root=root, topic="t") is df
+    rows = stored(spark, root)
+    assert payloads(rows) == ["[1,a]", "[2,null]", "[2,null]"]
+    assert rows.select("message_id").distinct().count() == 3
+    assert all(r.attributes == {} for r in rows.collect())
+
+
+def test_same_publish_id_publishes_once(spark, root):
+    publish(spark.range(5), root=root, topic="t", publish_id="007")
+    publish(spark.range(9), root=root, topic="t", publish_id="007")
+    publish(spark.range(2), root=root, topic="t", publish_id="7")
+    counts = stored(spark, root).groupBy("publish_id").count().collect()
+    assert {r.publish_id: r["count"] for r in counts} == {"007": 5, "7": 2}
+    assert list_dirs(spark, Topic(root, "t").staging) == []
+
+
+def test_without_publish_id_every_call_publishes(spark, root):
+    publish(spark.range(5), root=root, topic="t")
+    publish(spark.range(5), root=root, topic="t")
+    rows = stored(spark, root)
+    assert rows.count() == 10
+    assert rows.select("message_id").distinct().count() == 10
+
+
+def test_losing_a_race_leaves_the_winner_alone(spark, root):
+    """The rename refuses an existing directory; it must not move into it."""
+    from topicflow import storage
+
+    target, staging = f"{root}/topics/t/publish_id=x", f"{root}/_staging/t"
+    spark.range(3).write.parquet(f"{staging}/late")
+    assert write_once(spark.range(4), target, staging)
+    assert not storage._rename_if_absent(spark, f"{staging}/late", target)
+    assert list_dirs(spark, target) == []
+    assert spark.read.parquet(target).count() == 4
+
+
+def test_failed_publish_shows_nothing(spark, root):
+    broken = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error("boom")).otherwise("x"))
+    with pytest.raises(Exception, match="boom"):
+        publish(broken, root=root, topic="t", publish_id="p")
+    assert list_dirs(spark, Topic(root, "t").path) == []
+    publish(spark.range(3), root=root, topic="t", publish_id="p")
+    assert stored(spark, root).count() == 3
+
+
+def test_columns_as_message_parts(spark, root):
+    df = spark.sql(
+        "select 'id-1' as i, 'né' as body, map('k', 'v') as a, "
+        "timestamp_ntz'2024-01-02 03:04:05.123456' as t"
+    )
+    publish(
+        df, root=root, topic="t", payload="body", attributes="a", publish_time="t", message_id="i"
+    )
+    row = stored(spark, root).select("*", F.unix_micros("publish_time").alias("us")).first()
+    assert (row.message_id, bytes(row.data).decode(), row.attributes) == ("id-1", "né", {"k": "v"})
+    assert row.us == 1704164645123456
+
+
+def test_payload_column_must_be_bytes_or_text(spark):
+    with pytest.raises(ValueError, match="binary or string"):
+        to_messages(spark.range(1), "p", payload="id")
+
+
+def test_one_stamp_per_publish(spark, root):
+    publish(spark.range(1000).repartition(7), root=root, topic="t")
+    assert stored(spark, root).select("publish_time").distinct().count() == 1
+    publish(spark.range(1), root=root, topic="u", as_of=1234)
+    assert stored(spark, root, "u").select(F.unix_millis("publish_time")).first()[0] == 1234
+
+
+def test_empty_frame(spark, root):
+    publish(spark.range(0), root=root, topic="t", publish_id="none")
+    assert stored(spark, root).count() == 0
+    assert list_dirs(spark, Topic(root, "t").path) == ["publish_id=none"]
+
+
+def test_chunking_does_not_change_results(spark, root):
+    publish(spark.range(100).coalesce(1), root=root, topic="t", max_records_per_file=10)
+    rows = stored(spark, root)
+    assert rows.count() == 100
+    assert rows.select(F.input_file_name()).distinct().count() == 10
+
+
+class TestContentIds:
+    def frame(self, spark, parts):
+        """A payload with a third of all rows, some with a few copies, many single ones."""
+        ids = spark.range(0, 3000, 1, parts)
+        key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, F.col("id") % 50 + 1)
+        return ids.select(F.coalesce(key, F.col("id") + 1000).alias("k"))
+
+    def ids(self, spark, parts, **options):
+        messages = to_messages(self.frame(spark, parts), "p", ids="content", **options)
+        rows = messages.select("message_id", F.col("data").cast("string").alias("d")).collect()
+        return sorted((r.message_id, r.d) for r in rows)
+
+    def test_every_row_has_its_own_id(self, spark):
+        rows = self.ids(spark, 3)
+        assert len(rows) == 3000 == len({i for i, _ in rows})
+
+    def test_ids_do_not_depend_on_partitioning_or_clock(self, spark):
+        assert self.ids(spark, 1) == self.ids(spark, 7, as_of=1)
+
+    def test_many_copies_are_cut_into_blocks(self, spark, monkeypatch):
+        whole = self.ids(spark, 3)
+        monkeypatch.setattr(publishing, "COPIES_PER_TASK", 7)
+        assert self.ids(spark, 3) == whole
+
+    def test_ids_differ_by_publish_attributes_and_time(self, spark):
+        df = spark.sql(
+            "select 'x' as d, map('a', v) as m, timestamp_millis(t) as t "
+            "from values ('1', 1L), ('2', 1L), ('1', 2L) as r(v, t)"
+        )
+        options = {"payload": "d", "attributes": "m", "publish_time": "t", "ids": "content"}
+        one = {r.message_id for r in to_messages(df, "p", **options).collect()}
+        two = {r.message_id for r in to_messages(df, "q", **options).collect()}
+        assert len(one) == len(two) == 3 and not one & two
+
+    def test_null_and_empty_payload_keep_their_rows(self, spark):
+        df = spark.createDataFrame([(None,), ("",), (None,)], "d string")
+        rows = to_messages(df, "p", payload="d", ids="content").collect()
+        assert [r.data is None for r in rows].count(True) == 2
+        assert len({r.message_id for r in rows}) == 3
+
+    def test_unknown_kind(self, spark):
+        with pytest.raises(ValueError, match="position"):
+            to_messages(spark.range(1), "p", ids="random")

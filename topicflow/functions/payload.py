@@ -92,7 +92,7 @@ def row_text(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
 
 def row_payload(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """The row text as UTF-8 bytes."""
-    return F.encode(row_text(df, columns), "UTF-8")
+    return row_text(df, columns).cast("binary")
 
 
 def decode_payload(

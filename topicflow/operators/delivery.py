@@ -33,7 +33,7 @@ from topicflow.schema import (
     LEASE_SCHEMA,
     RETIRED_SCHEMA,
 )
-from topicflow.sources.topic import read_topic, read_topic_files, with_file_name
+from topicflow.sources.topic import read_topic, read_topic_files
 from topicflow.storage import delete, exists, find, write_once
 
 #: Oldest first; with the key no two messages tie.
@@ -103,9 +103,8 @@ def eligible(
 
 
 def _waiting(spark: SparkSession, sub: Subscription, now: int, file_names: bool) -> DataFrame:
-    messages = read_topic(spark, sub.topic)
-    if file_names or exists(spark, sub.file_acks):
-        messages = with_file_name(messages)
+    by_file = file_names or exists(spark, sub.file_acks)
+    messages = read_topic(spark, sub.topic, file_names=by_file)
     retired = retired_publishes(spark, sub)
     if retired:
         messages = messages.where(~F.col("publish_id").isin(retired))

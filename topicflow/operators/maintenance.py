@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from topicflow.operators.delivery import retired_publishes, unacked
 from topicflow.options import Subscription, Topic, to_millis
 from topicflow.schema import ACK_SCHEMA, FILE_ACK_SCHEMA, FILE_KEY, KEY
-from topicflow.sources.topic import read_topic, with_file_name
+from topicflow.sources.topic import read_topic
 from topicflow.storage import delete, find, list_dirs, modified_at, write_once
 
 
@@ -26,7 +26,8 @@ def compact_acks(spark: SparkSession, sub: Subscription) -> list[str]:
     dropped. Returns the newly retired publishes.
     """
     known = retired_publishes(spark, sub)
-    messages = with_file_name(read_topic(spark, sub.topic)).where(~F.col("publish_id").isin(known))
+    messages = read_topic(spark, sub.topic, file_names=True)
+    messages = messages.where(~F.col("publish_id").isin(known))
     open_publishes = unacked(messages, sub).select("publish_id").distinct().collect()
     published = [name.removeprefix("publish_id=") for name in list_dirs(spark, sub.topic.path)]
     live = set(known) | {row.publish_id for row in open_publishes}

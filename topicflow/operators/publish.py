@@ -31,8 +31,9 @@ STORED = ["message_id", "data", "attributes", "publish_time"]
 def _payload_column(df: DataFrame, payload: str | Sequence[str] | None) -> Column:
     if isinstance(payload, str):
         data_type = df.schema[payload].dataType
-        column = quoted(payload)
-        return column if isinstance(data_type, T.BinaryType) else F.encode(column, "UTF-8")
+        if not isinstance(data_type, T.BinaryType | T.StringType):
+            raise ValueError(f"Payload column {payload!r} must be binary or string; use [{payload!r}]")
+        return quoted(payload).cast("binary")
     return row_payload(df, payload)
 
 
@@ -119,7 +120,7 @@ def _number_copies(messages: DataFrame, publish_id: str, timed: bool) -> DataFra
     many = blocks.select("*", F.explode(F.sequence("from_copy", last)).alias("copy"))
 
     def part_hash(text: Column) -> Column:
-        return F.sha2(F.coalesce(text, F.lit("")), 256)
+        return F.coalesce(F.sha2(text, 256), F.lit(""))
 
     entry_texts = F.transform("entries", lambda e: F.to_json(e))
     parts = [

@@ -173,7 +173,9 @@ def _envelopes(table: pa.RecordBatch, subscription: str, offset: int) -> pa.Reco
     return pa.RecordBatch.from_arrays(columns, names=ENVELOPE_SCHEMA.names)
 
 
-def _read_slices(sub: Subscription, partition: FileSlices) -> Iterator[pa.RecordBatch]:
+def _read_slices(sub: Subscription, partition: FileSlices | None) -> Iterator[pa.RecordBatch]:
+    if partition is None:  # what Spark hands over when there are no partitions
+        return
     files, base = _located(sub.topic.path)
     for path, start, end in partition.slices:
         with files.open_input_file(f"{base}/{path}") as source:

@@ -12,25 +12,30 @@ from topicflow.schema import TOPIC_SCHEMA
 from topicflow.storage import exists
 
 
-def read_topic(spark: SparkSession, topic: Topic) -> DataFrame:
+def read_topic(spark: SparkSession, topic: Topic, *, file_names: bool = False) -> DataFrame:
     """Every stored message. Filters on ``publish_id`` prune directories; filters on
-    ``publish_time`` and ``message_id`` reach the Parquet reader."""
-    if not exists(spark, topic.path):
-        return spark.createDataFrame([], TOPIC_SCHEMA)
-    return spark.read.schema(TOPIC_SCHEMA).parquet(topic.path)
+    ``publish_time`` and ``message_id`` reach the Parquet reader. ``file_names`` adds the
+    name of the file each message is stored in."""
+    paths = [topic.path] if exists(spark, topic.path) else []
+    return _read(spark, topic, paths, file_names)
 
 
-def read_topic_files(spark: SparkSession, topic: Topic, files: Sequence[str]) -> DataFrame:
+def read_topic_files(
+    spark: SparkSession, topic: Topic, files: Sequence[str], *, file_names: bool = False
+) -> DataFrame:
     """The messages in some files of the topic; only these are listed and opened."""
-    if not files:
-        return spark.createDataFrame([], TOPIC_SCHEMA)
-    reader = spark.read.schema(TOPIC_SCHEMA).option("basePath", topic.path)
-    return reader.parquet(*files)
-
-
-def with_file_name(messages: DataFrame) -> DataFrame:
-    """Adds the name of the file a message is stored in."""
-    return messages.withColumn("file_name", F.col("_metadata.file_name"))
+    return _read(spark, topic, files, file_names)
+
+
+def _read(spark: SparkSession, topic: Topic, paths: Sequence[str], file_names: bool) -> DataFrame:
+    file_name = F.lit(None).cast("string")
+    messages = spark.createDataFrame([], TOPIC_SCHEMA)
+    if paths:
+        file_name = F.col("_metadata.file_name")
+        messages = (
+            spark.read.schema(TOPIC_SCHEMA).option("basePath", topic.path).parquet(*paths)
+        )
+    return messages.withColumn("file_name", file_name) if file_names else messages
 
 
 def stream_topic(

@@ -5,16 +5,12 @@ from __future__ import annotations
 from pyspark.errors import StreamingQueryException
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-# What Spark says when a checkpoint does not belong to the query or its
-# files are gone.
+# What Spark says when a checkpoint does not belong to the query, or files it
+# names are gone.
 STALE_CHECKPOINT_SIGNS = (
     "Positive number of partitions required",
-    "There are [1] sources in the checkpoint offsets",
-    "STREAM_CHECKPOINT",
-    "STATE_STORE",
-    "SparkFileNotFoundException",
-    "FileNotFoundException",
-    "assertion failed",
+    "sources in the checkpoint offsets",
+    "FAILED_READ_FILE.FILE_NOT_EXIST",
 )
 
 

@@ -19,7 +19,7 @@ from topicflow.options import (
     positive,
     required,
 )
-from topicflow.sources.topic import read_topic_files, stream_topic, with_file_name
+from topicflow.sources.topic import read_topic_files, stream_topic
 from topicflow.storage import make_dirs
 from topicflow.streaming.control import with_trigger
 
@@ -91,7 +91,8 @@ def process_stream(
         if not files:
             return
         query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        messages = with_file_name(read_topic_files(session, sub.topic, [f[0] for f in files]))
+        paths = [path for path, _, _ in files]
+        messages = read_topic_files(session, sub.topic, paths, file_names=True)
         messages = unacked(messages, sub).drop("file_name")
         offset = batch_id + 1
         handle(messages if stored else to_envelope(messages, sub.name, offset=offset), offset)

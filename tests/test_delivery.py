@@ -15,9 +15,10 @@ from topicflow import (
     read_messages,
     read_topic,
 )
-from topicflow.operators import delivery
-from topicflow.operators.delivery import ack_files, ack_keys, lease, read_acks, read_leases
+from topicflow.operators import oldest
+from topicflow.operators.delivery import ack_files, ack_keys, lease
 from topicflow.operators.maintenance import compact_acks, drop_expired_leases, drop_stale_staging
+from topicflow.operators.state import read_acks, read_file_acks, read_leases
 from topicflow.storage import find, list_dirs
 
 NOW = 1_000_000
@@ -167,7 +168,7 @@ def test_same_id_in_two_publishes_is_two_messages(spark, root, options, sub):
 
 @pytest.mark.parametrize("n", [1, 7, 29, 30, 31, 1000])
 def test_large_pulls_take_exactly_the_oldest(spark, options, sub, monkeypatch, n):
-    monkeypatch.setattr(delivery, "TOP_N_ROWS", 0)
+    monkeypatch.setattr(oldest, "TOP_N_ROWS", 0)
     ack_keys(keys(spark, sub, 3), sub, ack_id="x")
     expected = [i for i in range(30) if i != 3][:n]
     assert numbers(read_messages(spark, max_messages=n, **options)) == expected
@@ -175,9 +176,61 @@ def test_large_pulls_take_exactly_the_oldest(spark, options, sub, monkeypatch, n
     assert numbers(pull.messages) == expected
 
 
+class TestFilesOfAPull:
+    """However the oldest messages lie in files, a small pull finds exactly those."""
+
+    @pytest.fixture(autouse=True)
+    def few_files_a_step(self, monkeypatch):
+        monkeypatch.setattr(oldest, "FILE_STEPS", (1, 2, 4))
+
+    def pulled(self, spark, root, n):
+        options = {"root": root, "topic": "t", "subscription": "s"}
+        rows = pull_messages(spark, max_messages=n, as_of=NOW, **options).messages.collect()
+        return sorted(int(r.message_id) for r in rows)
+
+    @pytest.mark.parametrize("n", [1, 5, 12])
+    def test_spread_over_all_files(self, spark, root, n):
+        df = spark.range(0, 200).repartition(7).select(
+            F.col("id").cast("string").alias("m"), F.timestamp_millis("id").alias("t")
+        )
+        for publish_id in ("a", "b"):
+            part = df.where(F.col("m").cast("int") % 2 == int(publish_id == "a"))
+            publish(
+                part, root=root, topic="t", publish_id=publish_id,
+                payload="m", message_id="m", publish_time="t",
+            )
+        for start in range(0, 3 * n, n):
+            assert self.pulled(spark, root, n) == list(range(start, start + n))
+
+    def test_first_files_all_acknowledged(self, spark, root):
+        fill(spark, root, 0, 60, "a", parts=6)
+        sub = Subscription.of({"root": root, "topic": "t", "subscription": "s"})
+        ack_keys(keys(spark, sub, *range(45)), sub, ack_id="x")
+        assert self.pulled(spark, root, 3) == [45, 46, 47]
+        assert self.pulled(spark, root, 100) == list(range(48, 60))
+
+    def test_one_publish_time_for_all(self, spark, root):
+        df = spark.range(0, 90, 1, 6).selectExpr("string(id) as m")
+        publish(df, root=root, topic="t", payload="m", message_id="m", as_of=5, publish_id="a")
+        got = [self.pulled(spark, root, 20) for _ in range(5)]
+        assert sorted(i for part in got for i in part) == list(range(90))
+
+    def test_early_answer_reads_few_files(self, spark, root, monkeypatch):
+        fill(spark, root, 0, 60, "a", parts=6)
+        seen = []
+        original = oldest.read_topic_files
+        monkeypatch.setattr(
+            oldest,
+            "read_topic_files",
+            lambda s, t, files, **kw: seen.append(len(files)) or original(s, t, files, **kw),
+        )
+        assert self.pulled(spark, root, 5) == list(range(5))
+        assert seen == [1]
+
+
 def test_large_pull_with_one_publish_time(spark, root, monkeypatch):
     """All messages tie on time: ranges must still be cut exactly."""
-    monkeypatch.setattr(delivery, "TOP_N_ROWS", 0)
+    monkeypatch.setattr(oldest, "TOP_N_ROWS", 0)
     publish(spark.range(5000).repartition(3), root=root, topic="t", as_of=5, publish_id="p")
     options = {"root": root, "topic": "t", "subscription": "s"}
     seen = set()
@@ -197,7 +250,7 @@ def test_max_messages_must_be_positive(spark, options):
 def test_file_acks_cover_whole_files(spark, options, sub):
     rows = keys(spark, sub, *range(20)).select("publish_id", "file_name").distinct().collect()
     first = min(rows, key=lambda r: r.file_name)
-    ack_files(spark, sub, [(first.publish_id, first.file_name)], ack_id="f")
+    ack_files(keys(spark, sub, *range(20)).where(F.col("file_name") == first.file_name), sub, ack_id="f")
     assert numbers(eligible(spark, sub, NOW)) == list(range(10, 30))
     assert "file_name" not in eligible(spark, sub, NOW).columns
     assert numbers(pull_messages(spark, as_of=NOW, **options).messages) == list(range(10, 20))
@@ -210,16 +263,16 @@ class TestCompaction:
         before = numbers(eligible(spark, sub, NOW))
         assert compact_acks(spark, sub) == ["a"]
         assert numbers(eligible(spark, sub, NOW)) == before == list(range(25, 30))
-        assert len(list_dirs(spark, sub.acks)) == 1
-        assert numbers(read_acks(spark, sub)) == list(range(20, 25))
+        assert len(list_dirs(spark, sub.acks)) == len(list_dirs(spark, sub.file_acks)) == 1
+        # 20 to 24 fill a file of their own
+        assert read_acks(spark, sub).isEmpty() and read_file_acks(spark, sub).count() == 1
         assert compact_acks(spark, sub) == []
         fill(spark, root, 30, 35, "c")
         assert numbers(eligible(spark, sub, NOW)) == list(range(25, 35))
 
     def test_file_acks_count(self, spark, options, sub):
-        rows = keys(spark, sub, *range(20)).select("publish_id", "file_name").distinct().collect()
-        for i, r in enumerate(rows):
-            ack_files(spark, sub, [(r.publish_id, r.file_name)], ack_id=f"f{i}")
+        for i in (3, 13):
+            ack_files(keys(spark, sub, i), sub, ack_id=f"f{i}")
         assert compact_acks(spark, sub) == ["a"]
         assert numbers(eligible(spark, sub, NOW)) == list(range(20, 30))
 
@@ -229,6 +282,14 @@ class TestCompaction:
         plan = eligible(spark, sub, NOW)._jdf.queryExecution().toString()
         assert "NOT (publish_id" in plan.split("PartitionFilters")[1].split("]")[0]
 
+    def test_acks_of_unfinished_files_stay(self, spark, options, sub):
+        ack_keys(keys(spark, sub, 1, 2, 25), sub, ack_id="one")
+        ack_keys(keys(spark, sub, 2, 3), sub, ack_id="two")
+        before = numbers(eligible(spark, sub, NOW))
+        assert compact_acks(spark, sub) == []
+        assert numbers(read_acks(spark, sub)) == [1, 2, 3, 25]
+        assert numbers(eligible(spark, sub, NOW)) == before
+
     def test_nothing_to_do(self, spark, options, sub):
         assert compact_acks(spark, sub) == []
 
@@ -250,6 +311,6 @@ class TestCompaction:
 
 
 def test_scratch_of_large_pulls_is_removed(spark, options, sub, monkeypatch):
-    monkeypatch.setattr(delivery, "TOP_N_ROWS", 0)
+    monkeypatch.setattr(oldest, "TOP_N_ROWS", 0)
     pull_messages(spark, max_messages=7, **options)
     assert list_dirs(spark, sub.staging) == []

@@ -17,7 +17,7 @@ from topicflow import (
     read_topic,
     write_stream_messages,
 )
-from topicflow.operators.delivery import read_file_acks
+from topicflow.operators.state import read_file_acks
 from topicflow.streaming.control import with_trigger
 
 
@@ -51,8 +51,9 @@ class Keeper:
 
 def drain(spark, root, options, keeper, **bounds):
     query = process_stream(
-        spark, keeper, available_now=True, checkpoint=f"{root}/cp", **options, **bounds
-    )
+        spark, keeper, returnImmediatelyWhilePull="true", checkpointLocation=f"{root}/cp",
+        **options, **bounds,
+    )
     assert await_query(query, 120, f"{root}/cp")
     return query
 
@@ -138,6 +139,7 @@ def test_handler_sees_an_ordinary_scan(spark, root, options):
     plans = []
 
     def look(messages, offset):
+        assert messages.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
         chosen = messages.where("message_id = '3'").select("message_id")
         plans.append(chosen._jdf.queryExecution().executedPlan().toString())
 
@@ -244,7 +246,9 @@ def test_other_stream_errors_stay_as_they_are(spark, root, options):
 def test_triggers(spark):
     writer = spark.readStream.format("rate").load().writeStream
     with pytest.raises(ValueError, match="not both"):
-        with_trigger(writer, True, "5 seconds")
+        with_trigger(writer, {"checkpoint": "/tmp/c", "available_now": True, "interval": "5 seconds"})
+    with pytest.raises(ValueError, match="checkpoint is required"):
+        with_trigger(writer, {})
 
 
 def test_fixed_interval_runs_until_stopped(spark, root, options):

@@ -2,16 +2,9 @@
 
 from topicflow.functions.envelope import attributes_text, to_envelope
 from topicflow.functions.payload import decode_payload, expand_payload, row_payload, row_text
-from topicflow.operators.delivery import (
-    Pull,
-    ack_pull,
-    backlog,
-    eligible,
-    has_backlog,
-    pull_messages,
-    read_messages,
-)
+from topicflow.operators.delivery import Pull, ack_pull, pull_messages, read_messages
 from topicflow.operators.publish import publish, to_messages
+from topicflow.operators.state import backlog, eligible, has_backlog
 from topicflow.options import Subscription, Topic
 from topicflow.schema import ENVELOPE_SCHEMA, TOPIC_SCHEMA
 from topicflow.sources.topic import read_topic

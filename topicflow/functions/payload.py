@@ -28,10 +28,16 @@ def _timestamp_text(column: Column) -> Column:
 def _local_timestamp_text(column: Column) -> Column:
     """ISO form: ``T`` between the parts, no zero seconds, a fraction of 3 or 6 digits."""
     text = F.replace(column.cast("string"), F.lit(" "), F.lit("T"))
-    point = F.instr(text, ".")
-    digits = F.when(F.length(text) - point <= 3, 3).otherwise(6)
-    whole = F.when(text.endswith(":00"), F.left(text, F.length(text) - 3)).otherwise(text)
-    return F.when(point == 0, whole).otherwise(F.rpad(text, point + digits, F.lit("0")))
+    seconds = F.date_part(F.lit("SECONDS"), column)
+    micros = ((seconds - F.floor(seconds)) * 1_000_000).cast("int")
+    fraction = F.when(
+        micros % 1000 == 0, F.lpad((micros / 1000).cast("int").cast("string"), 3, "0")
+    ).otherwise(F.lpad(micros.cast("string"), 6, "0"))
+    return (
+        F.when(seconds == 0, F.substring_index(text, ":", 2))
+        .when(seconds == F.floor(seconds), text)
+        .otherwise(F.concat(F.substring_index(text, ".", 1), F.lit("."), fraction))
+    )
 
 
 def _decimal_text(column: Column, scale: int) -> Column:

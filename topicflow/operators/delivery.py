@@ -1,20 +1,16 @@
-"""Delivery state of a subscription: what is waiting, leased and acknowledged.
-
-State is plain Parquet next to the topic. Every write is one new directory made visible by
-one rename, so a repeated call changes nothing and readers never see half of one.
-"""
+"""Pull, lease and acknowledge."""
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.functions.envelope import epoch_millis, to_envelope
+from topicflow.functions.envelope import to_envelope
+from topicflow.operators import oldest
 from topicflow.options import (
     DEFAULT_LEASE_SECONDS,
     DEFAULT_MAX_MESSAGES,
@@ -25,142 +21,9 @@ from topicflow.options import (
     positive,
     to_millis,
 )
-from topicflow.schema import (
-    ACK_SCHEMA,
-    FILE_ACK_SCHEMA,
-    FILE_KEY,
-    KEY,
-    LEASE_SCHEMA,
-    RETIRED_SCHEMA,
-)
+from topicflow.schema import FILE_KEY, KEY, LEASE_SCHEMA
 from topicflow.sources.topic import read_topic, read_topic_files
-from topicflow.storage import delete, exists, find, write_once
-
-#: Oldest first; with the key no two messages tie.
-ORDER = ["publish_time", "message_id", "publish_id"]
-
-#: Up to this many messages a pull is a plain top-n and its keys are small enough to
-#: broadcast. A larger pull sorts by range and joins by shuffle.
-TOP_N_ROWS = 1000
-
-
-def _state_table(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    if not exists(spark, path):
-        return None
-    return spark.read.schema(schema).parquet(path)
-
-
-def read_acks(spark: SparkSession, sub: Subscription) -> DataFrame | None:
-    """Messages acknowledged one by one, or None before the first."""
-    return _state_table(spark, sub.acks, ACK_SCHEMA)
-
-
-def read_file_acks(spark: SparkSession, sub: Subscription) -> DataFrame | None:
-    """Files acknowledged as a whole, or None before the first."""
-    return _state_table(spark, sub.file_acks, FILE_ACK_SCHEMA)
-
-
-def read_leases(spark: SparkSession, sub: Subscription) -> DataFrame | None:
-    return _state_table(spark, sub.leases, LEASE_SCHEMA)
-
-
-def retired_publishes(spark: SparkSession, sub: Subscription) -> list[str]:
-    """Publishes with nothing left to deliver (see ``compact_acks``): directory names, of
-    which the driver lists the topic's anyway."""
-    table = _state_table(spark, sub.retired, RETIRED_SCHEMA)
-    return [] if table is None else [row.publish_id for row in table.distinct().collect()]
-
-
-def _without_acked_files(messages: DataFrame, sub: Subscription) -> DataFrame:
-    files = read_file_acks(messages.sparkSession, sub)
-    if files is None:
-        return messages
-    return messages.join(files.select(*FILE_KEY), FILE_KEY, "left_anti")
-
-
-def unacked(messages: DataFrame, sub: Subscription) -> DataFrame:
-    """The messages (with ``file_name``) that no acknowledgement covers."""
-    messages = _without_acked_files(messages, sub)
-    acks = read_acks(messages.sparkSession, sub)
-    return messages if acks is None else messages.join(acks.select(*KEY), KEY, "left_anti")
-
-
-def eligible(
-    spark: SparkSession,
-    sub: Subscription,
-    as_of: datetime | int | None = None,
-    *,
-    file_names: bool = False,
-) -> DataFrame:
-    """Messages that may be delivered at ``as_of``: not acknowledged, no lease running.
-
-    Acks and running leases are one anti-join, so the topic is shuffled once at most; select
-    only the columns needed before an action and the payload is not read. Expired leases
-    and retired publishes are pruned as directories. ``file_names`` adds ``file_name``.
-    """
-    messages = _waiting(spark, sub, to_millis(as_of), file_names)
-    return messages if file_names else messages.drop("file_name")
-
-
-def _waiting(spark: SparkSession, sub: Subscription, now: int, file_names: bool) -> DataFrame:
-    by_file = file_names or exists(spark, sub.file_acks)
-    messages = read_topic(spark, sub.topic, file_names=by_file)
-    retired = retired_publishes(spark, sub)
-    if retired:
-        messages = messages.where(~F.col("publish_id").isin(retired))
-    messages = _without_acked_files(messages, sub)
-
-    hidden = []
-    acks, leases = read_acks(spark, sub), read_leases(spark, sub)
-    if acks is not None:
-        hidden.append(acks.select(*KEY))
-    if leases is not None:
-        hidden.append(leases.where(F.col("lease_until") > now).select(*KEY))
-    if not hidden:
-        return messages
-    return messages.join(reduce(DataFrame.unionByName, hidden), KEY, "left_anti")
-
-
-def has_backlog(spark: SparkSession, sub: Subscription, as_of: datetime | int | None = None) -> bool:
-    """Is any message waiting?"""
-    return not eligible(spark, sub, as_of).select("publish_id").isEmpty()
-
-
-def backlog(spark: SparkSession, sub: Subscription, as_of: datetime | int | None = None) -> DataFrame:
-    """One row: how many messages wait, and the publish time of the oldest (epoch ms)."""
-    waiting = eligible(spark, sub, as_of)
-    return waiting.agg(
-        F.count(F.lit(1)).alias("messages"),
-        epoch_millis(F.min("publish_time")).alias("oldest_publish_timestamp"),
-    ).select(F.lit(sub.name).alias("subscription"), "messages", "oldest_publish_timestamp")
-
-
-def _oldest_by_range(keys: DataFrame, n: int, staging: str) -> tuple[DataFrame, str]:
-    """The ``n`` oldest keys without gathering ``n`` rows in one task.
-
-    Keys are written range-partitioned; the counts per range tell which ranges are taken
-    whole and which single one is cut. The key is unique, so ranges are even.
-    """
-    spark = keys.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = f"{staging}/{uuid.uuid4().hex}"
-    ranged = keys.repartitionByRange(ranges, *ORDER)
-    ranged.withColumn("range", F.spark_partition_id()).write.parquet(path)
-    stored = spark.read.parquet(path)
-
-    taken, cut = 0, None
-    for row in stored.groupBy("range").count().orderBy("range").collect():  # one row a range
-        if taken + row["count"] > n:
-            cut = row["range"]
-            break
-        taken += row["count"]
-    if cut is None:
-        return stored.drop("range"), path
-    whole = stored.where(F.col("range") < cut)
-    if taken < n:
-        part = stored.where(F.col("range") == cut).orderBy(*ORDER).limit(n - taken)
-        whole = whole.unionByName(part)
-    return whole.drop("range"), path
+from topicflow.storage import delete, find, name_table, write_once
 
 
 @dataclass(frozen=True)
@@ -177,8 +40,7 @@ class Pull:
     @property
     def leased(self) -> DataFrame:
         """The lease rows of this pull."""
-        reader = self.spark.read.schema(LEASE_SCHEMA)
-        return reader.option("basePath", self.subscription.leases).parquet(self.path)
+        return _lease_rows(self.spark, self.subscription, self.path)
 
     @property
     def stored(self) -> DataFrame:
@@ -195,6 +57,16 @@ class Pull:
         ack_pull(self.spark, self.subscription, self.pull_id, acked_at)
 
 
+def _lease_rows(spark: SparkSession, sub: Subscription, path: str) -> DataFrame:
+    return spark.read.schema(LEASE_SCHEMA).option("basePath", sub.leases).parquet(path)
+
+
+def _held(spark: SparkSession, sub: Subscription, pull_id: str) -> str | None:
+    """The directory of the lease taken under a pull id."""
+    held = find(spark, f"{sub.leases}/lease_until=*/pull_id={checked_name('pull_id', pull_id)}")
+    return held[0] if held else None
+
+
 def _pinned(sub: Subscription, keys: DataFrame, small: bool) -> DataFrame:
     """Full messages for a set of keys.
 
@@ -210,6 +82,12 @@ def _pinned(sub: Subscription, keys: DataFrame, small: bool) -> DataFrame:
     return messages.join(F.broadcast(keys.select(*KEY)), KEY, "left_semi")
 
 
+def _few_keys(spark: SparkSession, sub: Subscription, n: int, now: int) -> DataFrame:
+    rows = oldest.oldest_few(spark, sub, n, now)
+    keys = [(row.publish_id, row.file_name, row.message_id) for row in rows]
+    return name_table(spark, keys, "publish_id", "file_name", "message_id")
+
+
 def lease(
     spark: SparkSession,
     sub: Subscription,
@@ -224,10 +102,9 @@ def lease(
     ``keys`` needs ``publish_id``, ``message_id`` and ``file_name``. A ``pull_id`` that holds
     a lease keeps it as it is.
     """
-    checked_name("pull_id", pull_id)
-    held = find(spark, f"{sub.leases}/lease_until=*/pull_id={pull_id}")
+    held = _held(spark, sub, pull_id)
     if held:
-        return held[0]
+        return held
     until = to_millis(as_of) + 1000 * int(lease_seconds)
     path = f"{sub.leases}/lease_until={until}/pull_id={pull_id}"
     rows = keys.select(F.lit(sub.name).alias("subscription"), *KEY, "file_name")
@@ -247,22 +124,25 @@ def pull_messages(
     The keys are written as lease rows first; what is returned reads that pinned set, never
     the open-ended query behind it. Calling again with the same ``pull_id`` returns the same
     set. Two pullers at once may get the same message: delivery is at least once.
+
+    To move much more than some thousand messages use a stream: it works by whole files and
+    needs no sort and no join.
     """
     known = checked(options, *SUBSCRIPTION_OPTIONS, "max_messages", "lease_seconds")
     sub = Subscription.of(known)
     n = positive("max_messages", known.get("max_messages", DEFAULT_MAX_MESSAGES))
-    pull_id = checked_name("pull_id", pull_id or uuid.uuid4().hex)
-    small, now = n <= TOP_N_ROWS, to_millis(as_of)
-    held = find(spark, f"{sub.leases}/lease_until=*/pull_id={pull_id}")
+    now = to_millis(as_of)
+    pull_id = pull_id or uuid.uuid4().hex
+    held = _held(spark, sub, pull_id)
     if held:
-        return Pull(spark, sub, pull_id, held[0], now, small)
+        small = _lease_rows(spark, sub, held).count() <= oldest.TOP_N_ROWS
+        return Pull(spark, sub, pull_id, held, now, small)
 
-    keys = eligible(spark, sub, now, file_names=True).select(*ORDER, "file_name")
-    scratch = None
+    small, scratch = n <= oldest.TOP_N_ROWS, None
     if small:
-        chosen = keys.orderBy(*ORDER).limit(n)
+        chosen = _few_keys(spark, sub, n, now)
     else:
-        chosen, scratch = _oldest_by_range(keys, n, sub.staging)
+        chosen, scratch = oldest.oldest_many(spark, sub, n, now)
     seconds = known.get("lease_seconds", DEFAULT_LEASE_SECONDS)
     path = lease(spark, sub, chosen, pull_id=pull_id, lease_seconds=seconds, as_of=now)
     if scratch:
@@ -274,39 +154,35 @@ def ack_pull(
     spark: SparkSession, sub: Subscription, pull_id: str, acked_at: datetime | int | None = None
 ) -> None:
     """Acknowledge the messages leased under ``pull_id``. Repeating it changes nothing."""
-    held = find(spark, f"{sub.leases}/lease_until=*/pull_id={checked_name('pull_id', pull_id)}")
+    held = _held(spark, sub, pull_id)
     if not held:
         raise ValueError(f"No pull {pull_id!r} on subscription {sub.name!r}")
-    reader = spark.read.schema(LEASE_SCHEMA).option("basePath", sub.leases)
-    ack_keys(reader.parquet(held[0]), sub, ack_id=pull_id, acked_at=acked_at)
+    ack_keys(_lease_rows(spark, sub, held), sub, ack_id=pull_id, acked_at=acked_at)
 
 
 def ack_keys(
     keys: DataFrame, sub: Subscription, *, ack_id: str, acked_at: datetime | int | None = None
 ) -> None:
-    """Acknowledge the messages named by ``publish_id`` and ``message_id``."""
+    """Acknowledge the messages named by ``publish_id``, ``message_id`` and ``file_name``."""
     rows = keys.select(
         F.lit(sub.name).alias("subscription"),
         *KEY,
+        "file_name",
         F.lit(to_millis(acked_at)).cast("long").alias("acked_at"),
     )
     path = f"{sub.acks}/ack_id={checked_name('ack_id', ack_id)}"
     write_once(rows, path, sub.staging, sort_by=KEY)
 
 
-def ack_files(
-    spark: SparkSession, sub: Subscription, files: list[tuple[str, str]], *, ack_id: str
-) -> None:
-    """Acknowledge every message of some ``(publish_id, file name)``: one row a file."""
-    named = spark.createDataFrame(files, "publish_id string, file_name string")
-    rows = named.select(
+def ack_files(files: DataFrame, sub: Subscription, *, ack_id: str) -> None:
+    """Acknowledge every message of the files named by ``publish_id`` and ``file_name``."""
+    rows = files.select(
         F.lit(sub.name).alias("subscription"),
-        "publish_id",
-        "file_name",
+        *FILE_KEY,
         F.lit(to_millis(None)).cast("long").alias("acked_at"),
     )
     path = f"{sub.file_acks}/ack_id={checked_name('ack_id', ack_id)}"
-    write_once(rows.coalesce(1), path, sub.staging)
+    write_once(rows, path, sub.staging)
 
 
 def read_messages(
@@ -332,12 +208,10 @@ def read_messages(
     sub = Subscription.of(known)
     n = positive("max_messages", known.get("max_messages", DEFAULT_MAX_MESSAGES))
     now = to_millis(as_of)
-    keys = eligible(spark, sub, now, file_names=True).select(*ORDER, "file_name")
-    if n <= TOP_N_ROWS:
-        # The few keys are fixed on the driver, so the payload is read for them alone.
-        rows = keys.orderBy(*ORDER).limit(n).collect()
-        stored = _pinned(sub, spark.createDataFrame(rows, keys.schema), small=True)
+    small = n <= oldest.TOP_N_ROWS
+    if small:
+        keys = _few_keys(spark, sub, n, now)
     else:
-        chosen, _ = _oldest_by_range(keys, n, sub.staging)
-        stored = _pinned(sub, chosen, small=False)
-    return to_envelope(stored, sub.name, as_of=now)
+        # The keys stay in staging while the frame is in use; see ``drop_stale_staging``.
+        keys, _ = oldest.oldest_many(spark, sub, n, now)
+    return to_envelope(_pinned(sub, keys, small), sub.name, as_of=now)

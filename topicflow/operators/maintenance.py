@@ -9,60 +9,71 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.operators.delivery import retired_publishes, unacked
+from topicflow.operators.delivery import ack_files
+from topicflow.operators.state import live_messages, retired_publishes, without_hidden
 from topicflow.options import Subscription, Topic, to_millis
 from topicflow.schema import ACK_SCHEMA, FILE_ACK_SCHEMA, FILE_KEY, KEY
-from topicflow.sources.topic import read_topic
-from topicflow.storage import delete, find, list_dirs, modified_at, write_once
+from topicflow.storage import delete, find, list_dirs, modified_at, name_table, write_once
 
 
 def compact_acks(spark: SparkSession, sub: Subscription) -> list[str]:
-    """Retire publishes that are acknowledged completely, and merge the other acks.
+    """Sum up acks: complete files by one row each, complete publishes by their name.
 
-    A retired publish is pruned from every later scan of the subscription and its acks are
-    dropped. Returns the newly retired publishes.
+    A retired publish is pruned from every later scan of the subscription, a complete file
+    is left out by its name, and the acks of single messages they held are dropped. Returns
+    the newly retired publishes.
     """
-    known = retired_publishes(spark, sub)
-    messages = read_topic(spark, sub.topic, file_names=True)
-    messages = messages.where(~F.col("publish_id").isin(known))
-    open_publishes = unacked(messages, sub).select("publish_id").distinct().collect()
-    published = [name.removeprefix("publish_id=") for name in list_dirs(spark, sub.topic.path)]
-    live = set(known) | {row.publish_id for row in open_publishes}
-    done = [publish_id for publish_id in published if publish_id not in live]
-
     run = f"compact-{uuid.uuid4().hex}"
+    messages = live_messages(spark, sub)
+    live = messages.select(*FILE_KEY).distinct()
+    unfinished = without_hidden(messages, sub, None).select(*FILE_KEY).distinct()
+    ack_files(live.join(unfinished, FILE_KEY, "left_anti"), sub, ack_id=run)
+
+    known = set(retired_publishes(spark, sub))
+    published = {name.removeprefix("publish_id=") for name in list_dirs(spark, sub.topic.path)}
+    open_files = live_messages(spark, sub).select("publish_id").distinct().collect()
+    done = sorted(published - known - {row.publish_id for row in open_files})
     if done:
-        rows = spark.createDataFrame([(p,) for p in done], "publish_id string").coalesce(1)
+        rows = name_table(spark, [(p,) for p in done], "publish_id")
         write_once(rows, f"{sub.retired}/run={run}", sub.staging)
-    gone = known + done
-    _merge_acks(spark, sub.acks, ACK_SCHEMA, KEY, gone, run, sub.staging)
-    _merge_acks(spark, sub.file_acks, FILE_ACK_SCHEMA, FILE_KEY, gone, run, sub.staging)
+
+    gone = sorted(known) + done
+    complete = _merge(spark, sub.file_acks, FILE_ACK_SCHEMA, FILE_KEY, gone, run, sub.staging)
+    _merge(spark, sub.acks, ACK_SCHEMA, [*KEY, "file_name"], gone, run, sub.staging, complete)
     return done
 
 
-def _merge_acks(
-    spark: SparkSession, path: str, schema, key: list[str], gone: list[str], run: str, staging: str
-) -> None:
-    """One directory in place of many, without the acks of retired publishes.
+def _merge(
+    spark: SparkSession,
+    path: str,
+    schema,
+    key: list[str],
+    gone: list[str],
+    run: str,
+    staging: str,
+    complete: DataFrame | None = None,
+) -> DataFrame | None:
+    """One directory in place of many, without what retired publishes and files cover.
 
     Exactly the listed directories are read and then removed, so an ack that arrives in
     between stays. Until they are removed an ack is there twice, which changes nothing.
     """
     merged = find(spark, f"{path}/ack_id=*")
-    if len(merged) < 2 and not (merged and gone):
-        return
-    table = spark.read.schema(schema).option("basePath", path).parquet(*merged)
-    kept = (
-        table.where(~F.col("publish_id").isin(gone))
-        .groupBy("subscription", *key)
-        .agg(F.min("acked_at").alias("acked_at"))
-    )
-    write_once(kept, f"{path}/ack_id={run}", staging, sort_by=key)
+    if not merged:
+        return None
+    kept = spark.read.schema(schema).option("basePath", path).parquet(*merged)
+    kept = kept.where(~F.col("publish_id").isin(gone))
+    if complete is not None:
+        kept = kept.join(complete.select(*FILE_KEY), FILE_KEY, "left_anti")
+    kept = kept.groupBy("subscription", *key).agg(F.min("acked_at").alias("acked_at"))
+    target = f"{path}/ack_id={run}-merged"
+    write_once(kept, target, staging, sort_by=key)
     for directory in merged:
         delete(spark, directory)
+    return spark.read.schema(schema).option("basePath", path).parquet(target)
 
 
 def drop_expired_leases(

@@ -52,8 +52,8 @@ def to_messages(
 
     ``payload``: None takes the text of the whole row, a list of columns the text of those,
     one column name its bytes or UTF-8 text. ``attributes`` names a map column,
-    ``publish_time`` a timestamp column (default: ``as_of``, else the clock of the query),
-    ``message_id`` a string column.
+    ``publish_time`` a timestamp column (where missing: ``as_of``, else the clock of the
+    query), ``message_id`` a string column.
 
     Without ``message_id``, ``ids="position"`` numbers rows where they stand, with no
     shuffle. ``ids="content"`` derives the id from the message itself, so that publishing
@@ -64,7 +64,8 @@ def to_messages(
     if publish_time is None:
         time = clock
     else:
-        time = utc_timestamp(quoted(publish_time), df.schema[publish_time].dataType.typeName())
+        given = utc_timestamp(quoted(publish_time), df.schema[publish_time].dataType.typeName())
+        time = F.coalesce(given, clock)
     no_attributes = F.create_map().cast("map<string,string>")
     messages = [
         _payload_column(df, payload).alias("data"),
@@ -125,7 +126,7 @@ def _number_copies(messages: DataFrame, publish_id: str, timed: bool) -> DataFra
     entry_texts = F.transform("entries", lambda e: F.to_json(e))
     parts = [
         F.lit(publish_id),
-        part_hash(F.hex("data")),
+        part_hash(F.col("data")),
         part_hash(F.array_join(entry_texts, ",")),
         F.col("copy").cast("string"),
     ]

@@ -19,6 +19,7 @@ OPTION_ALIASES = {
     "temppath": "state_path",
     "writebatchsize": "max_records_per_file",
     "checkpointlocation": "checkpoint",
+    "returnimmediatelywhilepull": "available_now",
 }
 
 # Defaults.
@@ -67,6 +68,9 @@ def checked_name(kind: str, value: str) -> str:
     return value
 
 
+#: What starts a stream: everything that waits and then stop, a fixed interval, or neither.
+TRIGGER_OPTIONS = ("checkpoint", "available_now", "interval")
+
 #: What names a subscription.
 SUBSCRIPTION_OPTIONS = ("root", "topic", "subscription", "state_path")
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from topicflow.functions.payload import decode_payload, expand_payload
 from topicflow.operators.delivery import Pull, pull_messages
 from topicflow.operators.publish import publish
-from topicflow.options import normalize, required
+from topicflow.options import TRIGGER_OPTIONS, normalize, required
 from topicflow.sources.files import stream_csv, write_stream_csv
 from topicflow.streaming.read import process_stream, read_stream_messages
 from topicflow.streaming.write import write_stream_messages
@@ -61,7 +61,6 @@ def decode_republish(
     to_topic: str,
     fmt: str = "json",
     decode_options: dict[str, str] | None = None,
-    subscription: str,
     **options,
 ) -> StreamingQuery:
     """Decode payloads to columns and publish those as row text to another topic (stream)."""
@@ -74,23 +73,11 @@ def decode_republish(
             expand_payload(decoded), root=root, topic=to_topic, publish_id=f"{query_id}-{offset}"
         )
 
-    return process_stream(spark, forward, subscription=subscription, **options)
+    return process_stream(spark, forward, **options)
 
 
-def topic_to_csv(
-    spark: SparkSession,
-    path: str,
-    *,
-    checkpoint: str,
-    available_now: bool = False,
-    interval: str | None = None,
-    **options,
-) -> StreamingQuery:
+def topic_to_csv(spark: SparkSession, path: str, **options) -> StreamingQuery:
     """Append the envelopes of a subscription to a CSV directory, payload as text (stream)."""
-    return write_stream_csv(
-        read_stream_messages(spark, **options),
-        path,
-        checkpoint=checkpoint,
-        available_now=available_now,
-        interval=interval,
-    )
+    known = normalize(options)
+    trigger = {name: known.pop(name) for name in TRIGGER_OPTIONS if name in known}
+    return write_stream_csv(read_stream_messages(spark, **known), path, **trigger)

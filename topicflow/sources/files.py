@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from topicflow.options import check_output_mode
+from topicflow.options import TRIGGER_OPTIONS, check_output_mode, checked
 from topicflow.streaming.control import with_trigger
 
 
@@ -25,14 +25,13 @@ def write_stream_csv(
     df: DataFrame,
     path: str,
     *,
-    checkpoint: str,
     output_mode: str = "append",
-    available_now: bool = False,
-    interval: str | None = None,
+    **options,
 ) -> StreamingQuery:
     """Append a streaming DataFrame to a CSV directory, without header.
 
-    CSV has no binary type: such columns are written as the text they hold.
+    CSV has no binary type: such columns are written as the text they hold. Options:
+    ``checkpoint``, ``available_now`` or ``interval``.
     """
     check_output_mode(output_mode)
     columns = [
@@ -42,5 +41,5 @@ def write_stream_csv(
         for f in df.schema.fields
     ]
     writer = df.select(*columns).writeStream.outputMode("append").format("csv")
-    writer = writer.option("header", "false").option("checkpointLocation", checkpoint)
-    return with_trigger(writer, available_now, interval).start(path)
+    known = checked(options, *TRIGGER_OPTIONS)
+    return with_trigger(writer.option("header", "false"), known).start(path)

@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
@@ -122,6 +123,12 @@ def write_once(
     return created
 
 
+def name_table(spark: SparkSession, rows: Sequence[tuple], *columns: str) -> DataFrame:
+    """A few rows of text the driver holds (names of files or messages) as a local table."""
+    table = pa.table({c: pa.array([r[i] for r in rows], pa.string()) for i, c in enumerate(columns)})
+    return spark.createDataFrame(table).coalesce(1)
+
+
 def shared_scratch(spark: SparkSession) -> str:
     """A new directory for intermediate tables that every executor can reach.
 

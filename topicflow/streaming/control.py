@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from typing import Any
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from topicflow.options import required
+
 # What Spark says when a checkpoint does not belong to the query, or files it
 # names are gone.
 STALE_CHECKPOINT_SIGNS = (
@@ -18,12 +23,14 @@ class StaleCheckpointError(RuntimeError):
     """The checkpoint belongs to another query or to data that is gone."""
 
 
-def with_trigger(
-    writer: DataStreamWriter, available_now: bool, interval: str | None
-) -> DataStreamWriter:
-    """Everything that waits and then stop, a fixed interval, or as fast as possible."""
+def with_trigger(writer: DataStreamWriter, options: Mapping[str, Any]) -> DataStreamWriter:
+    """Sets the checkpoint, and the trigger: ``available_now`` takes everything that waits
+    and then stops, ``interval`` repeats, and without either batches follow each other."""
+    available_now = str(options.get("available_now", False)).lower() == "true"
+    interval = options.get("interval")
     if available_now and interval:
         raise ValueError("Give available_now or interval, not both")
+    writer = writer.option("checkpointLocation", required(options, "checkpoint"))
     if available_now:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=interval) if interval else writer

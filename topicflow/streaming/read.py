@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,20 +11,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from topicflow.functions.envelope import to_envelope
-from topicflow.operators.delivery import ack_files, unacked
+from topicflow.operators.delivery import ack_files
+from topicflow.operators.state import read_acks, read_file_acks
 from topicflow.options import (
     DEFAULT_MAX_FILES,
     SUBSCRIPTION_OPTIONS,
+    TRIGGER_OPTIONS,
     Subscription,
     checked,
     positive,
-    required,
 )
+from topicflow.schema import KEY
 from topicflow.sources.topic import read_topic_files, stream_topic
-from topicflow.storage import make_dirs
+from topicflow.storage import make_dirs, name_table
 from topicflow.streaming.control import with_trigger
 
 
+#: Acknowledged keys of one micro-batch that may be broadcast: some tens of megabytes.
+BROADCAST_KEYS = 100_000
+
+
 def _bounds(known: dict) -> dict[str, int]:
     """At most so many files, or so many bytes, per trigger; a file is never split."""
     if known.get("max_bytes") is not None:
@@ -49,22 +56,52 @@ def read_stream_messages(spark: SparkSession, **options) -> DataFrame:
     return to_envelope(messages, sub.name, offset=None)
 
 
-def _batch_files(batch: DataFrame) -> list[tuple[str, str, str]]:
-    """Path, publish and name of every file of a micro-batch: bounded by the trigger."""
+@dataclass(frozen=True)
+class TopicFile:
+    path: str
+    publish_id: str
+    name: str
+
+
+def _batch_files(batch: DataFrame) -> list[TopicFile]:
+    """The files of a micro-batch: as many as the trigger admits."""
     files = []
     for (path,) in batch.distinct().collect():
         directory, name = path.rsplit("/", 1)
-        publish_id = unquote(directory.rsplit("publish_id=", 1)[1])
-        files.append((path, publish_id, name))
-    return sorted(files)
+        files.append(TopicFile(path, unquote(directory.rsplit("publish_id=", 1)[1]), name))
+    return sorted(files, key=lambda f: f.path)
+
+
+def _undelivered(spark: SparkSession, sub: Subscription, files: list[TopicFile]) -> DataFrame:
+    """The messages of some files that the subscription has not acknowledged.
+
+    Whole files are left out before they are opened. Single messages are left out by a join
+    against the acks of these publishes only; there are none unless batch pulls share the
+    subscription, and then the messages are not shuffled if the acks are few.
+    """
+    publish_ids = sorted({f.publish_id for f in files})
+    acked_files = read_file_acks(spark, sub)
+    if acked_files is not None:
+        of_batch = acked_files.where(F.col("publish_id").isin(publish_ids)).where(
+            F.col("file_name").isin([f.name for f in files])
+        )
+        done = {(row.publish_id, row.file_name) for row in of_batch.distinct().collect()}
+        files = [f for f in files if (f.publish_id, f.name) not in done]
+    messages = read_topic_files(spark, sub.topic, [f.path for f in files])
+    acks = read_acks(spark, sub)
+    if acks is None:
+        return messages
+    keys = acks.where(F.col("publish_id").isin(publish_ids)).select(*KEY)
+    count = keys.count()
+    if count == 0:
+        return messages
+    return messages.join(F.broadcast(keys) if count <= BROADCAST_KEYS else keys, KEY, "left_anti")
 
 
 def process_stream(
     spark: SparkSession,
     handle: Callable[[DataFrame, int], None],
     *,
-    available_now: bool = False,
-    interval: str | None = None,
     stored: bool = False,
     **options,
 ) -> StreamingQuery:
@@ -73,32 +110,28 @@ def process_stream(
     The streaming query itself carries only the names of new files, which the checkpoint
     pins to the batch. ``handle`` gets an ordinary batch DataFrame over those files, so its
     filters and columns reach the Parquet scan and AQE applies, which is not so for the
-    frame Spark hands to ``foreachBatch``. ``offset`` counts batches from 1.
+    frame Spark hands to ``foreachBatch``. ``offset`` counts batches from 1. Options are those
+    of :func:`read_stream_messages`, ``checkpoint``, and ``available_now`` or ``interval``.
 
     Messages a batch pull of the same subscription has acknowledged are left out. If
     ``handle`` fails the query stops, and a restart replays the same files under the same
     offset; make ``handle`` idempotent in it. ``stored=True`` hands over the columns of the
     topic table in place of the envelope.
     """
-    known = checked(options, *SUBSCRIPTION_OPTIONS, "max_files", "max_bytes", "checkpoint")
+    known = checked(options, *SUBSCRIPTION_OPTIONS, *TRIGGER_OPTIONS, "max_files", "max_bytes")
     sub = Subscription.of(known)
-    checkpoint = required(known, "checkpoint")
     make_dirs(spark, sub.topic.path)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
         files = _batch_files(batch)
         if not files:
             return
-        query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        paths = [path for path, _, _ in files]
-        messages = read_topic_files(session, sub.topic, paths, file_names=True)
-        messages = unacked(messages, sub).drop("file_name")
-        offset = batch_id + 1
+        messages, offset = _undelivered(spark, sub, files), batch_id + 1
         handle(messages if stored else to_envelope(messages, sub.name, offset=offset), offset)
-        named = [(publish_id, name) for _, publish_id, name in files]
-        ack_files(session, sub, named, ack_id=f"{query_id}-{batch_id}")
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        names = [(f.publish_id, f.name) for f in files]
+        done = name_table(spark, names, "publish_id", "file_name")
+        ack_files(done, sub, ack_id=f"{query_id}-{batch_id}")
 
     names = stream_topic(spark, sub.topic, **_bounds(known)).select("_metadata.file_path")
-    writer = names.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    return with_trigger(writer, available_now, interval).start()
+    return with_trigger(names.writeStream.foreachBatch(on_batch), known).start()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from topicflow.operators.publish import publish
-from topicflow.options import check_output_mode, checked, required
+from topicflow.options import TRIGGER_OPTIONS, check_output_mode, checked, required
 from topicflow.streaming.control import with_trigger
 
 
@@ -24,8 +24,6 @@ def write_stream_messages(
     df: DataFrame,
     *,
     output_mode: str = "append",
-    available_now: bool = False,
-    interval: str | None = None,
     payload=None,
     attributes: str | None = None,
     publish_time: str | None = None,
@@ -33,10 +31,13 @@ def write_stream_messages(
     ids: str = "position",
     **options,
 ) -> StreamingQuery:
-    """Publish every row of a streaming DataFrame, each micro-batch exactly once."""
+    """Publish every row of a streaming DataFrame, each micro-batch exactly once.
+
+    Options: ``root``, ``topic``, ``checkpoint``, ``available_now`` or ``interval``,
+    ``max_records_per_file``; the others are those of :func:`topicflow.to_messages`.
+    """
     check_output_mode(output_mode)
-    known = checked(options, "root", "topic", "checkpoint", "max_records_per_file")
-    checkpoint = required(known, "checkpoint")
+    known = checked(options, "root", "topic", "max_records_per_file", *TRIGGER_OPTIONS)
     publish_options = {
         "root": required(known, "root"),
         "topic": required(known, "topic"),
@@ -53,5 +54,4 @@ def write_stream_messages(
         publish_batch(batch, batch_id, **publish_options)
 
     writer = df.writeStream.outputMode("append").foreachBatch(on_batch)
-    writer = writer.option("checkpointLocation", checkpoint)
-    return with_trigger(writer, available_now, interval).start()
+    return with_trigger(writer, known).start()

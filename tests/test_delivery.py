@@ -228,6 +228,21 @@ class TestFilesOfAPull:
         assert seen == [1]
 
 
+@pytest.mark.parametrize("n", [5, 25, 55])
+def test_large_pulls_search_few_files_and_open_few(spark, root, monkeypatch, n):
+    from topicflow.operators import delivery
+
+    monkeypatch.setattr(oldest, "TOP_N_ROWS", 0)
+    monkeypatch.setattr(oldest, "FILE_STEPS", (1, 2, 4))
+    monkeypatch.setattr(delivery, "NAMED_FILES", 3)
+    fill(spark, root, 0, 60, "a", parts=6)
+    options = {"root": root, "topic": "t", "subscription": "s"}
+    sub = Subscription.of(options)
+    ack_keys(keys(spark, sub, 1, 12), sub, ack_id="x")
+    pull = pull_messages(spark, max_messages=n, as_of=NOW, **options)
+    assert numbers(pull.messages) == [i for i in range(60) if i not in (1, 12)][:n]
+
+
 def test_large_pull_with_one_publish_time(spark, root, monkeypatch):
     """All messages tie on time: ranges must still be cut exactly."""
     monkeypatch.setattr(oldest, "TOP_N_ROWS", 0)

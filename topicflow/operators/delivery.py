@@ -25,6 +25,9 @@ from topicflow.schema import FILE_KEY, KEY, LEASE_SCHEMA
 from topicflow.sources.topic import read_topic, read_topic_files
 from topicflow.storage import delete, find, name_table, write_once
 
+#: Up to this many files of a pull are opened by name; with more the topic is scanned.
+NAMED_FILES = 4096
+
 
 @dataclass(frozen=True)
 class Pull:
@@ -70,16 +73,18 @@ def _held(spark: SparkSession, sub: Subscription, pull_id: str) -> str | None:
 def _pinned(sub: Subscription, keys: DataFrame, small: bool) -> DataFrame:
     """Full messages for a set of keys.
 
-    For a small set only the files that hold them are listed and read, and the keys are
-    broadcast: at most ``TOP_N_ROWS`` of each. Otherwise the join is left to AQE.
+    Only the files that hold them are listed and read, unless there are too many to name.
+    A small set, at most ``TOP_N_ROWS`` keys, is broadcast; otherwise AQE picks the join.
     """
     spark = keys.sparkSession
-    if not small:
-        return read_topic(spark, sub.topic).join(keys.select(*KEY), KEY, "left_semi")
-    at = keys.select(*FILE_KEY).distinct().collect()
-    files = [f"{sub.topic.publish_path(row.publish_id)}/{row.file_name}" for row in at]
-    messages = read_topic_files(spark, sub.topic, files)
-    return messages.join(F.broadcast(keys.select(*KEY)), KEY, "left_semi")
+    at = keys.select(*FILE_KEY).distinct().limit(NAMED_FILES + 1).collect()
+    if len(at) <= NAMED_FILES:
+        files = [f"{sub.topic.publish_path(row.publish_id)}/{row.file_name}" for row in at]
+        messages = read_topic_files(spark, sub.topic, files)
+    else:
+        messages = read_topic(spark, sub.topic)
+    keys = keys.select(*KEY)
+    return messages.join(F.broadcast(keys) if small else keys, KEY, "left_semi")
 
 
 def _few_keys(spark: SparkSession, sub: Subscription, n: int, now: int) -> DataFrame:

@@ -22,23 +22,14 @@ TOP_N_ROWS = 1000
 FILE_STEPS = (64, 512, 4096)
 
 
-def oldest_few(spark: SparkSession, sub: Subscription, n: int, now: int) -> list[Row]:
-    """The ``n`` oldest eligible keys; ``n`` is at most ``TOP_N_ROWS``.
+def _first_files(spark: SparkSession, sub: Subscription) -> list[Row]:
+    """The live files that begin earliest, and when they begin: one more than is searched.
 
-    One pass over the publish times finds the first message of every file. Ids are then read
-    in the files that begin earliest only: the answer stands once it lies before the
-    beginning of the first file left out.
+    One pass over the publish times; neither ids nor payloads are read.
     """
-    micros = F.unix_micros("publish_time").alias("first")
-    starts = live_messages(spark, sub).groupBy(*FILE_KEY).agg(F.min("publish_time").alias("publish_time"))
-    bound = FILE_STEPS[-1] + 1
-    starts = starts.select(micros, *FILE_KEY).orderBy("first", *FILE_KEY).limit(bound).collect()
-    for step in FILE_STEPS:
-        files, beyond = starts[:step], starts[step : step + 1]
-        keys = _top(_eligible_in(spark, sub, files, now), n)
-        if not beyond or (len(keys) == n and _position(keys[-1]) < tuple(beyond[0])):
-            return keys
-    return _top(without_hidden(live_messages(spark, sub), sub, now), n)
+    files = live_messages(spark, sub).groupBy(*FILE_KEY).agg(F.min("publish_time").alias("start"))
+    starts = files.select(F.unix_micros("start").alias("micros"), *FILE_KEY)
+    return starts.orderBy("micros", *FILE_KEY).limit(FILE_STEPS[-1] + 1).collect()
 
 
 def _eligible_in(spark: SparkSession, sub: Subscription, files: list[Row], now: int) -> DataFrame:
@@ -47,13 +38,51 @@ def _eligible_in(spark: SparkSession, sub: Subscription, files: list[Row], now:
     return without_hidden(messages, sub, now, sorted({f.publish_id for f in files}))
 
 
+def _eligible(spark: SparkSession, sub: Subscription, now: int) -> DataFrame:
+    return without_hidden(live_messages(spark, sub), sub, now)
+
+
+def oldest_few(spark: SparkSession, sub: Subscription, n: int, now: int) -> list[Row]:
+    """The ``n`` oldest eligible keys; ``n`` is at most ``TOP_N_ROWS``.
+
+    Ids are read in the files that begin earliest only: the answer stands once it lies
+    before the beginning of the first file left out.
+    """
+    starts = _first_files(spark, sub)
+    for step in FILE_STEPS:
+        files, beyond = starts[:step], starts[step : step + 1]
+        keys = _top(_eligible_in(spark, sub, files, now), n)
+        if not beyond or (len(keys) == n and _position(keys[-1]) < _position(beyond[0])):
+            return keys
+    return _top(_eligible(spark, sub, now), n)
+
+
 def _top(messages: DataFrame, n: int) -> list[Row]:
     first = messages.select(*ORDER).orderBy(*ORDER).limit(n)
     return first.withColumn("micros", F.unix_micros("publish_time")).collect()
 
 
-def _position(key: Row) -> tuple:
-    return key.micros, key.publish_id, key.file_name
+def _position(row: Row) -> tuple:
+    return row.micros, row.publish_id, row.file_name
+
+
+def _candidates(spark: SparkSession, sub: Subscription, n: int, now: int) -> DataFrame:
+    """Eligible messages among which the ``n`` oldest are: those before the beginning of some
+    file, if they are enough, so that a long backlog is not sorted for a part of it."""
+    starts = _first_files(spark, sub)
+    for step in FILE_STEPS:
+        files, beyond = starts[:step], starts[step : step + 1]
+        messages = _eligible_in(spark, sub, files, now)
+        if not beyond:
+            return messages
+        end = beyond[0]
+        place = F.struct(F.unix_micros("publish_time"), *[F.col(c) for c in FILE_KEY])
+        before = place < F.struct(*[F.lit(v) for v in _position(end)])
+        in_time = F.col("publish_time") <= F.timestamp_micros(F.lit(end.micros))
+        messages = messages.where(in_time & before)
+        if messages.count() >= n:
+            return messages
+    return _eligible(spark, sub, now)
 
 
 def oldest_many(spark: SparkSession, sub: Subscription, n: int, now: int) -> tuple[DataFrame, str]:
@@ -63,7 +92,7 @@ def oldest_many(spark: SparkSession, sub: Subscription, n: int, now: int) -> tup
     whole and which single one is cut. No two keys are equal, so ranges are even. Also
     returns the directory the keys were written to, for the caller to remove.
     """
-    keys = without_hidden(live_messages(spark, sub), sub, now).select(*ORDER)
+    keys = _candidates(spark, sub, n, now).select(*ORDER)
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = f"{sub.staging}/{uuid.uuid4().hex}"
     ranged = keys.repartitionByRange(ranges, *ORDER)

@@ -97,49 +97,46 @@ def _number_copies(messages: DataFrame, publish_id: str, timed: bool) -> DataFra
     entries = F.array_sort(F.map_entries("attributes"))
     key = ["data", "entries", "publish_time"] if timed else ["data", "entries"]
     stamp = F.first("publish_time", ignorenulls=True).alias("publish_time")
-    counts = F.count(F.lit(1)).alias("copies")
+    copies = F.count(F.lit(1)).alias("copies")
     counted = (
         messages.withColumn("entries", entries)
         .groupBy(*key)
-        .agg(*([counts] if timed else [counts, stamp]))
+        .agg(*([copies] if timed else [copies, stamp]))
+        .withColumn("digest", _digest(publish_id, timed))
     )
 
+    one = F.lit(1).cast("long")
     few = counted.where(F.col("copies") <= COPIES_PER_TASK).select(
-        "*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+        "*", F.explode(F.sequence(one, F.col("copies"))).alias("copy")
     )
+    starts = F.sequence(one, F.col("copies"), F.lit(COPIES_PER_TASK).cast("long"))
     blocks = (
         counted.where(F.col("copies") > COPIES_PER_TASK)
-        .select(
-            "*",
-            F.explode(
-                F.sequence(F.lit(1).cast("long"), F.col("copies"), F.lit(COPIES_PER_TASK))
-            ).alias("from_copy"),
-        )
-        .repartition("from_copy", F.xxhash64("data", "entries"))
+        .select("*", F.explode(starts).alias("from_copy"))
+        .repartition("digest", "from_copy")
     )
     last = F.least(F.col("copies"), F.col("from_copy") + (COPIES_PER_TASK - 1))
     many = blocks.select("*", F.explode(F.sequence("from_copy", last)).alias("copy"))
 
-    def part_hash(text: Column) -> Column:
-        return F.coalesce(F.sha2(text, 256), F.lit(""))
-
-    entry_texts = F.transform("entries", lambda e: F.to_json(e))
-    parts = [
-        F.lit(publish_id),
-        part_hash(F.col("data")),
-        part_hash(F.array_join(entry_texts, ",")),
-        F.col("copy").cast("string"),
-    ]
-    if timed:
-        parts.insert(3, F.unix_micros("publish_time").cast("string"))
     return few.unionByName(many.drop("from_copy")).select(
-        F.sha2(F.concat_ws("|", *parts), 256).alias("message_id"),
+        F.concat_ws("-", "digest", "copy").alias("message_id"),
         "data",
         F.map_from_entries("entries").alias("attributes"),
         "publish_time",
     )
 
 
+def _digest(publish_id: str, timed: bool) -> Column:
+    """SHA-256 of a message in its publish. The lengths in front keep the parts apart."""
+    entries = F.array_join(F.transform("entries", lambda e: F.to_json(e)), ",")
+    time = [F.unix_micros("publish_time").cast("string")] if timed else []
+    size = F.coalesce(F.octet_length("data").cast("string"), F.lit("none"))
+    lengths = F.octet_length(entries).cast("string")
+    head = F.concat_ws("|", F.lit(publish_id), *time, size, lengths, entries)
+    data = F.coalesce(F.col("data"), F.lit("").cast("binary"))
+    return F.sha2(F.concat(head.cast("binary"), data), 256)
+
+
 def publish(
     df: DataFrame,
     *,

@@ -76,10 +76,10 @@ def _candidates(spark: SparkSession, sub: Subscription, n: int, now: int) -> Dat
         if not beyond:
             return messages
         end = beyond[0]
-        place = F.struct(F.unix_micros("publish_time"), *[F.col(c) for c in FILE_KEY])
-        before = place < F.struct(*[F.lit(v) for v in _position(end)])
-        in_time = F.col("publish_time") <= F.timestamp_micros(F.lit(end.micros))
-        messages = messages.where(in_time & before)
+        start = F.timestamp_micros(F.lit(end.micros).cast("long"))
+        place = F.struct("publish_time", *FILE_KEY)
+        before = place < F.struct(start, F.lit(end.publish_id), F.lit(end.file_name))
+        messages = messages.where((F.col("publish_time") <= start) & before)
         if messages.count() >= n:
             return messages
     return _eligible(spark, sub, now)

@@ -310,6 +310,18 @@ def format_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_topic(spark, Topic(root, topic)).select("message_id", _text().alias("payload"))
 
 
+def format_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic streamed by short name into files."""
+    register_format(spark)
+    options = _events(spark, sf_dir)
+    state = options["state_path"]
+    stream = spark.readStream.format("topicflow").options(**options).load()
+    writer = stream.writeStream.format("parquet").trigger(availableNow=True)
+    writer = writer.option("checkpointLocation", f"{state}/checkpoint")
+    _finish(writer.start(f"{state}/out"), f"{state}/checkpoint")
+    return _envelope_view(_drained(spark, f"{state}/out")).drop("event_timestamp")
+
+
 def ack_then_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = _events(spark, sf_dir)
     _ack_type(spark, sf_dir, Subscription.of(options), "view")
@@ -548,6 +560,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "read_and_ack": read_and_ack,
         "format_read": format_read,
         "format_write": format_write,
+        "format_stream": format_stream,
         "ack_then_pull": ack_then_pull,
         "lease": lease_default,
         "lease_short": lease_short,
@@ -645,6 +658,10 @@ def oracle_sql() -> dict[str, str]:
         "batch_pull_limit": f"{_ENVELOPE} {_OLDEST} 5000",
         "read_and_ack": f"{_ENVELOPE} {_OLDEST} 100 OFFSET 100",
         "format_read": f"SELECT * EXCLUDE (event_timestamp) FROM ({_ENVELOPE})",
+        "format_stream": f"""
+    SELECT subscription, CAST(1 AS BIGINT) AS "offset", data, publish_timestamp, attributes,
+           message_id
+    FROM ({_ENVELOPE})""",
         "format_write": """
     SELECT CAST(o_orderkey AS VARCHAR) AS message_id,
            '[' || o_orderkey || ',' || o_custkey || ']' AS payload

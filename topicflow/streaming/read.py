@@ -66,7 +66,7 @@ class TopicFile:
 def _batch_files(batch: DataFrame) -> list[TopicFile]:
     """The files of a micro-batch: as many as the trigger admits."""
     files = []
-    for (path,) in batch.distinct().collect():
+    for path in batch.agg(F.collect_set("file_path")).first()[0]:
         directory, name = path.rsplit("/", 1)
         files.append(TopicFile(path, unquote(directory.rsplit("publish_id=", 1)[1]), name))
     return sorted(files, key=lambda f: f.path)

@@ -28,14 +28,14 @@ def _timestamp_text(column: Column) -> Column:
 def _local_timestamp_text(column: Column) -> Column:
     """ISO form: ``T`` between the parts, no zero seconds, a fraction of 3 or 6 digits."""
     text = F.replace(column.cast("string"), F.lit(" "), F.lit("T"))
-    seconds = F.date_part(F.lit("SECONDS"), column)
-    micros = ((seconds - F.floor(seconds)) * 1_000_000).cast("int")
+    # Zones differ by whole seconds, so the part below a second is the same in any of them.
+    micros = F.pmod(F.unix_micros(column.cast("timestamp")), F.lit(1_000_000))
     fraction = F.when(
         micros % 1000 == 0, F.lpad((micros / 1000).cast("int").cast("string"), 3, "0")
     ).otherwise(F.lpad(micros.cast("string"), 6, "0"))
     return (
-        F.when(seconds == 0, F.substring_index(text, ":", 2))
-        .when(seconds == F.floor(seconds), text)
+        F.when((F.second(column) == 0) & (micros == 0), F.substring_index(text, ":", 2))
+        .when(micros == 0, text)
         .otherwise(F.concat(F.substring_index(text, ".", 1), F.lit("."), fraction))
     )
 

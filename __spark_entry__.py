@@ -44,7 +44,7 @@ from topicflow.plans.jobs import (  # noqa: E402
     topic_to_csv as run_topic_to_csv,
     topic_to_topic as run_topic_to_topic,
 )
-from topicflow.schema import ENVELOPE_SCHEMA, LEASE_SCHEMA  # noqa: E402
+from topicflow.schema import ENVELOPE_SCHEMA  # noqa: E402
 from topicflow.sources.format import register_format  # noqa: E402
 from topicflow.storage import modified_at, shared_scratch  # noqa: E402
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +19,7 @@ from topicflow.options import (
     checked,
     positive,
 )
-from topicflow.schema import KEY
+from topicflow.schema import FILE_KEY, KEY
 from topicflow.sources.topic import read_topic_files, stream_topic
 from topicflow.storage import make_dirs, name_table
 from topicflow.streaming.control import with_trigger
@@ -56,41 +54,39 @@ def read_stream_messages(spark: SparkSession, **options) -> DataFrame:
     return to_envelope(messages, sub.name, offset=None)
 
 
-@dataclass(frozen=True)
-class TopicFile:
-    path: str
-    publish_id: str
-    name: str
+#: Publish and name of a stored file.
+TopicFile = tuple[str, str]
 
 
 def _batch_files(batch: DataFrame) -> list[TopicFile]:
     """The files of a micro-batch: as many as the trigger admits."""
-    files = []
-    for path in batch.agg(F.collect_set("file_path")).first()[0]:
-        directory, name = path.rsplit("/", 1)
-        files.append(TopicFile(path, unquote(directory.rsplit("publish_id=", 1)[1]), name))
-    return sorted(files, key=lambda f: f.path)
+    return sorted(tuple(file) for file in batch.agg(F.collect_set(F.struct(*FILE_KEY))).first()[0])
+
+
+def _without_acked(spark: SparkSession, sub: Subscription, files: list[TopicFile]) -> list[TopicFile]:
+    """The files that no stream of this subscription has acknowledged."""
+    acks = read_file_acks(spark, sub)
+    if acks is None:
+        return files
+    publish_ids, names = zip(*files)
+    of_batch = acks.where(F.col("publish_id").isin(sorted(set(publish_ids))))
+    of_batch = of_batch.where(F.col("file_name").isin(list(names)))
+    done = {tuple(row) for row in of_batch.select(*FILE_KEY).distinct().collect()}
+    return [file for file in files if file not in done]
 
 
 def _undelivered(spark: SparkSession, sub: Subscription, files: list[TopicFile]) -> DataFrame:
-    """The messages of some files that the subscription has not acknowledged.
+    """The messages of some files without those acknowledged one by one.
 
-    Whole files are left out before they are opened. Single messages are left out by a join
-    against the acks of these publishes only; there are none unless batch pulls share the
-    subscription, and then the messages are not shuffled if the acks are few.
+    Only the acks of these publishes are joined. There are none unless batch pulls share the
+    subscription, and if they are few the messages are not shuffled.
     """
-    publish_ids = sorted({f.publish_id for f in files})
-    acked_files = read_file_acks(spark, sub)
-    if acked_files is not None:
-        of_batch = acked_files.where(F.col("publish_id").isin(publish_ids)).where(
-            F.col("file_name").isin([f.name for f in files])
-        )
-        done = {(row.publish_id, row.file_name) for row in of_batch.distinct().collect()}
-        files = [f for f in files if (f.publish_id, f.name) not in done]
-    messages = read_topic_files(spark, sub.topic, [f.path for f in files])
+    paths = [f"{sub.topic.publish_path(publish_id)}/{name}" for publish_id, name in files]
+    messages = read_topic_files(spark, sub.topic, paths)
     acks = read_acks(spark, sub)
     if acks is None:
         return messages
+    publish_ids = sorted({publish_id for publish_id, _ in files})
     keys = acks.where(F.col("publish_id").isin(publish_ids)).select(*KEY)
     count = keys.count()
     if count == 0:
@@ -115,7 +111,8 @@ def process_stream(
 
     Messages a batch pull of the same subscription has acknowledged are left out. If
     ``handle`` fails the query stops, and a restart replays the same files under the same
-    offset; make ``handle`` idempotent in it. ``stored=True`` hands over the columns of the
+    offset; make ``handle`` idempotent in it. A batch that was acknowledged already is not
+    handled again, so a replay cannot replace its output by nothing. ``stored=True`` hands over the columns of the
     topic table in place of the envelope.
     """
     known = checked(options, *SUBSCRIPTION_OPTIONS, *TRIGGER_OPTIONS, "max_files", "max_bytes")
@@ -124,14 +121,15 @@ def process_stream(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         files = _batch_files(batch)
+        files = _without_acked(spark, sub, files) if files else []
         if not files:
             return
         messages, offset = _undelivered(spark, sub, files), batch_id + 1
         handle(messages if stored else to_envelope(messages, sub.name, offset=offset), offset)
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        names = [(f.publish_id, f.name) for f in files]
-        done = name_table(spark, names, "publish_id", "file_name")
+        done = name_table(spark, files, *FILE_KEY)
         ack_files(done, sub, ack_id=f"{query_id}-{batch_id}")
 
-    names = stream_topic(spark, sub.topic, **_bounds(known)).select("_metadata.file_path")
+    names = stream_topic(spark, sub.topic, **_bounds(known))
+    names = names.select("publish_id", "_metadata.file_name")
     return with_trigger(names.writeStream.foreachBatch(on_batch), known).start()

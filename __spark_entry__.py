@@ -8,6 +8,7 @@ the same tables. Delivery state is new for each call.
 from __future__ import annotations
 
 import hashlib
+import importlib.util
 import sys
 import uuid
 from collections.abc import Callable
@@ -54,6 +55,11 @@ EVENT_FIELDS = "event_id bigint, user_id bigint, event_type string, value double
 #: Seconds a bounded stream may take before the query fails.
 STREAM_TIMEOUT = 6000
 
+#: Queries that prepare training data; absent where their package is.
+_llm = None
+if importlib.util.find_spec("topicflow.llm") is not None:
+    _llm = importlib.import_module("topicflow.llm.queries")
+
 _roots: dict[str, str] = {}
 
 
@@ -544,7 +550,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return (_llm.queries() if _llm else {}) | {
         "payload_text": payload_text,
         "payload_text_types": payload_text_types,
         "batch_publish": batch_publish,
@@ -617,7 +623,7 @@ def _iso_text(column: str) -> str:
 def oracle_sql() -> dict[str, str]:
     without_offset = f"""
     SELECT subscription, data, publish_timestamp, attributes, message_id FROM ({_ENVELOPE})"""
-    return {
+    return (_llm.oracle_sql() if _llm else {}) | {
         "payload_text": f"""
     SELECT o_orderkey, {_ORDER_TEXT} || ',' || {_iso_text("o_orderdate")} || ','
            || o_orderpriority || ']' AS payload

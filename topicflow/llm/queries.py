@@ -5,22 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import topicflow
-from topicflow.llm import bpe, mixing, simhash, substring
+import corpus_pipeline
+from topicflow.llm import bpe, fertility, mixing, simhash, substring, toxicity
 
-BPE_FILE = "byte_bpe_50k.json"
+BPE_FILE = corpus_pipeline.BPE_FILE
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Functions go to the executors by value, so that these need not have the package installed.
-    cloudpickle.register_pickle_by_value(topicflow)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path(BPE_FILE)))
@@ -36,23 +39,31 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op9_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return fertility.quality(docs, public_tokenizers.path(PIECE_FILE))
+
+
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring.cut_repeats(_table(spark, sf_dir, "documents"))
     return cut.select(
         "doc_id",
-        "n_words",
-        F.array_distinct("spans.other").alias("other_doc_ids"),
-        "spans",
+        F.col("_n_words").alias("n_words"),
+        F.array_distinct("_spans.other").alias("other_doc_ids"),
+        F.col("_spans").alias("spans"),
         "text",
     )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_bpe": op2_bpe,
         "op3_mixing": op3_mixing,
         "op7_simhash": op7_simhash,
+        "op9_fertility": op9_fertility,
         "op10_substring": op10_substring,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -9,7 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from topicflow.llm import bpe, fertility, mixing, simhash, substring, toxicity
+from topicflow.llm import (
+    bpe,
+    embeddings,
+    extraction,
+    fertility,
+    licenses,
+    mixing,
+    ordinal,
+    simhash,
+    substring,
+    toxicity,
+)
 
 BPE_FILE = corpus_pipeline.BPE_FILE
 PIECE_FILE = "piece_bpe_32k.model"
@@ -34,11 +45,28 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "copy")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return ordinal.grade(docs, ordinal.fit(docs, ordinal.graded(_table(spark, sf_dir, "labels"))))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return fertility.quality(docs, public_tokenizers.path(PIECE_FILE))
@@ -60,7 +88,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op2_bpe": op2_bpe,
         "op3_mixing": op3_mixing,
+        "op4_licenses": op4_licenses,
+        "op5_embeddings": op5_embeddings,
+        "op6_quality": op6_quality,
         "op7_simhash": op7_simhash,
+        "op8_extraction": op8_extraction,
         "op9_fertility": op9_fertility,
         "op10_substring": op10_substring,
         "pipeline": corpus_pipeline.run,

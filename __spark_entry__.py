@@ -35,7 +35,6 @@ from topicflow import (  # noqa: E402
     read_topic,
     row_text,
     to_envelope,
-    to_messages,
     write_stream_messages,
 )
 from topicflow.operators.delivery import ack_keys, lease  # noqa: E402
@@ -45,8 +44,8 @@ from topicflow.plans.jobs import (  # noqa: E402
     topic_to_csv as run_topic_to_csv,
     topic_to_topic as run_topic_to_topic,
 )
-from topicflow.schema import ENVELOPE_SCHEMA  # noqa: E402
-from topicflow.sources.format import register_format  # noqa: E402
+from topicflow.operators.maintenance import compact_acks  # noqa: E402
+from topicflow.schema import ENVELOPE_SCHEMA, KEY  # noqa: E402
 from topicflow.storage import modified_at, shared_scratch  # noqa: E402
 
 #: The instant of every pull below, epoch ms.
@@ -145,11 +144,10 @@ def _orders_topic(spark: SparkSession, sf_dir: str) -> Topic:
 def _keys_of_type(
     spark: SparkSession, sf_dir: str, sub: Subscription, event_type: str
 ) -> DataFrame:
-    """Keys (with file) of the messages whose event has the given type."""
+    """Keys of the messages whose event has the given type."""
     events = _table(spark, sf_dir, "events").where(F.col("event_type") == event_type)
     ids = events.select(F.col("event_id").cast("string").alias("message_id"))
-    stored = read_topic(spark, sub.topic, file_names=True)
-    stored = stored.select("publish_id", "message_id", "file_name")
+    stored = read_topic(spark, sub.topic, positions=True).select(*KEY, "message_id")
     return stored.join(ids, "message_id", "left_semi")
 
 
@@ -297,35 +295,76 @@ def read_and_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _envelope_view(read_messages(spark, ack="on_read", as_of=AS_OF, **options))
 
 
-def format_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_format(spark)
-    reader = spark.read.format("topicflow").options(**_events(spark, sf_dir))
-    return _envelope_view(reader.load()).drop("event_timestamp")
+def _repeated_ids(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """A topic of all line items whose ids are three letters, some of them null."""
+    root = _root(spark, sf_dir, "lineitem")
+    rows = _table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("id"),
+        F.col("l_linenumber").cast("string").alias("body"),
+        "l_shipdate",
+    )
+    publish(
+        rows, root=root, topic="repeated", publish_id="all",
+        payload="body", message_id="id", publish_time="l_shipdate",
+    )
+    return _fresh(root, "repeated")
 
 
-def format_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_format(spark)
-    root = _root(spark, sf_dir, "orders")
-    topic = f"ord-{uuid.uuid4().hex}"
-    orders = _table(spark, sf_dir, "orders")
-    messages = to_messages(
-        orders, "all", payload=["o_orderkey", "o_custkey"], message_id="o_orderkey"
-    )
-    writer = messages.write.format("topicflow").mode("append")
-    writer.options(root=root, topic=topic, publish_id="all").save()
-    return read_topic(spark, Topic(root, topic)).select("message_id", _text().alias("payload"))
+def pull_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many messages as asked for, the oldest, although ids repeat or are null."""
+    pull = pull_messages(spark, as_of=AS_OF, max_messages=5000, **_repeated_ids(spark, sf_dir))
+    return pull.messages.groupBy("publish_timestamp").agg(F.count(F.lit(1)).alias("messages"))
 
 
-def format_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The topic streamed by short name into files."""
-    register_format(spark)
-    options = _events(spark, sf_dir)
-    state = options["state_path"]
-    stream = spark.readStream.format("topicflow").options(**options).load()
-    writer = stream.writeStream.format("parquet").trigger(availableNow=True)
-    writer = writer.option("checkpointLocation", f"{state}/checkpoint")
-    _finish(writer.start(f"{state}/out"), f"{state}/checkpoint")
-    return _envelope_view(_drained(spark, f"{state}/out")).drop("event_timestamp")
+def ack_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First line items acknowledged one by one; each of the others still waits."""
+    sub = Subscription.of(_repeated_ids(spark, sf_dir))
+    stored = read_topic(spark, sub.topic, positions=True).where(_text() == "1")
+    ack_keys(stored.select(*KEY), sub, ack_id="first", acked_at=AS_OF)
+    waiting = eligible(spark, sub, AS_OF).groupBy("message_id", _text().alias("line"))
+    return waiting.agg(F.count(F.lit(1)).alias("messages"))
+
+
+def topic_to_topic_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages forwarded by one large pull, then again after upkeep: each once."""
+    options = {**_repeated_ids(spark, sf_dir), "max_messages": 100_000_000}
+    target, sub = f"forwarded-{uuid.uuid4().hex}", Subscription.of(options)
+    for _ in range(2):
+        run_topic_to_topic(spark, to_topic=target, pull_id="day-1", as_of=AS_OF, **options)
+        compact_acks(spark, sub)
+    left = backlog(spark, sub, AS_OF + 10**9).select(F.col("messages").alias("left"))
+    copies = read_topic(spark, Topic(sub.topic.root, target)).groupBy("message_id")
+    return copies.agg(F.count(F.lit(1)).alias("messages")).join(left)
+
+
+def two_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal publish ids and subscription names: acks of one topic do not touch the other."""
+    root = _root(spark, sf_dir, "orders")
+    run = uuid.uuid4().hex
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey")
+    subs = {}
+    for topic in (f"one-{run}", f"two-{run}"):
+        publish(orders, root=root, topic=topic, publish_id="day", message_id="o_orderkey")
+        subs[topic[:3]] = Subscription.of({"root": root, "topic": topic, "subscription": f"s-{run}"})
+    one, two = subs["one"], subs["two"]
+    ack_keys(read_topic(spark, one.topic, positions=True).select(*KEY), one, ack_id="all")
+    compact_acks(spark, one)
+    first = eligible(spark, one, AS_OF).select(F.lit("one").alias("topic"), "message_id")
+    second = eligible(spark, two, AS_OF).select(F.lit("two").alias("topic"), "message_id")
+    return first.union(second)
+
+
+def save_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every save mode but overwrite appends."""
+    topic = Topic(_root(spark, sf_dir, "orders"), f"modes-{uuid.uuid4().hex}")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey")
+    for mode in ("append", "error", "errorifexists", "ignore"):
+        publish(
+            orders, root=topic.root, topic=topic.name, mode=mode, publish_id=mode,
+            message_id="o_orderkey",
+        )
+    stored = read_topic(spark, topic).groupBy("message_id")
+    return stored.agg(F.count(F.lit(1)).alias("messages"))
 
 
 def ack_then_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,11 +433,31 @@ def _drained(spark: SparkSession, out: str) -> DataFrame:
 
 
 def stream_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of a subscription that is not acknowledged, and what waits after it."""
     options = _events(spark, sf_dir)
-    state = options["state_path"]
+    sub, state = Subscription.of(options), options["state_path"]
+    _ack_type(spark, sf_dir, sub, "purchase")
     _drain(spark, options, f"{state}/out", f"{state}/checkpoint")
-    columns = ["subscription", "data", "publish_timestamp", "attributes", "message_id"]
-    return _envelope_view(_drained(spark, f"{state}/out")).select(*columns)
+    left = backlog(spark, sub, AS_OF).select(F.col("messages").alias("left"))
+    return _envelope_view(_drained(spark, f"{state}/out")).drop("event_timestamp", "batch").join(left)
+
+
+def stream_pull_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches bounded by bytes: every message once, in several batches."""
+    options = _events_by_type(spark, sf_dir, "click", "error", others=True)
+    state = options["state_path"]
+    _drain(spark, options, f"{state}/out", f"{state}/checkpoint", max_bytes=1)
+    drained = _drained(spark, f"{state}/out")
+    batches = drained.agg((F.max("offset") > 1).alias("several_batches"))
+    return drained.select(_event_id()).join(batches)
+
+
+def stream_pull_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches bounded by a number of messages, given by the name other connectors use."""
+    options = _events_by_type(spark, sf_dir, "click", "error", others=True)
+    state = options["state_path"]
+    _drain(spark, options, f"{state}/out", f"{state}/checkpoint", messageCountPerBatch=100)
+    return _drained(spark, f"{state}/out").select(_event_id())
 
 
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -529,24 +588,27 @@ def decode_republish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_to_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of a subscription that is not acknowledged, as CSV, and what waits after it."""
     options = _events(spark, sf_dir)
-    state = options["state_path"]
+    sub, state = Subscription.of(options), options["state_path"]
+    _ack_type(spark, sf_dir, sub, "purchase")
     query = run_topic_to_csv(
         spark, f"{state}/csv", checkpoint=f"{state}/checkpoint", available_now=True, **options
     )
     _finish(query, f"{state}/checkpoint")
     fields = (
-        "subscription string, data string, publish_timestamp bigint, event_timestamp bigint, "
-        "attributes string, message_id string"
+        "subscription string, offset bigint, data string, publish_timestamp bigint, "
+        "event_timestamp bigint, attributes string, message_id string"
     )
-    return spark.read.schema(fields).csv(f"{state}/csv").drop("event_timestamp")
+    left = backlog(spark, sub, AS_OF).select(F.col("messages").alias("left"))
+    rows = spark.read.schema(fields).csv(f"{state}/csv").drop("event_timestamp", "batch")
+    return rows.join(left)
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Orders published to a topic and pulled as envelopes."""
+    """Orders published to a topic, as envelopes."""
     topic = _orders_topic(spark, "/root/testdata/sf0.001")
-    options = _fresh(topic.root, topic.name)
-    return _envelope_view(read_messages(spark, max_messages=1000, **options))
+    return _envelope_view(to_envelope(read_topic(spark, topic), "sub", as_of=AS_OF))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -564,15 +626,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_pull": batch_pull,
         "batch_pull_limit": batch_pull_limit,
         "read_and_ack": read_and_ack,
-        "format_read": format_read,
-        "format_write": format_write,
-        "format_stream": format_stream,
+        "pull_repeated_ids": pull_repeated_ids,
+        "ack_repeated_ids": ack_repeated_ids,
+        "two_topics": two_topics,
+        "save_modes": save_modes,
         "ack_then_pull": ack_then_pull,
         "lease": lease_default,
         "lease_short": lease_short,
         "redelivery": redelivery,
         "backlog": backlog_of_subscription,
         "stream_pull": stream_pull,
+        "stream_pull_bytes": stream_pull_bytes,
+        "stream_pull_count": stream_pull_count,
         "stream_restart": stream_restart,
         "stream_offsets": stream_offsets,
         "stream_ack": stream_ack,
@@ -580,6 +645,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_publish_replay": stream_publish_replay,
         "csv_to_topic": csv_to_topic,
         "topic_to_topic": topic_to_topic,
+        "topic_to_topic_repeated_ids": topic_to_topic_repeated_ids,
         "decode_republish": decode_republish,
         "topic_to_csv": topic_to_csv,
     }
@@ -598,6 +664,7 @@ _ENVELOPE = f"""
 _OLDEST = "ORDER BY ts, message_id LIMIT"
 _WAITING = "event_type NOT IN ('click', 'error')"
 _ORDER_TEXT = "'[' || o_orderkey || ',' || o_custkey || ',' || o_orderstatus"
+_FLAG_ID = "CASE WHEN l_returnflag <> 'R' THEN l_returnflag END"
 _FLAG_COPIES = """
     SELECT '[' || l_returnflag || ',' || l_linestatus || ',' || l_linenumber || ']' AS payload,
            count(*) AS messages, count(*) AS ids
@@ -621,8 +688,10 @@ def _iso_text(column: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    without_offset = f"""
-    SELECT subscription, data, publish_timestamp, attributes, message_id FROM ({_ENVELOPE})"""
+    streamed = f"""
+    SELECT subscription, CAST(1 AS BIGINT) AS "offset", data, publish_timestamp, attributes,
+           message_id, CAST(0 AS BIGINT) AS "left"
+    FROM ({_ENVELOPE} WHERE event_type <> 'purchase')"""
     return (_llm.oracle_sql() if _llm else {}) | {
         "payload_text": f"""
     SELECT o_orderkey, {_ORDER_TEXT} || ',' || {_iso_text("o_orderdate")} || ','
@@ -663,15 +732,20 @@ def oracle_sql() -> dict[str, str]:
         "batch_pull": f"{_ENVELOPE} {_OLDEST} 10",
         "batch_pull_limit": f"{_ENVELOPE} {_OLDEST} 5000",
         "read_and_ack": f"{_ENVELOPE} {_OLDEST} 100 OFFSET 100",
-        "format_read": f"SELECT * EXCLUDE (event_timestamp) FROM ({_ENVELOPE})",
-        "format_stream": f"""
-    SELECT subscription, CAST(1 AS BIGINT) AS "offset", data, publish_timestamp, attributes,
-           message_id
-    FROM ({_ENVELOPE})""",
-        "format_write": """
-    SELECT CAST(o_orderkey AS VARCHAR) AS message_id,
-           '[' || o_orderkey || ',' || o_custkey || ']' AS payload
-    FROM orders""",
+        "pull_repeated_ids": """
+    SELECT epoch_us(l_shipdate) // 1000 AS publish_timestamp, count(*) AS messages
+    FROM (SELECT l_shipdate FROM lineitem ORDER BY l_shipdate LIMIT 5000) GROUP BY 1""",
+        "ack_repeated_ids": f"""
+    SELECT {_FLAG_ID} AS message_id, CAST(l_linenumber AS VARCHAR) AS line, count(*) AS messages
+    FROM lineitem WHERE l_linenumber <> 1 GROUP BY 1, 2""",
+        "topic_to_topic_repeated_ids": f"""
+    SELECT {_FLAG_ID} AS message_id, count(*) AS messages, CAST(0 AS BIGINT) AS "left"
+    FROM lineitem GROUP BY 1""",
+        "two_topics": "SELECT 'two' AS topic, CAST(o_orderkey AS VARCHAR) AS message_id FROM orders",
+        "save_modes": """
+    SELECT CAST(o_orderkey AS VARCHAR) AS message_id, CAST(4 AS BIGINT) AS messages FROM orders""",
+        "stream_pull_bytes": "SELECT event_id, true AS several_batches FROM events",
+        "stream_pull_count": "SELECT event_id FROM events",
         "ack_then_pull": f"{_ENVELOPE} WHERE event_type <> 'view' {_OLDEST} 10",
         "lease": _lease_sql(240_000),
         "lease_short": _lease_sql(1_000),
@@ -681,7 +755,7 @@ def oracle_sql() -> dict[str, str]:
     SELECT 'sub' AS subscription, count(*) AS messages,
            epoch_us(min(ts)) // 1000 AS oldest_publish_timestamp
     FROM events WHERE {_WAITING}""",
-        "stream_pull": without_offset,
+        "stream_pull": streamed,
         "stream_restart": "SELECT event_id FROM events",
         "stream_offsets": """
     SELECT CAST(1 AS BIGINT) AS first_offset, CAST(0 AS BIGINT) AS gaps,
@@ -701,5 +775,5 @@ def oracle_sql() -> dict[str, str]:
         "decode_republish": """
     SELECT '[' || event_id || ',' || user_id || ',' || event_type || ']' AS payload
     FROM events""",
-        "topic_to_csv": without_offset,
+        "topic_to_csv": streamed,
     }

@@ -73,7 +73,7 @@ def main() -> None:
     )
     topic = Topic(root, "ev")
     half = {"root": root, "topic": "ev", "subscription": "half"}
-    stored = read_topic(spark, topic, file_names=True).drop("data")
+    stored = read_topic(spark, topic, positions=True).drop("data")
     ack_keys(stored.where(F.crc32("message_id") % 2 == 0), Subscription.of(half), ack_id="half")
 
     def new(prefix: str) -> str:

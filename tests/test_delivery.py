@@ -15,10 +15,11 @@ from topicflow import (
     read_messages,
     read_topic,
 )
-from topicflow.operators import oldest
+from topicflow.operators import state
 from topicflow.operators.delivery import ack_files, ack_keys, lease
 from topicflow.operators.maintenance import compact_acks, drop_expired_leases, drop_stale_staging
 from topicflow.operators.state import read_acks, read_file_acks, read_leases
+from topicflow.schema import KEY
 from topicflow.storage import find, list_dirs
 
 NOW = 1_000_000
@@ -54,8 +55,18 @@ def numbers(df):
 
 def keys(spark, sub, *chosen):
     names = [f"{n:06d}" for n in chosen]
-    rows = read_topic(spark, sub.topic, file_names=True).where(F.col("message_id").isin(names))
-    return rows.select("publish_id", "message_id", "file_name")
+    rows = read_topic(spark, sub.topic, positions=True).where(F.col("message_id").isin(names))
+    return rows.select(*KEY, "message_id")
+
+
+def acked(spark, sub):
+    """Numbers of the messages acknowledged one by one."""
+    stored = read_topic(spark, sub.topic, positions=True).select(*KEY, "message_id")
+    return numbers(stored.join(read_acks(spark, sub).select(*KEY).distinct(), KEY))
+
+
+def retired(done):
+    return sorted(r.publish_id for r in done.collect())
 
 
 def test_peek_takes_the_oldest_ten_and_changes_nothing(spark, options, sub):
@@ -105,7 +116,7 @@ def test_same_pull_id_returns_the_same_set(spark, options, sub):
 def test_ack_by_pull_id_and_unknown_pull(spark, options, sub):
     pull_messages(spark, pull_id="p", as_of=NOW, **options)
     ack_pull(spark, sub, "p")
-    assert numbers(read_acks(spark, sub)) == list(range(10))
+    assert acked(spark, sub) == list(range(10))
     with pytest.raises(ValueError, match="No pull"):
         ack_pull(spark, sub, "q")
 
@@ -150,11 +161,11 @@ def test_every_combination_of_state(spark, options, sub):
     lease(spark, sub, keys(spark, sub, 2, 3, 12, 13), pull_id="old", as_of=NOW - 300_000)
     ack_keys(keys(spark, sub, 10, 11, 12, 13), sub, ack_id="x")
     open_now = set(numbers(eligible(spark, sub, NOW)))
-    acked = set(numbers(read_acks(spark, sub)))
-    leased = set(numbers(read_leases(spark, sub).where(F.col("lease_until") > NOW))) - acked
+    done = set(acked(spark, sub))
+    leased = set(numbers(read_leases(spark, sub, NOW))) - done
     assert open_now == set(range(30)) - {1, 2, 10, 11, 12, 13}
-    assert acked | open_now | leased == set(range(30))
-    for x, y in itertools.combinations((acked, open_now, leased), 2):
+    assert done | open_now | leased == set(range(30))
+    for x, y in itertools.combinations((done, open_now, leased), 2):
         assert not x & y
 
 
@@ -167,8 +178,7 @@ def test_same_id_in_two_publishes_is_two_messages(spark, root, options, sub):
 
 
 @pytest.mark.parametrize("n", [1, 7, 29, 30, 31, 1000])
-def test_large_pulls_take_exactly_the_oldest(spark, options, sub, monkeypatch, n):
-    monkeypatch.setattr(oldest, "TOP_N_ROWS", 0)
+def test_large_pulls_take_exactly_the_oldest(spark, options, sub, n):
     ack_keys(keys(spark, sub, 3), sub, ack_id="x")
     expected = [i for i in range(30) if i != 3][:n]
     assert numbers(read_messages(spark, max_messages=n, **options)) == expected
@@ -179,10 +189,6 @@ def test_large_pulls_take_exactly_the_oldest(spark, options, sub, monkeypatch, n
 class TestFilesOfAPull:
     """However the oldest messages lie in files, a small pull finds exactly those."""
 
-    @pytest.fixture(autouse=True)
-    def few_files_a_step(self, monkeypatch):
-        monkeypatch.setattr(oldest, "FILE_STEPS", (1, 2, 4))
-
     def pulled(self, spark, root, n):
         options = {"root": root, "topic": "t", "subscription": "s"}
         rows = pull_messages(spark, max_messages=n, as_of=NOW, **options).messages.collect()
@@ -218,9 +224,9 @@ class TestFilesOfAPull:
     def test_early_answer_reads_few_files(self, spark, root, monkeypatch):
         fill(spark, root, 0, 60, "a", parts=6)
         seen = []
-        original = oldest.read_topic_files
+        original = state.read_topic_files
         monkeypatch.setattr(
-            oldest,
+            state,
             "read_topic_files",
             lambda s, t, files, **kw: seen.append(len(files)) or original(s, t, files, **kw),
         )
@@ -229,12 +235,7 @@ class TestFilesOfAPull:
 
 
 @pytest.mark.parametrize("n", [5, 25, 55])
-def test_large_pulls_search_few_files_and_open_few(spark, root, monkeypatch, n):
-    from topicflow.operators import delivery
-
-    monkeypatch.setattr(oldest, "TOP_N_ROWS", 0)
-    monkeypatch.setattr(oldest, "FILE_STEPS", (1, 2, 4))
-    monkeypatch.setattr(delivery, "NAMED_FILES", 3)
+def test_pulls_pass_over_single_acks(spark, root, n):
     fill(spark, root, 0, 60, "a", parts=6)
     options = {"root": root, "topic": "t", "subscription": "s"}
     sub = Subscription.of(options)
@@ -243,9 +244,8 @@ def test_large_pulls_search_few_files_and_open_few(spark, root, monkeypatch, n):
     assert numbers(pull.messages) == [i for i in range(60) if i not in (1, 12)][:n]
 
 
-def test_large_pull_with_one_publish_time(spark, root, monkeypatch):
+def test_large_pull_with_one_publish_time(spark, root):
     """All messages tie on time: ranges must still be cut exactly."""
-    monkeypatch.setattr(oldest, "TOP_N_ROWS", 0)
     publish(spark.range(5000).repartition(3), root=root, topic="t", as_of=5, publish_id="p")
     options = {"root": root, "topic": "t", "subscription": "s"}
     seen = set()
@@ -276,37 +276,47 @@ class TestCompaction:
         ack_keys(keys(spark, sub, *range(0, 13)), sub, ack_id="one")
         ack_keys(keys(spark, sub, *range(12, 25)), sub, ack_id="two")
         before = numbers(eligible(spark, sub, NOW))
-        assert compact_acks(spark, sub) == ["a"]
+        assert retired(compact_acks(spark, sub)) == ["a"]
         assert numbers(eligible(spark, sub, NOW)) == before == list(range(25, 30))
-        assert len(list_dirs(spark, sub.acks)) == len(list_dirs(spark, sub.file_acks)) == 1
         # 20 to 24 fill a file of their own
         assert read_acks(spark, sub).isEmpty() and read_file_acks(spark, sub).count() == 1
-        assert compact_acks(spark, sub) == []
+        # what was merged stays for queries that have listed it, and goes with a later run
+        assert len(list_dirs(spark, sub.acks)) == 3
+        compact_acks(spark, sub, keep_seconds=0)
+        assert not {"ack_id=one", "ack_id=two"} & set(list_dirs(spark, sub.acks))
+        assert retired(compact_acks(spark, sub)) == []
         fill(spark, root, 30, 35, "c")
         assert numbers(eligible(spark, sub, NOW)) == list(range(25, 35))
 
     def test_file_acks_count(self, spark, options, sub):
         for i in (3, 13):
             ack_files(keys(spark, sub, i), sub, ack_id=f"f{i}")
-        assert compact_acks(spark, sub) == ["a"]
+        assert retired(compact_acks(spark, sub)) == ["a"]
         assert numbers(eligible(spark, sub, NOW)) == list(range(20, 30))
 
-    def test_retired_publishes_are_not_scanned(self, spark, options, sub):
+    def test_retired_publishes_are_not_opened(self, spark, options, sub):
         ack_keys(keys(spark, sub, *range(20)), sub, ack_id="one")
         compact_acks(spark, sub)
-        plan = eligible(spark, sub, NOW)._jdf.queryExecution().toString()
-        assert "NOT (publish_id" in plan.split("PartitionFilters")[1].split("]")[0]
+        opened = [f for f in eligible(spark, sub, NOW).inputFiles() if "/topics/" in f]
+        assert opened and all("publish_id=b" in f for f in opened)
+
+    def test_a_query_from_before_still_reads(self, spark, options, sub):
+        ack_keys(keys(spark, sub, 1, 2), sub, ack_id="one")
+        waiting = eligible(spark, sub, NOW)
+        compact_acks(spark, sub)
+        compact_acks(spark, sub)
+        assert numbers(waiting) == [0, *range(3, 30)] == numbers(eligible(spark, sub, NOW))
 
     def test_acks_of_unfinished_files_stay(self, spark, options, sub):
         ack_keys(keys(spark, sub, 1, 2, 25), sub, ack_id="one")
         ack_keys(keys(spark, sub, 2, 3), sub, ack_id="two")
         before = numbers(eligible(spark, sub, NOW))
-        assert compact_acks(spark, sub) == []
-        assert numbers(read_acks(spark, sub)) == [1, 2, 3, 25]
+        assert retired(compact_acks(spark, sub)) == []
+        assert acked(spark, sub) == [1, 2, 3, 25]
         assert numbers(eligible(spark, sub, NOW)) == before
 
     def test_nothing_to_do(self, spark, options, sub):
-        assert compact_acks(spark, sub) == []
+        assert retired(compact_acks(spark, sub)) == []
 
     def test_expired_leases_go_after_a_while(self, spark, options, sub):
         pull_messages(spark, pull_id="old", as_of=NOW, lease_seconds=1, **options)
@@ -325,7 +335,63 @@ class TestCompaction:
         assert read_topic(spark, topic).count() == 30
 
 
-def test_scratch_of_large_pulls_is_removed(spark, options, sub, monkeypatch):
-    monkeypatch.setattr(oldest, "TOP_N_ROWS", 0)
+def test_scratch_is_removed(spark, options, sub):
+    read_messages(spark, max_messages=7, **options)
     pull_messages(spark, max_messages=7, **options)
     assert list_dirs(spark, sub.staging) == []
+
+
+class TestIds:
+    """Messages are told apart by where they stand, whatever their ids."""
+
+    @pytest.fixture
+    def same(self, spark, root):
+        for publish_id in ("a", "b"):
+            df = spark.range(0, 20, 1, 2).selectExpr("if(id % 3 = 0, null, 'x') as m", "string(id) as d")
+            publish(df, root=root, topic="t", publish_id=publish_id, payload="d", message_id="m", as_of=5)
+        return {"root": root, "topic": "t", "subscription": "s"}
+
+    def test_each_is_delivered_and_acknowledged_once(self, spark, same):
+        seen = []
+        for _ in range(9):
+            pull = pull_messages(spark, max_messages=5, as_of=NOW, **same)
+            seen += [bytes(r.data).decode() for r in pull.messages.collect()]
+            pull.ack()
+        assert sorted(seen) == sorted([str(i) for i in range(20)] * 2)
+        assert not has_backlog(spark, Subscription.of(same))
+
+    def test_n_means_n(self, spark, same):
+        assert read_messages(spark, max_messages=7, **same).count() == 7
+        assert pull_messages(spark, max_messages=39, as_of=NOW, **same).messages.count() == 39
+        assert backlog(spark, Subscription.of(same), NOW).first().messages == 1
+
+
+class TestTopicsApart:
+    def test_default_state_is_of_one_topic(self, spark, root):
+        subs = {}
+        for topic in ("a", "b"):
+            publish(spark.range(5), root=root, topic=topic, publish_id="day")
+            subs[topic] = Subscription.of({"root": root, "topic": topic, "subscription": "s"})
+        pull_messages(spark, root=root, topic="a", subscription="s").ack()
+        compact_acks(spark, subs["a"])
+        assert not has_backlog(spark, subs["a"]) and eligible(spark, subs["b"]).count() == 5
+
+    def test_state_of_another_topic_is_refused(self, spark, root):
+        for topic in ("a", "b"):
+            publish(spark.range(5), root=root, topic=topic, publish_id="day")
+        options = {"root": root, "subscription": "s", "state_path": f"{root}/state"}
+        pull_messages(spark, topic="a", **options)
+        for use in (pull_messages, read_messages):
+            with pytest.raises(ValueError, match="belongs to topic a"):
+                use(spark, topic="b", **options)
+
+
+def test_acknowledged_files_are_not_opened(spark, root):
+    fill(spark, root, 0, 100, "a", parts=50)
+    sub = Subscription.of({"root": root, "topic": "t", "subscription": "s"})
+    ack_files(keys(spark, sub, *range(98)).select("publish_id", "file_name").distinct(), sub, ack_id="f")
+    opened = [f for f in eligible(spark, sub, NOW).inputFiles() if "/topics/" in f]
+    assert len(opened) == 1
+    row = backlog(spark, sub, NOW)
+    assert not [f for f in row.inputFiles() if "/topics/" in f and "/_files/" not in f]
+    assert row.first().messages == 2

@@ -1,8 +1,10 @@
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from topicflow import Subscription, Topic, await_query, eligible, publish, read_topic
+from topicflow.operators.maintenance import compact_acks, drop_expired_leases
 from topicflow.plans.jobs import csv_to_topic, decode_republish, topic_to_csv, topic_to_topic
 
 
@@ -71,6 +73,29 @@ def test_topic_to_csv(spark, root, tmp_path):
     )
     assert await_query(query, 120)
     rows = spark.read.csv(out).collect()
-    assert sorted(r[1] for r in rows) == sorted(bodies)
-    assert {(r[0], r[2], r[4]) for r in rows} == {("s", "7", "{}")}
-    assert all(not p.read_text().startswith("subscription") for p in Path(out).glob("*.csv"))
+    assert sorted(r[2] for r in rows) == sorted(bodies)
+    assert {(r[0], r[1], r[3], r[5]) for r in rows} == {("s", "1", "7", "{}")}
+    assert all(not p.read_text().startswith("subscription") for p in Path(out).rglob("*.csv"))
+    assert eligible(spark, Subscription.of({"root": root, "topic": "t", "subscription": "s"})).isEmpty()
+
+
+def test_topic_to_topic_repeated_after_upkeep(spark, root):
+    """Neither lost nor doubled, whatever upkeep removed in between."""
+    publish(spark.range(6), root=root, topic="from", publish_id="p")
+    options = {"root": root, "topic": "from", "subscription": "s", "max_messages": 2}
+    sub = Subscription.of(options | {"max_messages": None})
+    topic_to_topic(spark, to_topic="to", pull_id="day1", as_of=5, **options)
+    compact_acks(spark, sub)
+    drop_expired_leases(spark, sub, keep_seconds=0)
+    assert topic_to_topic(spark, to_topic="to", pull_id="day1", **options) is None
+    assert read_topic(spark, Topic(root, "to")).count() == 2
+    assert eligible(spark, sub).count() == 4
+
+
+def test_topic_to_topic_does_not_acknowledge_what_it_did_not_forward(spark, root):
+    publish(spark.range(6), root=root, topic="from", publish_id="p")
+    publish(spark.range(1), root=root, topic="to", publish_id="day1")
+    options = {"root": root, "topic": "from", "subscription": "s"}
+    with pytest.raises(RuntimeError, match="nothing was acknowledged"):
+        topic_to_topic(spark, to_topic="to", pull_id="day1", as_of=5, **options)
+    assert eligible(spark, Subscription.of(options)).count() == 6

@@ -14,6 +14,10 @@ def test_known_spellings():
     }
 
 
+def test_request_size_is_accepted_and_changes_nothing():
+    assert checked({"writeBatchSize": 100, "root": "r"}, "root") == {"root": "r"}
+
+
 def test_twice_and_unknown():
     with pytest.raises(ValueError, match="twice"):
         normalize({"topic": "a", "topicId": "b"})
@@ -69,7 +73,7 @@ def test_names_are_safe_as_directories():
 
 def test_state_path_default_and_option():
     options = {"root": "/r/", "topic": "t", "subscription": "s"}
-    assert Subscription.of(options).state_path == "/r/subscriptions/s"
+    assert Subscription.of(options).state_path == "/r/subscriptions/t/s"
     assert Subscription.of({**options, "state_path": "/x/"}).state_path == "/x"
 
 

@@ -18,9 +18,9 @@ from topicflow import (
     to_envelope,
     to_messages,
 )
-from topicflow.operators import publish as publishing
 from topicflow.operators.delivery import ack_keys
-from topicflow.operators.state import live_messages
+from topicflow.operators.oldest import oldest
+from topicflow.operators.state import hidden_keys, read_leases, waiting_files
 
 
 def plan(df):
@@ -59,13 +59,6 @@ def test_content_ids_count_before_the_shuffle(spark):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_both_branches_of_content_ids_share_one_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(publishing, "COPIES_PER_TASK", 2)
-    df = to_messages(spark.range(100).selectExpr("id % 3 as k"), "p", ids="content")
-    df.collect()
-    assert "ReusedExchange" in plan(df)
-
-
 def test_conversions_run_in_the_jvm_without_shuffle(spark, options):
     messages = read_topic(spark, Topic(options["root"], "t"))
     for df in (to_envelope(messages, "s"), expand_payload(decode_payload(messages, "a int"))):
@@ -98,16 +91,18 @@ def test_publish_times_have_statistics(spark, options):
 def test_choosing_what_to_pull_reads_no_payload(spark, options):
     sub = Subscription.of(options)
     pull_messages(spark, **options).ack()
-    pull_messages(spark, **options)
-    starts = live_messages(spark, sub).groupBy("publish_id", "file_name").agg(F.min("publish_time"))
-    assert "ReadSchema: struct<publish_time:timestamp>" in plan(starts)
-    keys = eligible(spark, sub, 10**15).select("publish_time", "message_id", "publish_id")
-    text = plan(keys.orderBy("publish_time", "message_id").limit(10))
-    assert "TakeOrderedAndProject" in text
-    assert "data:binary" not in text and "attributes" not in text and "_metadata" not in text
+    files = plan(waiting_files(spark, sub, 0))
+    assert "first_micros" in files and "publish_time" not in files
+    text = plan(eligible(spark, sub, 10**15).select("publish_time", "message_id", "publish_id"))
+    assert "data:binary" not in text and "attributes" not in text
     assert "data:binary" not in plan(backlog(spark, sub))
 
 
+def test_no_rows_are_gathered_by_a_limit(spark, options):
+    keys, _ = oldest(spark, Subscription.of(options), 150, 10**15)
+    assert keys.count() == 150 and "TakeOrdered" not in plan(keys) and "Limit" not in plan(keys)
+
+
 def test_acks_and_leases_are_one_join(spark, options):
     sub = Subscription.of(options)
     pull_messages(spark, **options).ack()
@@ -115,25 +110,33 @@ def test_acks_and_leases_are_one_join(spark, options):
     assert text.count("LeftAnti") == 1
 
 
+def test_acks_of_other_publishes_are_pruned(spark, options):
+    sub = Subscription.of(options)
+    ack_keys(read_topic(spark, sub.topic, positions=True).where("message_id like '%7'"), sub, ack_id="x")
+    text = plan(hidden_keys(spark, sub, None, ["a"]))
+    assert re.search(r"PartitionFilters: \[[^]]*publish_id#\d+ (=|IN)", text)
+
+
 def test_large_ack_tables_are_not_broadcast(spark, options):
     sub = Subscription.of(options)
-    keys = read_topic(spark, sub.topic, file_names=True)
+    keys = read_topic(spark, sub.topic, positions=True).where("message_id not like '%7'")
     ack_keys(keys, sub, ack_id="x")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     try:
         df = eligible(spark, sub, 0).select("message_id")
-        assert df.count() == 0
+        assert df.count() == 20
         assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_expired_leases_are_pruned_as_directories(spark, options):
+def test_expired_leases_are_not_listed(spark, options):
     sub = Subscription.of(options)
     pull_messages(spark, as_of=1000, **options)
-    text = plan(eligible(spark, sub, 10**13).select("message_id"))
-    assert re.search(r"PartitionFilters: \[isnotnull\(lease_until#\d+L\), \(lease_until", text)
+    pull_messages(spark, as_of=10**13, **options)
+    assert [f for f in read_leases(spark, sub).inputFiles() if "lease_until=241000" in f]
+    assert not [f for f in read_leases(spark, sub, 10**12).inputFiles() if "lease_until=241000" in f]
 
 
 def test_a_pull_opens_only_the_files_it_needs(spark, options):

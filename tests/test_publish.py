@@ -120,7 +120,7 @@ class TestContentIds:
 
     def test_many_copies_are_cut_into_blocks(self, spark, monkeypatch):
         whole = self.ids(spark, 3)
-        monkeypatch.setattr(publishing, "COPIES_PER_TASK", 7)
+        monkeypatch.setattr(publishing, "BLOCK_OF_COPIES", 7)
         assert self.ids(spark, 3) == whole
 
     def test_ids_differ_by_publish_attributes_and_time(self, spark):

@@ -34,11 +34,16 @@ def normalized(columns, rows):
     return sorted(columns), sorted(values)
 
 
+def delivery_queries():
+    others = contract._llm.queries() if contract._llm else {}
+    return [name for name in contract.queries() if name not in others]
+
+
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(delivery_queries()) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", delivery_queries())
 def test_query(spark, oracle, name):
     df = contract.queries()[name](spark, SF_DIR)
     expected = oracle.execute(contract.oracle_sql()[name])
@@ -49,4 +54,4 @@ def test_query(spark, oracle, name):
 
 def test_entry(spark):
     df = contract.entry(spark)
-    assert df.columns[0] == "subscription" and df.count() == 1000
+    assert df.columns[0] == "subscription" and df.count() == 1500

@@ -1,4 +1,6 @@
+import os
 import shutil
+import time
 from pathlib import Path
 
 import pytest
@@ -19,6 +21,7 @@ from topicflow import (
 )
 from topicflow.operators.maintenance import compact_acks
 from topicflow.operators.state import read_file_acks
+from topicflow.sources.files import stream_csv
 from topicflow.streaming.control import with_trigger
 
 
@@ -191,12 +194,80 @@ def test_raw_stream_has_fixed_columns(spark, root, options):
     fill(spark, root, 0, 5)
     stream = read_stream_messages(spark, **options)
     assert stream.isStreaming and stream.columns == [
-        "subscription", "data", "publish_timestamp", "event_timestamp", "attributes", "message_id",
+        "subscription", "offset", "data", "publish_timestamp", "event_timestamp", "attributes", "message_id",
     ]
     with pytest.raises(ValueError, match="schema is fixed"):
         read_stream_messages(spark, schema="a int", **options)
 
 
+def age(root, days):
+    """Publishes as if they were written that long ago."""
+    then = time.time() - days * 86400
+    for path in Path(root).rglob("*.parquet"):
+        os.utime(path, (then, then))
+
+
+@pytest.mark.parametrize("raw", [False, True])
+def test_old_files_are_not_dropped(spark, root, options, raw):
+    fill(spark, root, 0, 5)
+    age(root, 20)
+    fill(spark, root, 5, 12)
+    keeper = Keeper()
+    if raw:
+        stream = read_stream_messages(spark, max_files=1, **options)
+        writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{root}/cp")
+        query = writer.foreachBatch(lambda df, i: keeper(df.withColumn("offset", F.lit(i)), i)).start()
+        assert await_query(query, 120)
+    else:
+        drain(spark, root, options, keeper, max_files=1)
+    assert keeper.seen == list(range(12))
+
+
+def test_old_csv_files_are_not_dropped(spark, root, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "old.csv").write_text("1,2\n")
+    then = time.time() - 20 * 86400
+    os.utime(tmp_path / "in" / "old.csv", (then, then))
+    (tmp_path / "in" / "new.csv").write_text("3,4\n")
+    publish_stream(spark, root, stream_csv(spark, str(tmp_path / "in"), "a int, b int", max_files=1))
+    assert payloads(spark, root) == ["[1,2]", "[3,4]"]
+
+
+def test_messages_bound_a_trigger_by_files(spark, root, options):
+    fill(spark, root, 0, 9, parts=3)
+    keeper = Keeper()
+    drain(spark, root, options, keeper, messageCountPerBatch=1)
+    assert len(keeper.batches) >= 3 and keeper.seen == list(range(9))
+
+
+def test_console(spark, root, options, capfd):
+    fill(spark, root, 0, 3)
+    writer = read_stream_messages(spark, **options).writeStream.format("console")
+    query = writer.trigger(availableNow=True).option("checkpointLocation", f"{root}/cp").start()
+    assert await_query(query, 120)
+    shown, until = "", time.time() + 20
+    while "message_id" not in shown and time.time() < until:
+        time.sleep(0.2)
+        shown += capfd.readouterr().out
+    assert "message_id" in shown
+
+
+def test_upkeep_while_a_stream_runs(spark, root, options):
+    """Compaction after every batch: nothing is lost or repeated."""
+    fill(spark, root, 0, 12, parts=4)
+    sub, keeper = Subscription.of(options), Keeper()
+
+    def handle(messages, offset):
+        keeper(messages, offset)
+        compact_acks(spark, sub, keep_seconds=0)
+
+    drain(spark, root, options, handle, max_files=1)
+    fill(spark, root, 12, 20, parts=2)
+    drain(spark, root, options, handle, max_files=1)
+    assert keeper.seen == list(range(20))
+    assert eligible(spark, sub).isEmpty()
+
+
 def csv_stream(spark, path, rows):
     Path(path).mkdir(parents=True, exist_ok=True)
     for name, text in rows.items():

@@ -18,11 +18,11 @@ def attributes_text(attributes: Column) -> Column:
 def utc_timestamp(column: Column, type_name: str) -> Column:
     """A timestamp column as an instant; one without a time zone is read as UTC.
 
-    The cast reads the wall clock in the session time zone; shifting it by that zone gives
-    the same instant whatever the session is set to (except inside a clock change).
+    The local time goes through its text with an explicit zone: a cast would read it in the zone
+    of the session, where an hour may be missing.
     """
     if type_name == "timestamp_ntz":
-        return F.from_utc_timestamp(column.cast("timestamp"), F.current_timezone())
+        return F.concat(column.cast("string"), F.lit("Z")).cast("timestamp")
     return column.cast("timestamp")
 
 
@@ -37,10 +37,10 @@ def pull_time(as_of: int | None) -> Column:
 
 
 def to_envelope(
-    messages: DataFrame, subscription: str, *, offset: int | None = -1, as_of: int | None = None
+    messages: DataFrame, subscription: str, *, offset: int = -1, as_of: int | None = None
 ) -> DataFrame:
-    """The envelope as one projection; ``offset=None`` leaves that column out."""
-    columns = [
+    """The envelope as one projection. ``offset`` is -1 where no batch is counted."""
+    return messages.select(
         F.lit(subscription).alias("subscription"),
         F.lit(offset).cast("long").alias("offset"),
         F.col("data"),
@@ -48,7 +48,4 @@ def to_envelope(
         pull_time(as_of).alias("event_timestamp"),
         attributes_text(F.col("attributes")).alias("attributes"),
         F.col("message_id"),
-    ]
-    if offset is None:
-        del columns[1]
-    return messages.select(*columns)
+    )

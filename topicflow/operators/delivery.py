@@ -21,12 +21,10 @@ from topicflow.options import (
     positive,
     to_millis,
 )
+from topicflow.operators.state import bind, check_bound, file_paths
 from topicflow.schema import FILE_KEY, KEY, LEASE_SCHEMA
-from topicflow.sources.topic import read_topic, read_topic_files
-from topicflow.storage import delete, find, name_table, write_once
-
-#: Up to this many files of a pull are opened by name; with more the topic is scanned.
-NAMED_FILES = 4096
+from topicflow.sources.topic import read_topic_files
+from topicflow.storage import delete, exists, find, make_dirs, write_once
 
 
 @dataclass(frozen=True)
@@ -38,7 +36,8 @@ class Pull:
     pull_id: str
     path: str
     as_of: int
-    small: bool
+    #: Whether this call chose the messages; False if the pull was held before.
+    new: bool = True
 
     @property
     def leased(self) -> DataFrame:
@@ -48,7 +47,7 @@ class Pull:
     @property
     def stored(self) -> DataFrame:
         """The pulled messages with the columns of the topic table."""
-        return _pinned(self.subscription, self.leased, self.small)
+        return _pinned(self.subscription, self.leased)
 
     @property
     def messages(self) -> DataFrame:
@@ -70,27 +69,15 @@ def _held(spark: SparkSession, sub: Subscription, pull_id: str) -> str | None:
     return held[0] if held else None
 
 
-def _pinned(sub: Subscription, keys: DataFrame, small: bool) -> DataFrame:
-    """Full messages for a set of keys.
-
-    Only the files that hold them are listed and read, unless there are too many to name.
-    A small set, at most ``TOP_N_ROWS`` keys, is broadcast; otherwise AQE picks the join.
-    """
+def _pinned(sub: Subscription, keys: DataFrame) -> DataFrame:
+    """Full messages for a set of keys. Only the files that hold them are listed and read."""
     spark = keys.sparkSession
-    at = keys.select(*FILE_KEY).distinct().limit(NAMED_FILES + 1).collect()
-    if len(at) <= NAMED_FILES:
-        files = [f"{sub.topic.publish_path(row.publish_id)}/{row.file_name}" for row in at]
-        messages = read_topic_files(spark, sub.topic, files)
-    else:
-        messages = read_topic(spark, sub.topic)
-    keys = keys.select(*KEY)
-    return messages.join(F.broadcast(keys) if small else keys, KEY, "left_semi")
-
-
-def _few_keys(spark: SparkSession, sub: Subscription, n: int, now: int) -> DataFrame:
-    rows = oldest.oldest_few(spark, sub, n, now)
-    keys = [(row.publish_id, row.file_name, row.message_id) for row in rows]
-    return name_table(spark, keys, "publish_id", "file_name", "message_id")
+    files = file_paths(sub, keys.select(*FILE_KEY).distinct())
+    if not files:
+        return read_topic_files(spark, sub.topic, [])
+    messages = read_topic_files(spark, sub.topic, files, positions=True)
+    columns = [c for c in messages.columns if c not in ("file_name", "position")]
+    return messages.join(keys.select(*KEY), KEY, "left_semi").select(*columns)
 
 
 def lease(
@@ -104,15 +91,16 @@ def lease(
 ) -> str:
     """Hide messages until ``as_of + lease_seconds``; returns the directory of the lease.
 
-    ``keys`` needs ``publish_id``, ``message_id`` and ``file_name``. A ``pull_id`` that holds
-    a lease keeps it as it is.
+    ``keys`` needs ``publish_id``, ``file_name``, ``position`` and ``message_id``. A ``pull_id``
+    that holds a lease keeps it as it is.
     """
+    bind(spark, sub)
     held = _held(spark, sub, pull_id)
     if held:
         return held
     until = to_millis(as_of) + 1000 * int(lease_seconds)
     path = f"{sub.leases}/lease_until={until}/pull_id={pull_id}"
-    rows = keys.select(F.lit(sub.name).alias("subscription"), *KEY, "file_name")
+    rows = keys.select(F.lit(sub.name).alias("subscription"), *KEY, "message_id")
     write_once(rows, path, sub.staging, sort_by=KEY)
     return path
 
@@ -138,21 +126,24 @@ def pull_messages(
     n = positive("max_messages", known.get("max_messages", DEFAULT_MAX_MESSAGES))
     now = to_millis(as_of)
     pull_id = pull_id or uuid.uuid4().hex
+    check_bound(spark, sub)
     held = _held(spark, sub, pull_id)
     if held:
-        small = _lease_rows(spark, sub, held).count() <= oldest.TOP_N_ROWS
-        return Pull(spark, sub, pull_id, held, now, small)
-
-    small, scratch = n <= oldest.TOP_N_ROWS, None
-    if small:
-        chosen = _few_keys(spark, sub, n, now)
-    else:
-        chosen, scratch = oldest.oldest_many(spark, sub, n, now)
+        return Pull(spark, sub, pull_id, held, now, new=False)
+    chosen, scratch = oldest.oldest(spark, sub, n, now)
     seconds = known.get("lease_seconds", DEFAULT_LEASE_SECONDS)
     path = lease(spark, sub, chosen, pull_id=pull_id, lease_seconds=seconds, as_of=now)
-    if scratch:
-        delete(spark, scratch)
-    return Pull(spark, sub, pull_id, path, now, small)
+    delete(spark, scratch)
+    return Pull(spark, sub, pull_id, path, now)
+
+
+def finish(pull: Pull) -> None:
+    """Record for good that a pull's work is done, whatever upkeep removes later."""
+    make_dirs(pull.spark, pull.subscription.finished(pull.pull_id))
+
+
+def is_finished(spark: SparkSession, sub: Subscription, pull_id: str) -> bool:
+    return exists(spark, sub.finished(pull_id))
 
 
 def ack_pull(
@@ -168,26 +159,27 @@ def ack_pull(
 def ack_keys(
     keys: DataFrame, sub: Subscription, *, ack_id: str, acked_at: datetime | int | None = None
 ) -> None:
-    """Acknowledge the messages named by ``publish_id``, ``message_id`` and ``file_name``."""
+    """Acknowledge the messages named by ``publish_id``, ``file_name`` and ``position``."""
+    bind(keys.sparkSession, sub)
     rows = keys.select(
         F.lit(sub.name).alias("subscription"),
         *KEY,
-        "file_name",
         F.lit(to_millis(acked_at)).cast("long").alias("acked_at"),
     )
     path = f"{sub.acks}/ack_id={checked_name('ack_id', ack_id)}"
-    write_once(rows, path, sub.staging, sort_by=KEY)
+    write_once(rows, path, sub.staging, sort_by=KEY, partition_by=["publish_id"])
 
 
 def ack_files(files: DataFrame, sub: Subscription, *, ack_id: str) -> None:
     """Acknowledge every message of the files named by ``publish_id`` and ``file_name``."""
+    bind(files.sparkSession, sub)
     rows = files.select(
         F.lit(sub.name).alias("subscription"),
         *FILE_KEY,
         F.lit(to_millis(None)).cast("long").alias("acked_at"),
     )
     path = f"{sub.file_acks}/ack_id={checked_name('ack_id', ack_id)}"
-    write_once(rows, path, sub.staging)
+    write_once(rows, path, sub.staging, sort_by=["publish_id"], partition_by=["publish_id"])
 
 
 def read_messages(
@@ -213,10 +205,7 @@ def read_messages(
     sub = Subscription.of(known)
     n = positive("max_messages", known.get("max_messages", DEFAULT_MAX_MESSAGES))
     now = to_millis(as_of)
-    small = n <= oldest.TOP_N_ROWS
-    if small:
-        keys = _few_keys(spark, sub, n, now)
-    else:
-        # The keys stay in staging while the frame is in use; see ``drop_stale_staging``.
-        keys, _ = oldest.oldest_many(spark, sub, n, now)
-    return to_envelope(_pinned(sub, keys, small), sub.name, as_of=now)
+    keys, scratch = oldest.oldest(spark, sub, n, now)
+    rows = keys.select(*KEY).toArrow()  # at most the n messages that the caller asked to look at
+    delete(spark, scratch)
+    return to_envelope(_pinned(sub, spark.createDataFrame(rows)), sub.name, as_of=now)

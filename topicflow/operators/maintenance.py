@@ -1,7 +1,7 @@
 """Upkeep of delivery state, so that a pull costs what is waiting and not what ever was.
 
-Run these while no other job uses the subscription: they remove directories a running
-query may have listed.
+It may run while pulls and streams use the subscription: directories that are merged are first
+passed over by name and removed by a later run, when no query can still have listed them.
 """
 
 from __future__ import annotations
@@ -13,67 +13,77 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.operators.delivery import ack_files
-from topicflow.operators.state import live_messages, retired_publishes, without_hidden
+from topicflow.operators.state import (
+    hidden_keys,
+    live_files,
+    read_acks,
+    read_file_acks,
+    read_retired,
+    superseded_acks,
+)
 from topicflow.options import Subscription, Topic, to_millis
-from topicflow.schema import ACK_SCHEMA, FILE_ACK_SCHEMA, FILE_KEY, KEY
-from topicflow.storage import delete, find, list_dirs, modified_at, name_table, write_once
+from topicflow.schema import FILE_KEY, KEY
+from topicflow.sources.topic import read_files
+from topicflow.storage import delete, list_dirs, make_dirs, modified_at, write_once
 
 
-def compact_acks(spark: SparkSession, sub: Subscription) -> list[str]:
+def compact_acks(
+    spark: SparkSession, sub: Subscription, *, keep_seconds: int = 24 * 3600
+) -> DataFrame:
     """Sum up acks: complete files by one row each, complete publishes by their name.
 
-    A retired publish is pruned from every later scan of the subscription, a complete file
-    is left out by its name, and the acks of single messages they held are dropped. Returns
-    the newly retired publishes.
+    A complete file or publish is left out of the file table of the subscription, and the acks
+    of single messages it held are dropped. Returns the newly retired publishes. Directories
+    merged more than ``keep_seconds`` ago are removed.
     """
     run = f"compact-{uuid.uuid4().hex}"
-    messages = live_messages(spark, sub)
-    live = messages.select(*FILE_KEY).distinct()
-    unfinished = without_hidden(messages, sub, None).select(*FILE_KEY).distinct()
-    ack_files(live.join(unfinished, FILE_KEY, "left_anti"), sub, ack_id=run)
-
-    known = set(retired_publishes(spark, sub))
-    published = {name.removeprefix("publish_id=") for name in list_dirs(spark, sub.topic.path)}
-    open_files = live_messages(spark, sub).select("publish_id").distinct().collect()
-    done = sorted(published - known - {row.publish_id for row in open_files})
-    if done:
-        rows = name_table(spark, [(p,) for p in done], "publish_id")
-        write_once(rows, f"{sub.retired}/run={run}", sub.staging)
-
-    gone = sorted(known) + done
-    complete = _merge(spark, sub.file_acks, FILE_ACK_SCHEMA, FILE_KEY, gone, run, sub.staging)
-    _merge(spark, sub.acks, ACK_SCHEMA, [*KEY, "file_name"], gone, run, sub.staging, complete)
-    return done
-
-
-def _merge(
-    spark: SparkSession,
-    path: str,
-    schema,
-    key: list[str],
-    gone: list[str],
-    run: str,
-    staging: str,
-    complete: DataFrame | None = None,
-) -> DataFrame | None:
-    """One directory in place of many, without what retired publishes and files cover.
-
-    Exactly the listed directories are read and then removed, so an ack that arrives in
-    between stays. Until they are removed an ack is there twice, which changes nothing.
+    _remove_superseded(spark, sub, keep_seconds)
+    files = live_files(spark, sub)
+    if (acked := hidden_keys(spark, sub, None)) is not None:
+        counts = acked.distinct().groupBy(*FILE_KEY).agg(F.count(F.lit(1)).alias("acked"))
+        complete = files.join(counts, FILE_KEY).where(F.col("acked") >= F.col("messages"))
+        ack_files(complete, sub, ack_id=run)
+
+    published = read_files(spark, sub.topic).select("publish_id").distinct()
+    if (retired := read_retired(spark, sub)) is not None:
+        published = published.join(retired, "publish_id", "left_anti")
+    unfinished = live_files(spark, sub).select("publish_id")
+    path = f"{sub.retired}/run={run}"
+    write_once(published.join(unfinished, "publish_id", "left_anti"), path, sub.staging)
+
+    done = read_retired(spark, sub)
+    if (table := read_file_acks(spark, sub)) is not None:
+        kept = table.join(done, "publish_id", "left_anti")
+        _merge(sub, "file_acks", table, kept, FILE_KEY, run)
+    complete = read_file_acks(spark, sub)
+    if (table := read_acks(spark, sub)) is not None:
+        kept = table.join(done, "publish_id", "left_anti")
+        kept = kept.join(complete.select(*FILE_KEY), FILE_KEY, "left_anti") if complete is not None else kept
+        _merge(sub, "acks", table, kept, KEY, run)
+    return spark.read.schema(done.schema).parquet(path)
+
+
+def _merge(sub: Subscription, kind: str, table: DataFrame, kept: DataFrame, key: list[str], run: str) -> None:
+    """``kept`` as one directory in place of those that ``table`` was listed from.
+
+    An ack that arrives in between is in none of them and stays. Until they are passed over
+    an ack is there twice, which changes nothing.
     """
-    merged = find(spark, f"{path}/ack_id=*")
-    if not merged:
-        return None
-    kept = spark.read.schema(schema).option("basePath", path).parquet(*merged)
-    kept = kept.where(~F.col("publish_id").isin(gone))
-    if complete is not None:
-        kept = kept.join(complete.select(*FILE_KEY), FILE_KEY, "left_anti")
-    kept = kept.groupBy("subscription", *key).agg(F.min("acked_at").alias("acked_at"))
-    target = f"{path}/ack_id={run}-merged"
-    write_once(kept, target, staging, sort_by=key)
-    for directory in merged:
-        delete(spark, directory)
-    return spark.read.schema(schema).option("basePath", path).parquet(target)
+    spark, path = table.sparkSession, f"{sub.state_path}/{kind}"
+    merged = sorted({f.split(f"/{kind}/")[-1].split("/")[0] for f in table.inputFiles()})
+    rows = kept.groupBy("subscription", *key).agg(F.min("acked_at").alias("acked_at"))
+    write_once(rows, f"{path}/ack_id={run}-merged", sub.staging, sort_by=key, partition_by=["publish_id"])
+    for name in merged:
+        make_dirs(spark, f"{sub.superseded}/{kind}/{name}")
+
+
+def _remove_superseded(spark: SparkSession, sub: Subscription, keep_seconds: int) -> None:
+    oldest = to_millis(None) - 1000 * keep_seconds
+    for name in superseded_acks(spark, sub):
+        mark = f"{sub.superseded}/{name}"
+        if modified_at(spark, mark) <= oldest:
+            delete(spark, f"{sub.state_path}/{name}")
+            delete(spark, mark)
 
 
 def drop_expired_leases(

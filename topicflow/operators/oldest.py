@@ -1,101 +1,50 @@
-"""Which messages a pull takes: the oldest eligible ones, found without sorting the topic."""
+"""Which messages a pull takes: the oldest that wait, found without sorting the topic."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicflow.operators.state import live_messages, without_hidden
+from topicflow.operators.state import waiting_files, waiting_messages
 from topicflow.options import Subscription
-from topicflow.schema import FILE_KEY
-from topicflow.sources.topic import read_topic_files
+from topicflow.schema import FILE_KEY, KEY
 
 #: Oldest first. Ties follow the stored order, so that the oldest messages lie in few files.
-ORDER = ["publish_time", "publish_id", "file_name", "message_id"]
+ORDER = ["publish_time", *KEY]
 
-#: Up to this many messages the keys are gathered on the driver. Beyond it they never are.
-TOP_N_ROWS = 1000
 
-#: How many of the oldest files are searched, one step after the other.
-FILE_STEPS = (64, 512, 4096)
+def _end(files: DataFrame, n: int) -> int | None:
+    """A publish time before or at which ``n`` messages wait, or None if fewer wait in all.
 
-
-def _first_files(spark: SparkSession, sub: Subscription) -> list[Row]:
-    """The live files that begin earliest, and when they begin: one more than is searched.
-
-    One pass over the publish times; neither ids nor payloads are read.
-    """
-    files = live_messages(spark, sub).groupBy(*FILE_KEY).agg(F.min("publish_time").alias("start"))
-    starts = files.select(F.unix_micros("start").alias("micros"), *FILE_KEY)
-    return starts.orderBy("micros", *FILE_KEY).limit(FILE_STEPS[-1] + 1).collect()
-
-
-def _eligible_in(spark: SparkSession, sub: Subscription, files: list[Row], now: int) -> DataFrame:
-    paths = [f"{sub.topic.publish_path(f.publish_id)}/{f.file_name}" for f in files]
-    messages = read_topic_files(spark, sub.topic, paths, file_names=True)
-    return without_hidden(messages, sub, now, sorted({f.publish_id for f in files}))
-
-
-def _eligible(spark: SparkSession, sub: Subscription, now: int) -> DataFrame:
-    return without_hidden(live_messages(spark, sub), sub, now)
-
-
-def oldest_few(spark: SparkSession, sub: Subscription, n: int, now: int) -> list[Row]:
-    """The ``n`` oldest eligible keys; ``n`` is at most ``TOP_N_ROWS``.
-
-    Ids are read in the files that begin earliest only: the answer stands once it lies
-    before the beginning of the first file left out.
+    Files are taken in the order of their last message until they hold enough: one small row
+    a file, in a sort that can spill.
     """
-    starts = _first_files(spark, sub)
-    for step in FILE_STEPS:
-        files, beyond = starts[:step], starts[step : step + 1]
-        keys = _top(_eligible_in(spark, sub, files, now), n)
-        if not beyond or (len(keys) == n and _position(keys[-1]) < _position(beyond[0])):
-            return keys
-    return _top(_eligible(spark, sub, now), n)
-
-
-def _top(messages: DataFrame, n: int) -> list[Row]:
-    first = messages.select(*ORDER).orderBy(*ORDER).limit(n)
-    return first.withColumn("micros", F.unix_micros("publish_time")).collect()
-
-
-def _position(row: Row) -> tuple:
-    return row.micros, row.publish_id, row.file_name
+    order = Window.orderBy("last_micros", *FILE_KEY).rowsBetween(Window.unboundedPreceding, 0)
+    enough = files.withColumn("total", F.sum("waiting").over(order)).where(F.col("total") >= n)
+    return enough.agg(F.min("last_micros")).first()[0]
 
 
-def _candidates(spark: SparkSession, sub: Subscription, n: int, now: int) -> DataFrame:
-    """Eligible messages among which the ``n`` oldest are: those before the beginning of some
-    file, if they are enough, so that a long backlog is not sorted for a part of it."""
-    starts = _first_files(spark, sub)
-    for step in FILE_STEPS:
-        files, beyond = starts[:step], starts[step : step + 1]
-        messages = _eligible_in(spark, sub, files, now)
-        if not beyond:
-            return messages
-        end = beyond[0]
-        start = F.timestamp_micros(F.lit(end.micros).cast("long"))
-        place = F.struct("publish_time", *FILE_KEY)
-        before = place < F.struct(start, F.lit(end.publish_id), F.lit(end.file_name))
-        messages = messages.where((F.col("publish_time") <= start) & before)
-        if messages.count() >= n:
-            return messages
-    return _eligible(spark, sub, now)
+def oldest(spark: SparkSession, sub: Subscription, n: int, now: int) -> tuple[DataFrame, str]:
+    """Keys (with ``message_id``) of the ``n`` oldest waiting messages, or of all if fewer wait.
 
-
-def oldest_many(spark: SparkSession, sub: Subscription, n: int, now: int) -> tuple[DataFrame, str]:
-    """The ``n`` oldest eligible keys without gathering ``n`` rows in one task.
-
-    Keys are written range-partitioned; the counts per range tell which ranges are taken
-    whole and which single one is cut. No two keys are equal, so ranges are even. Also
-    returns the directory the keys were written to, for the caller to remove.
+    Only files that begin before ``_end`` are opened, and of their messages only those up to it
+    are looked at. They are written range-partitioned; the counts of the ranges tell which are
+    taken whole, and in the one that is cut positions are numbered by a sort that can spill. No
+    two keys are equal, so ranges are even, and no task gathers ``n`` rows. Also returns the
+    directory the keys were written to, for the caller to remove.
     """
-    keys = _candidates(spark, sub, n, now).select(*ORDER)
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = waiting_files(spark, sub, now)
+    end = _end(files, n)
+    if end is not None:
+        files = files.where(F.col("first_micros") <= end)
+    messages = waiting_messages(spark, sub, files, now)
+    if end is not None:
+        messages = messages.where(F.col("publish_time") <= F.timestamp_micros(F.lit(end)))
     path = f"{sub.staging}/{uuid.uuid4().hex}"
-    ranged = keys.repartitionByRange(ranges, *ORDER)
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = messages.select(*ORDER, "message_id").repartitionByRange(ranges, *ORDER)
     ranged.withColumn("range", F.spark_partition_id()).write.parquet(path)
     stored = spark.read.parquet(path)
 
@@ -107,8 +56,7 @@ def oldest_many(spark: SparkSession, sub: Subscription, n: int, now: int) -> tup
         taken += row["count"]
     if cut is None:
         return stored.drop("range"), path
-    whole = stored.where(F.col("range") < cut)
-    if taken < n:
-        part = stored.where(F.col("range") == cut).orderBy(*ORDER).limit(n - taken)
-        whole = whole.unionByName(part)
-    return whole.drop("range"), path
+    place = F.row_number().over(Window.orderBy(*ORDER))
+    part = stored.where(F.col("range") == cut).withColumn("place", place)
+    part = part.where(F.col("place") <= n - taken).drop("place")
+    return stored.where(F.col("range") < cut).unionByName(part).drop("range"), path

@@ -14,16 +14,18 @@ from topicflow.functions.envelope import utc_timestamp
 from topicflow.functions.payload import quoted, row_payload
 from topicflow.options import (
     DEFAULT_MAX_RECORDS_PER_FILE,
+    FILE_TABLE,
     Topic,
     check_save_mode,
     checked_name,
     positive,
     to_millis,
 )
+from topicflow.sources.topic import file_rows
 from topicflow.storage import write_once
 
-#: Copies of one message numbered by one task; more are split over several.
-COPIES_PER_TASK = 1_000_000
+#: Copies of one message that are numbered together; all its copies are cut into such blocks.
+BLOCK_OF_COPIES = 100_000
 
 STORED = ["message_id", "data", "attributes", "publish_time"]
 
@@ -90,9 +92,9 @@ def _number_copies(messages: DataFrame, publish_id: str, timed: bool) -> DataFra
     """Ids that depend on content only: a hash of the message and the number of its copy.
 
     Equal messages are counted, with a partial count before the shuffle, and written out
-    again with copy numbers; no task ever holds the copies of one message. A count above
-    ``COPIES_PER_TASK`` is first cut into blocks that are spread over the cluster. A clock
-    value differs on replay, so a stamped publish time stays out of the key and the hash.
+    again with copy numbers. Counts are cut into blocks that are spread over the cluster, so no
+    task ever holds the copies of one message. A clock value differs on replay, so a stamped
+    publish time stays out of the key and the hash.
     """
     entries = F.array_sort(F.map_entries("attributes"))
     key = ["data", "entries", "publish_time"] if timed else ["data", "entries"]
@@ -106,19 +108,11 @@ def _number_copies(messages: DataFrame, publish_id: str, timed: bool) -> DataFra
     )
 
     one = F.lit(1).cast("long")
-    few = counted.where(F.col("copies") <= COPIES_PER_TASK).select(
-        "*", F.explode(F.sequence(one, F.col("copies"))).alias("copy")
-    )
-    starts = F.sequence(one, F.col("copies"), F.lit(COPIES_PER_TASK).cast("long"))
-    blocks = (
-        counted.where(F.col("copies") > COPIES_PER_TASK)
-        .select("*", F.explode(starts).alias("from_copy"))
-        .repartition("digest", "from_copy")
-    )
-    last = F.least(F.col("copies"), F.col("from_copy") + (COPIES_PER_TASK - 1))
-    many = blocks.select("*", F.explode(F.sequence("from_copy", last)).alias("copy"))
-
-    return few.unionByName(many.drop("from_copy")).select(
+    starts = F.sequence(one, F.col("copies"), F.lit(BLOCK_OF_COPIES).cast("long"))
+    blocks = counted.select("*", F.explode(starts).alias("from_copy")).repartition("digest", "from_copy")
+    last = F.least(F.col("copies"), F.col("from_copy") + (BLOCK_OF_COPIES - 1))
+    numbered = blocks.select("*", F.explode(F.sequence("from_copy", last)).alias("copy"))
+    return numbered.select(
         F.concat_ws("-", "digest", "copy").alias("message_id"),
         "data",
         F.map_from_entries("entries").alias("attributes"),
@@ -153,13 +147,31 @@ def publish(
     one with the same id writes nothing, so a retried job does not publish twice. Without
     it every call publishes. See :func:`to_messages` for ``message_options``.
     """
+    publish_once(
+        df, root=root, topic=topic, publish_id=publish_id, mode=mode,
+        max_records_per_file=max_records_per_file, **message_options,
+    )
+    return df
+
+
+def publish_once(
+    df: DataFrame,
+    *,
+    root: str,
+    topic: str,
+    publish_id: str | None = None,
+    mode: str = "append",
+    max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+    **message_options,
+) -> bool:
+    """:func:`publish`, telling whether it wrote: False if ``publish_id`` was published before."""
     check_save_mode(mode)
     target = Topic.of({"root": root, "topic": topic})
     publish_id = checked_name("publish_id", publish_id or uuid.uuid4().hex)
-    write_once(
+    return write_once(
         to_messages(df, publish_id, **message_options),
         target.publish_path(publish_id),
         target.staging,
         max_records_per_file=positive("max_records_per_file", max_records_per_file),
+        beside=(FILE_TABLE, lambda staged: file_rows(staged, publish_id)),
     )
-    return df

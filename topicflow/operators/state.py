@@ -1,99 +1,149 @@
 """Delivery state as tables, and the messages it leaves to deliver.
 
 State is plain Parquet next to the topic. Every write is one new directory made visible by
-one rename, so a repeated call changes nothing and readers never see half of one.
+one rename, so a repeated call changes nothing and readers never see half of one. What a
+subscription is done with is found in the file table, before any message is read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.functions.envelope import epoch_millis
 from topicflow.options import Subscription, to_millis
-from topicflow.schema import (
-    ACK_SCHEMA,
-    FILE_ACK_SCHEMA,
-    FILE_KEY,
-    KEY,
-    LEASE_SCHEMA,
-    RETIRED_SCHEMA,
-)
-from topicflow.sources.topic import read_topic
-from topicflow.storage import exists
-
-
-def _state_table(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    if not exists(spark, path):
+from topicflow.schema import ACK_SCHEMA, FILE_ACK_SCHEMA, FILE_KEY, KEY, LEASE_SCHEMA, RETIRED_SCHEMA
+from topicflow.sources.topic import read_files, read_topic, read_topic_files
+from topicflow.storage import exists, list_dirs, make_dirs
+
+
+def bind(spark: SparkSession, sub: Subscription) -> None:
+    """Tie the state to its topic, or refuse the state of another topic."""
+    names = list_dirs(spark, sub.bound)
+    ours = f"topic={sub.topic.name}"
+    if not names:
+        make_dirs(spark, f"{sub.bound}/{ours}")
+    elif names != [ours]:
+        held = ", ".join(n.removeprefix("topic=") for n in names)
+        raise ValueError(f"State {sub.state_path!r} belongs to topic {held}, not {sub.topic.name}")
+
+
+def check_bound(spark: SparkSession, sub: Subscription) -> None:
+    """Refuse the state of another topic; state that is not there yet is tied by its first write."""
+    if exists(spark, sub.bound):
+        bind(spark, sub)
+
+
+def superseded_acks(spark: SparkSession, sub: Subscription) -> set[str]:
+    """Directories of acks that a merged one covers (``acks/..`` or ``file_acks/..``)."""
+    kinds = ("acks", "file_acks")
+    return {
+        f"{kind}/{name}" for kind in kinds for name in list_dirs(spark, f"{sub.superseded}/{kind}")
+    }
+
+
+def _ack_table(spark: SparkSession, sub: Subscription, kind: str, schema) -> DataFrame | None:
+    path = f"{sub.state_path}/{kind}"
+    covered = superseded_acks(spark, sub)
+    names = [n for n in list_dirs(spark, path) if f"{kind}/{n}" not in covered]
+    if not names:
         return None
-    return spark.read.schema(schema).parquet(path)
+    paths = [f"{path}/{n}" for n in names]
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
 
 
 def read_acks(spark: SparkSession, sub: Subscription) -> DataFrame | None:
-    """Messages acknowledged one by one, or None before the first."""
-    return _state_table(spark, sub.acks, ACK_SCHEMA)
+    """Messages acknowledged one by one, or None before the first. Filters on ``publish_id``
+    prune directories."""
+    return _ack_table(spark, sub, "acks", ACK_SCHEMA)
 
 
 def read_file_acks(spark: SparkSession, sub: Subscription) -> DataFrame | None:
     """Files acknowledged as a whole, or None before the first."""
-    return _state_table(spark, sub.file_acks, FILE_ACK_SCHEMA)
+    return _ack_table(spark, sub, "file_acks", FILE_ACK_SCHEMA)
 
 
-def read_leases(spark: SparkSession, sub: Subscription) -> DataFrame | None:
-    """Every lease, running or not, or None before the first."""
-    return _state_table(spark, sub.leases, LEASE_SCHEMA)
+def read_leases(spark: SparkSession, sub: Subscription, now: int | None = None) -> DataFrame | None:
+    """Every lease, or those that run at ``now``; None if there is none. Leases that ended
+    are told by the names of their directories and neither listed nor read."""
+    names = list_dirs(spark, sub.leases)
+    if now is not None:
+        names = [n for n in names if int(n.removeprefix("lease_until=")) > now]
+    if not names:
+        return None
+    paths = [f"{sub.leases}/{n}" for n in names]
+    return spark.read.schema(LEASE_SCHEMA).option("basePath", sub.leases).parquet(*paths)
 
 
-def retired_publishes(spark: SparkSession, sub: Subscription) -> list[str]:
-    """Publishes with nothing left to deliver (see ``compact_acks``): directory names, of
-    which the driver lists the topic's anyway."""
-    table = _state_table(spark, sub.retired, RETIRED_SCHEMA)
-    return [] if table is None else [row.publish_id for row in table.distinct().collect()]
+def read_retired(spark: SparkSession, sub: Subscription) -> DataFrame | None:
+    """Publishes with nothing left to deliver (see ``compact_acks``), or None."""
+    if not exists(spark, sub.retired):
+        return None
+    return spark.read.schema(RETIRED_SCHEMA).parquet(sub.retired)
 
 
-def live_messages(spark: SparkSession, sub: Subscription, *, file_names: bool = True) -> DataFrame:
-    """The messages outside retired publishes and acknowledged files.
+def live_files(spark: SparkSession, sub: Subscription) -> DataFrame:
+    """The file table without retired publishes and without files acknowledged as a whole."""
+    check_bound(spark, sub)
+    files = read_files(spark, sub.topic)
+    if (retired := read_retired(spark, sub)) is not None:
+        files = files.join(retired, "publish_id", "left_anti")
+    if (acked := read_file_acks(spark, sub)) is not None:
+        files = files.join(acked.select(*FILE_KEY), FILE_KEY, "left_anti")
+    return files
 
-    Retired publishes are pruned as directories. Without ``file_names`` the column is there
-    only if some file is acknowledged.
-    """
-    files = read_file_acks(spark, sub)
-    messages = read_topic(spark, sub.topic, file_names=file_names or files is not None)
-    retired = retired_publishes(spark, sub)
-    if retired:
-        messages = messages.where(~F.col("publish_id").isin(retired))
-    if files is not None:
-        messages = messages.join(files.select(*FILE_KEY), FILE_KEY, "left_anti")
-    return messages
-
-
-def without_hidden(
-    messages: DataFrame,
-    sub: Subscription,
-    now: int | None,
-    publish_ids: Sequence[str] | None = None,
-) -> DataFrame:
-    """Leaves out what is acknowledged, or leased at ``now`` (None: leases do not count).
 
-    Acks and running leases are one anti-join. Expired leases are pruned as directories.
-    If all messages come from a few publishes, naming them lets the state be filtered first.
-    """
-    spark = messages.sparkSession
+def hidden_keys(
+    spark: SparkSession, sub: Subscription, now: int | None, publish_ids: list[str] | None = None
+) -> DataFrame | None:
+    """Keys of messages acknowledged one by one, or leased at ``now`` (None: leases do not
+    count); may repeat. Naming publishes reads the acks of those only. None if there are none."""
     hidden = []
     if (acks := read_acks(spark, sub)) is not None:
         hidden.append(acks)
-    if now is not None and (leases := read_leases(spark, sub)) is not None:
-        hidden.append(leases.where(F.col("lease_until") > now))
+    if now is not None and (leases := read_leases(spark, sub, now)) is not None:
+        hidden.append(leases)
     if publish_ids is not None:
-        hidden = [table.where(F.col("publish_id").isin(list(publish_ids))) for table in hidden]
+        hidden = [t.where(F.col("publish_id").isin(publish_ids)) for t in hidden]
     if not hidden:
-        return messages
-    keys = reduce(DataFrame.unionByName, [table.select(*KEY) for table in hidden])
-    return messages.join(keys, KEY, "left_anti")
+        return None
+    return reduce(DataFrame.unionByName, [t.select(*KEY) for t in hidden])
+
+
+def waiting_files(spark: SparkSession, sub: Subscription, now: int | None) -> DataFrame:
+    """Live files in which messages wait, with their number: ``waiting`` beside ``messages``.
+
+    Hidden messages are counted a file; no message is read.
+    """
+    files = live_files(spark, sub)
+    hidden = hidden_keys(spark, sub, now)
+    if hidden is None:
+        return files.withColumn("waiting", F.col("messages"))
+    counts = hidden.distinct().groupBy(*FILE_KEY).agg(F.count(F.lit(1)).alias("hidden"))
+    counted = files.join(counts, FILE_KEY, "left")
+    waiting = F.col("messages") - F.coalesce("hidden", F.lit(0))
+    return counted.withColumn("waiting", waiting).where("waiting > 0").drop("hidden")
+
+
+def file_paths(sub: Subscription, files: DataFrame) -> list[str]:
+    """Paths of files, of which the driver lists the topic's anyway."""
+    rows = files.select(*FILE_KEY).collect()
+    return sorted(f"{sub.topic.publish_path(r.publish_id)}/{r.file_name}" for r in rows)
+
+
+def waiting_messages(
+    spark: SparkSession, sub: Subscription, files: DataFrame, now: int | None, *, positions: bool = True
+) -> DataFrame:
+    """The messages that wait in some files; only those files are opened."""
+    rows = files.select(*FILE_KEY).collect()
+    paths = sorted(f"{sub.topic.publish_path(r.publish_id)}/{r.file_name}" for r in rows)
+    messages = read_topic_files(spark, sub.topic, paths, positions=True)
+    hidden = hidden_keys(spark, sub, now, sorted({r.publish_id for r in rows})) if rows else None
+    if hidden is not None:
+        messages = messages.join(hidden, KEY, "left_anti")
+    return messages if positions else messages.drop("file_name", "position")
 
 
 def eligible(spark: SparkSession, sub: Subscription, as_of: datetime | int | None = None) -> DataFrame:
@@ -101,19 +151,35 @@ def eligible(spark: SparkSession, sub: Subscription, as_of: datetime | int | Non
 
     Select only the columns needed before an action, and the payload is not read.
     """
-    messages = live_messages(spark, sub, file_names=False)
-    return without_hidden(messages, sub, to_millis(as_of)).drop("file_name")
+    now = to_millis(as_of)
+    if not exists(spark, sub.topic.path):
+        return read_topic(spark, sub.topic)
+    return waiting_messages(spark, sub, waiting_files(spark, sub, now), now, positions=False)
 
 
 def has_backlog(spark: SparkSession, sub: Subscription, as_of: datetime | int | None = None) -> bool:
-    """Is any message waiting?"""
-    return not eligible(spark, sub, as_of).select("publish_id").isEmpty()
+    """Is any message waiting? Reads state only, no message."""
+    return not waiting_files(spark, sub, to_millis(as_of)).select("publish_id").isEmpty()
 
 
 def backlog(spark: SparkSession, sub: Subscription, as_of: datetime | int | None = None) -> DataFrame:
-    """One row: how many messages wait, and the publish time of the oldest (epoch ms)."""
-    waiting = eligible(spark, sub, as_of)
-    return waiting.agg(
-        F.count(F.lit(1)).alias("messages"),
-        epoch_millis(F.min("publish_time")).alias("oldest_publish_timestamp"),
+    """One row: how many messages wait, and the publish time of the oldest (epoch ms).
+
+    Counts come from the file table and the state. Messages are read only in files of which a
+    part is done and that begin before every untouched file.
+    """
+    now = to_millis(as_of)
+    files = waiting_files(spark, sub, now)
+    untouched = F.col("waiting") == F.col("messages")
+    totals = files.agg(
+        F.sum("waiting").alias("messages"), F.min(F.when(untouched, F.col("first_micros"))).alias("first")
+    ).first()
+    begun = files.where(~untouched)
+    if totals["first"] is not None:
+        begun = begun.where(F.col("first_micros") < totals["first"])
+    parts = waiting_messages(spark, sub, begun, now)
+    oldest = F.least(F.min(F.unix_micros("publish_time")), F.lit(totals["first"]).cast("long"))
+    return parts.agg(
+        F.lit(totals["messages"] or 0).cast("long").alias("messages"),
+        F.floor(oldest / 1000).cast("long").alias("oldest_publish_timestamp"),
     ).select(F.lit(sub.name).alias("subscription"), "messages", "oldest_publish_timestamp")

@@ -17,17 +17,22 @@ OPTION_ALIASES = {
     "acknowledgetimeduration": "lease_seconds",
     "maxinboundmessagesize": "max_bytes",
     "temppath": "state_path",
-    "writebatchsize": "max_records_per_file",
     "checkpointlocation": "checkpoint",
     "returnimmediatelywhilepull": "available_now",
 }
 
+# Fixed value: an option that says how many rows go into one request; executors write files.
+IGNORED_OPTIONS = ("writebatchsize",)
+
 # Defaults.
 DEFAULT_MAX_MESSAGES = 10
 DEFAULT_MAX_FILES = 1000
 DEFAULT_LEASE_SECONDS = 240
 DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
 
+#: Directory of the file table in a publish; scans of the topic pass over names like this.
+FILE_TABLE = "_files"
+
 # Save modes that publish; a topic is append-only, so all of them append.
 PUBLISHING_MODES = ("append", "error", "errorifexists", "default", "ignore")
 
@@ -38,6 +43,8 @@ def normalize(options: Mapping[str, Any]) -> dict[str, Any]:
     """Options under our names; a known foreign spelling is translated."""
     known: dict[str, Any] = {}
     for name, value in options.items():
+        if name.lower().replace("_", "") in IGNORED_OPTIONS:
+            continue
         ours = OPTION_ALIASES.get(name.lower().replace("_", ""), name.lower())
         if ours in known:
             raise ValueError(f"Option {ours} is given twice")
@@ -126,6 +133,11 @@ class Topic:
     def staging(self) -> str:
         return f"{self.root}/_staging/{self.name}"
 
+    @property
+    def file_tables(self) -> str:
+        """Where the publishes keep their rows of the file table."""
+        return f"{self.path}/publish_id=*/{FILE_TABLE}"
+
     def publish_path(self, publish_id: str) -> str:
         return f"{self.path}/publish_id={checked_name('publish_id', publish_id)}"
 
@@ -142,7 +154,7 @@ class Subscription:
     def of(cls, options: Mapping[str, Any]) -> Subscription:
         name = checked_name("subscription", required(options, "subscription"))
         topic = Topic.of(options)
-        state = options.get("state_path") or f"{topic.root}/subscriptions/{name}"
+        state = options.get("state_path") or f"{topic.root}/subscriptions/{topic.name}/{name}"
         return cls(topic, name, str(state).rstrip("/"))
 
     @property
@@ -157,6 +169,17 @@ class Subscription:
     def leases(self) -> str:
         return f"{self.state_path}/leases"
 
+    @property
+    def bound(self) -> str:
+        return f"{self.state_path}/bound"
+
+    @property
+    def superseded(self) -> str:
+        return f"{self.state_path}/superseded"
+
+    def finished(self, pull_id: str) -> str:
+        return f"{self.state_path}/finished/{checked_name('pull_id', pull_id)}"
+
     @property
     def retired(self) -> str:
         return f"{self.state_path}/retired"

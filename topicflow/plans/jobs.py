@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from topicflow.functions.payload import decode_payload, expand_payload
-from topicflow.operators.delivery import Pull, pull_messages
-from topicflow.operators.publish import publish
-from topicflow.options import TRIGGER_OPTIONS, normalize, required
-from topicflow.sources.files import stream_csv, write_stream_csv
-from topicflow.streaming.read import process_stream, read_stream_messages
+from topicflow.operators.delivery import Pull, finish, is_finished, pull_messages
+from topicflow.operators.publish import publish, publish_once
+from topicflow.options import SUBSCRIPTION_OPTIONS, Subscription, normalize, required
+from topicflow.sources.files import stream_csv
+from topicflow.storage import write_once
+from topicflow.streaming.read import process_stream
 from topicflow.streaming.write import write_stream_messages
 
 
@@ -29,20 +31,31 @@ def csv_to_topic(
 
 def topic_to_topic(
     spark: SparkSession, *, to_topic: str, as_text: bool = False, pull_id: str | None = None, **options
-) -> Pull:
+) -> Pull | None:
     """Forward one batch pull to another topic, then acknowledge it.
 
     Payload, attributes, publish time and id are kept. ``as_text=True`` publishes the text
     of the whole envelope in their place, under new ids. Safe to repeat under one ``pull_id``: the
-    pull is pinned, the publish and the acknowledgement are done at most once.
+    pull is pinned, the publish and the acknowledgement are done at most once. A pull that was
+    forwarded before is not taken again, also after its lease is removed; None is returned then.
     """
+    if pull_id is not None:
+        known = {k: v for k, v in normalize(options).items() if k in SUBSCRIPTION_OPTIONS}
+        if is_finished(spark, Subscription.of(known), pull_id):
+            return None
     pull = pull_messages(spark, pull_id=pull_id, **options)
     target = {"root": pull.subscription.topic.root, "topic": to_topic, "publish_id": pull.pull_id}
     if as_text:
-        publish(pull.messages, **target)
+        wrote = publish_once(pull.messages, **target)
     else:
-        publish(pull.stored, **target, **_AS_STORED)
+        wrote = publish_once(pull.stored, **target, **_AS_STORED)
+    if pull.new and not wrote:
+        raise RuntimeError(
+            f"{to_topic!r} holds a publish {pull.pull_id!r} that is not of this pull; nothing was "
+            "acknowledged, and the messages come again when their lease ends"
+        )
     pull.ack()
+    finish(pull)
     return pull
 
 
@@ -77,7 +90,15 @@ def decode_republish(
 
 
 def topic_to_csv(spark: SparkSession, path: str, **options) -> StreamingQuery:
-    """Append the envelopes of a subscription to a CSV directory, payload as text (stream)."""
-    known = normalize(options)
-    trigger = {name: known.pop(name) for name in TRIGGER_OPTIONS if name in known}
-    return write_stream_csv(read_stream_messages(spark, **known), path, **trigger)
+    """Append the envelopes of a subscription to a CSV directory, payload as text (stream).
+
+    Each micro-batch is one directory ``batch=<offset>`` that appears at once, and is
+    acknowledged after that; a replay writes nothing. Options are those of ``process_stream``.
+    """
+    staging = f"{path.rstrip('/')}/_staging"
+
+    def write(messages: DataFrame, offset: int) -> None:
+        rows = messages.withColumn("data", F.col("data").cast("string"))
+        write_once(rows, f"{path.rstrip('/')}/batch={offset}", staging, fmt="csv")
+
+    return process_stream(spark, write, **options)

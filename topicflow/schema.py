@@ -28,15 +28,28 @@ TOPIC_SCHEMA = T.StructType(
     ]
 )
 
-#: Acknowledged messages, one directory per acknowledgement (``ack_id``).
+#: One row for each stored file: how many messages it holds and between which publish times
+#: (epoch microseconds). Written with the publish and visible with it.
+FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("publish_id", T.StringType(), True),
+        T.StructField("file_name", T.StringType(), True),
+        T.StructField("messages", T.LongType(), True),
+        T.StructField("first_micros", T.LongType(), True),
+        T.StructField("last_micros", T.LongType(), True),
+    ]
+)
+
+#: Acknowledged messages: a directory for each acknowledgement (``ack_id``), in it one for each
+#: publish, so that the acks of some publishes are found without opening the others.
 ACK_SCHEMA = T.StructType(
     [
         T.StructField("subscription", T.StringType(), True),
-        T.StructField("publish_id", T.StringType(), True),
-        T.StructField("message_id", T.StringType(), True),
         T.StructField("file_name", T.StringType(), True),
+        T.StructField("position", T.LongType(), True),
         T.StructField("acked_at", T.LongType(), True),
         T.StructField("ack_id", T.StringType(), True),
+        T.StructField("publish_id", T.StringType(), True),
     ]
 )
 
@@ -44,21 +57,22 @@ ACK_SCHEMA = T.StructType(
 FILE_ACK_SCHEMA = T.StructType(
     [
         T.StructField("subscription", T.StringType(), True),
-        T.StructField("publish_id", T.StringType(), True),
         T.StructField("file_name", T.StringType(), True),
         T.StructField("acked_at", T.LongType(), True),
         T.StructField("ack_id", T.StringType(), True),
+        T.StructField("publish_id", T.StringType(), True),
     ]
 )
 
 #: Pulled messages hidden until ``lease_until`` (epoch ms). Both partition columns come
-#: last; an expired lease is pruned as a directory, without opening a file.
+#: last; an expired lease is passed over as a directory, without opening a file.
 LEASE_SCHEMA = T.StructType(
     [
         T.StructField("subscription", T.StringType(), True),
         T.StructField("publish_id", T.StringType(), True),
-        T.StructField("message_id", T.StringType(), True),
         T.StructField("file_name", T.StringType(), True),
+        T.StructField("position", T.LongType(), True),
+        T.StructField("message_id", T.StringType(), True),
         T.StructField("lease_until", T.LongType(), True),
         T.StructField("pull_id", T.StringType(), True),
     ]
@@ -67,8 +81,9 @@ LEASE_SCHEMA = T.StructType(
 #: Publishes a subscription has finished with.
 RETIRED_SCHEMA = T.StructType([T.StructField("publish_id", T.StringType(), True)])
 
-#: A message is identified by where it was published and its id.
-KEY = ["publish_id", "message_id"]
-
 #: A stored file is identified by where it was published and its name.
 FILE_KEY = ["publish_id", "file_name"]
+
+#: A message is identified by where it stands: its file and its row there. Stored files never
+#: change, so that is unique and stable whatever ids the publisher gives, repeated or null ones too.
+KEY = [*FILE_KEY, "position"]

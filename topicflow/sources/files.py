@@ -10,12 +10,15 @@ from pyspark.sql.streaming import StreamingQuery
 from topicflow.options import TRIGGER_OPTIONS, check_output_mode, checked
 from topicflow.streaming.control import with_trigger
 
+#: Files of any age are read. A file stream else drops files a week older than its newest one.
+NO_AGE = "36500d"
+
 
 def stream_csv(
     spark: SparkSession, path: str, schema: T.StructType | str, *, max_files: int | None = None
 ) -> DataFrame:
     """New CSV files in a directory, without header, under the given schema."""
-    reader = spark.readStream.option("header", "false").schema(schema)
+    reader = spark.readStream.option("header", "false").option("maxFileAge", NO_AGE).schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(path)

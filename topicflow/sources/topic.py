@@ -8,34 +8,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.options import Topic
-from topicflow.schema import TOPIC_SCHEMA
-from topicflow.storage import exists
+from topicflow.schema import FILE_SCHEMA, TOPIC_SCHEMA
+from topicflow.sources.files import NO_AGE
+from topicflow.storage import exists, find
 
 
-def read_topic(spark: SparkSession, topic: Topic, *, file_names: bool = False) -> DataFrame:
+def read_topic(spark: SparkSession, topic: Topic, *, positions: bool = False) -> DataFrame:
     """Every stored message. Filters on ``publish_id`` prune directories; filters on
-    ``publish_time`` and ``message_id`` reach the Parquet reader. ``file_names`` adds the
-    name of the file each message is stored in."""
+    ``publish_time`` and ``message_id`` reach the Parquet reader. ``positions`` adds where
+    each message stands: ``file_name`` and ``position``."""
     paths = [topic.path] if exists(spark, topic.path) else []
-    return _read(spark, topic, paths, file_names)
+    return _read(spark, topic, paths, positions)
 
 
 def read_topic_files(
-    spark: SparkSession, topic: Topic, files: Sequence[str], *, file_names: bool = False
+    spark: SparkSession, topic: Topic, files: Sequence[str], *, positions: bool = False
 ) -> DataFrame:
     """The messages in some files of the topic; only these are listed and opened."""
-    return _read(spark, topic, files, file_names)
+    return _read(spark, topic, files, positions)
 
 
-def _read(spark: SparkSession, topic: Topic, paths: Sequence[str], file_names: bool) -> DataFrame:
-    file_name = F.lit(None).cast("string")
+def _read(spark: SparkSession, topic: Topic, paths: Sequence[str], positions: bool) -> DataFrame:
+    file_name, position = F.lit(None).cast("string"), F.lit(None).cast("long")
     messages = spark.createDataFrame([], TOPIC_SCHEMA)
     if paths:
-        file_name = F.col("_metadata.file_name")
+        file_name, position = F.col("_metadata.file_name"), F.col("_metadata.row_index")
         messages = (
             spark.read.schema(TOPIC_SCHEMA).option("basePath", topic.path).parquet(*paths)
         )
-    return messages.withColumn("file_name", file_name) if file_names else messages
+    if not positions:
+        return messages
+    return messages.select(*TOPIC_SCHEMA.names, file_name.alias("file_name"), position.alias("position"))
+
+
+def read_files(spark: SparkSession, topic: Topic) -> DataFrame:
+    """The file table of the topic: one small row for each stored file."""
+    paths = find(spark, topic.file_tables)
+    if not paths:
+        return spark.createDataFrame([], FILE_SCHEMA)
+    return spark.read.schema(FILE_SCHEMA).parquet(*paths)
+
+
+def file_rows(staged: DataFrame, publish_id: str) -> DataFrame:
+    """Rows of the file table for files of messages that are not visible yet."""
+    micros = F.unix_micros("publish_time")
+    return staged.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.min(micros).alias("first_micros"),
+        F.max(micros).alias("last_micros"),
+    ).select(F.lit(publish_id).alias("publish_id"), "file_name", "messages", "first_micros", "last_micros")
 
 
 def stream_topic(
@@ -51,7 +72,7 @@ def stream_topic(
     """
     if max_files is not None and max_bytes is not None:
         raise ValueError("Give max_files or max_bytes, not both")
-    reader = spark.readStream.schema(TOPIC_SCHEMA)
+    reader = spark.readStream.schema(TOPIC_SCHEMA).option("maxFileAge", NO_AGE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:

@@ -8,8 +8,9 @@ may be any URI Spark can write. Creating a directory relies on an atomic directo
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -79,20 +80,33 @@ def _rename_if_absent(spark: SparkSession, source: str, target: str) -> bool:
     return True
 
 
+_writers: dict[str, tuple[int, str]] = {}
+_writers_lock = threading.Lock()
+
+
 @contextmanager
 def _timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
     """Store timestamps as 64-bit microseconds while writing.
 
     The older 96-bit form is still the default; it has no statistics, so no filter on a
-    publish time could skip data.
+    publish time could skip data. Writes that overlap in one session are counted: the first
+    changes the setting, the last one puts it back.
     """
-    name = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "TIMESTAMP_MICROS")
+    name, session = "spark.sql.parquet.outputTimestampType", spark._jsparkSession.sessionUUID()
+    with _writers_lock:
+        running, before = _writers.get(session, (0, spark.conf.get(name)))
+        _writers[session] = (running + 1, before)
+        spark.conf.set(name, "TIMESTAMP_MICROS")
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        with _writers_lock:
+            running, before = _writers[session]
+            if running > 1:
+                _writers[session] = (running - 1, before)
+            else:
+                del _writers[session]
+                spark.conf.set(name, before)
 
 
 def write_once(
@@ -101,22 +115,31 @@ def write_once(
     staging: str,
     *,
     sort_by: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
     max_records_per_file: int = 0,
+    fmt: str = "parquet",
+    beside: tuple[str, Callable[[DataFrame], DataFrame]] | None = None,
 ) -> bool:
-    """Write ``df`` as the Parquet directory ``target``, all or nothing.
+    """Write ``df`` as the directory ``target``, all or nothing.
 
     Executors write to a fresh directory under ``staging``; one rename makes the result
     visible. Returns False, and writes nothing, if ``target`` exists: a replay of work that
-    was committed before. A crashed attempt leaves only its own staging directory.
+    was committed before. A crashed attempt leaves only its own staging directory. ``beside``
+    names a table inside the directory and makes it from what was written.
     """
     spark = df.sparkSession
     if exists(spark, target):
         return False
     staged = f"{staging}/{uuid.uuid4().hex}"
+    schema = df.schema
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
     with _timestamps_with_statistics(spark):
-        df.write.option("maxRecordsPerFile", max_records_per_file).parquet(staged)
+        writer = df.write.option("maxRecordsPerFile", max_records_per_file)
+        writer.partitionBy(*partition_by).format(fmt).save(staged)
+    if beside:
+        name, rows = beside
+        rows(spark.read.schema(schema).parquet(staged)).write.parquet(f"{staged}/{name}")
     created = _rename_if_absent(spark, staged, target)
     if not created:
         delete(spark, staged)

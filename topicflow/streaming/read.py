@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from topicflow.functions.envelope import to_envelope
 from topicflow.operators.delivery import ack_files
-from topicflow.operators.state import read_acks, read_file_acks
+from topicflow.operators.state import bind, hidden_keys, read_file_acks
 from topicflow.options import (
     DEFAULT_MAX_FILES,
     SUBSCRIPTION_OPTIONS,
@@ -24,34 +24,39 @@ from topicflow.sources.topic import read_topic_files, stream_topic
 from topicflow.storage import make_dirs, name_table
 from topicflow.streaming.control import with_trigger
 
-
-#: Acknowledged keys of one micro-batch that may be broadcast: some tens of megabytes.
-BROADCAST_KEYS = 100_000
+#: Options that bound a trigger.
+BOUNDS = ("max_files", "max_bytes", "max_messages")
 
 
 def _bounds(known: dict) -> dict[str, int]:
-    """At most so many files, or so many bytes, per trigger; a file is never split."""
-    if known.get("max_bytes") is not None:
-        if known.get("max_files") is not None:
-            raise ValueError("Give max_files or max_bytes, not both")
+    """At most so many files, or so many bytes, per trigger; a file is never split.
+
+    A number of messages bounds the files, each of which holds one at least.
+    """
+    given = [k for k in ("max_files", "max_bytes", "max_messages") if known.get(k) is not None]
+    if len(given) > 1:
+        raise ValueError(f"Give {' or '.join(given)}, not both")
+    if given == ["max_bytes"]:
         return {"max_bytes": positive("max_bytes", known["max_bytes"])}
-    return {"max_files": positive("max_files", known.get("max_files") or DEFAULT_MAX_FILES)}
+    return {"max_files": positive(given[0], known[given[0]]) if given else DEFAULT_MAX_FILES}
 
 
 def read_stream_messages(spark: SparkSession, **options) -> DataFrame:
     """The messages of a subscription as a streaming DataFrame of envelopes.
 
-    The cursor is the checkpoint of the query that uses it. There is no ``offset`` column:
-    a plan does not know its batch; :func:`process_stream` does. ``max_files`` or
-    ``max_bytes`` bound a trigger. The schema is fixed: a ``schema`` option is refused.
+    The cursor is the checkpoint of the query that uses it. ``max_files``, ``max_bytes`` or
+    ``max_messages`` bound a trigger. The schema is fixed: a ``schema`` option is refused.
+
+    A raw frame has no step after its sink, so it cannot acknowledge, does not leave out what is
+    acknowledged, and does not know its batch: ``offset`` is -1. :func:`process_stream` does all three.
     """
     if "schema" in options:
         raise ValueError("The message schema is fixed; decode the payload instead")
-    known = checked(options, *SUBSCRIPTION_OPTIONS, "max_files", "max_bytes")
+    known = checked(options, *SUBSCRIPTION_OPTIONS, *BOUNDS)
     sub = Subscription.of(known)
     make_dirs(spark, sub.topic.path)
     messages = stream_topic(spark, sub.topic, **_bounds(known))
-    return to_envelope(messages, sub.name, offset=None)
+    return to_envelope(messages, sub.name)
 
 
 #: Publish and name of a stored file.
@@ -60,7 +65,7 @@ TopicFile = tuple[str, str]
 
 def _batch_files(batch: DataFrame) -> list[TopicFile]:
     """The files of a micro-batch: as many as the trigger admits."""
-    return sorted(tuple(file) for file in batch.agg(F.collect_set(F.struct(*FILE_KEY))).first()[0])
+    return sorted(tuple(row) for row in batch.select(*FILE_KEY).distinct().collect())
 
 
 def _without_acked(spark: SparkSession, sub: Subscription, files: list[TopicFile]) -> list[TopicFile]:
@@ -78,20 +83,16 @@ def _without_acked(spark: SparkSession, sub: Subscription, files: list[TopicFile
 def _undelivered(spark: SparkSession, sub: Subscription, files: list[TopicFile]) -> DataFrame:
     """The messages of some files without those acknowledged one by one.
 
-    Only the acks of these publishes are joined. There are none unless batch pulls share the
-    subscription, and if they are few the messages are not shuffled.
+    Only the acks of these publishes are opened and joined. There are none unless batch pulls
+    share the subscription.
     """
     paths = [f"{sub.topic.publish_path(publish_id)}/{name}" for publish_id, name in files]
-    messages = read_topic_files(spark, sub.topic, paths)
-    acks = read_acks(spark, sub)
-    if acks is None:
-        return messages
-    publish_ids = sorted({publish_id for publish_id, _ in files})
-    keys = acks.where(F.col("publish_id").isin(publish_ids)).select(*KEY)
-    count = keys.count()
-    if count == 0:
-        return messages
-    return messages.join(F.broadcast(keys) if count <= BROADCAST_KEYS else keys, KEY, "left_anti")
+    hidden = hidden_keys(spark, sub, None, sorted({publish_id for publish_id, _ in files}))
+    if hidden is None:
+        return read_topic_files(spark, sub.topic, paths)
+    messages = read_topic_files(spark, sub.topic, paths, positions=True)
+    columns = [c for c in messages.columns if c not in ("file_name", "position")]
+    return messages.join(hidden, KEY, "left_anti").select(*columns)
 
 
 def process_stream(
@@ -112,11 +113,12 @@ def process_stream(
     Messages a batch pull of the same subscription has acknowledged are left out. If
     ``handle`` fails the query stops, and a restart replays the same files under the same
     offset; make ``handle`` idempotent in it. A batch that was acknowledged already is not
-    handled again, so a replay cannot replace its output by nothing. ``stored=True`` hands over the columns of the
-    topic table in place of the envelope.
+    handled again, so a replay cannot replace its output by nothing. ``stored=True`` hands over
+    the columns of the topic table in place of the envelope.
     """
-    known = checked(options, *SUBSCRIPTION_OPTIONS, *TRIGGER_OPTIONS, "max_files", "max_bytes")
+    known = checked(options, *SUBSCRIPTION_OPTIONS, *TRIGGER_OPTIONS, *BOUNDS)
     sub = Subscription.of(known)
+    bind(spark, sub)
     make_dirs(spark, sub.topic.path)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:

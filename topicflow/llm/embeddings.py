@@ -245,7 +245,7 @@ def near_duplicates(
     key = ["size", "table", "bucket"]
     at = at.select("size", F.floor(F.col("at") / F.col("probes")).cast("int").alias("table"), "bucket", "class_id")
     # buckets of one vector go before any vector is sent
-    held = at.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    held = stored(at.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     placed = at.join(held, key).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
     sent = placed.join(coded.select("class_id", "embedding", "copies", "codes"), "class_id")

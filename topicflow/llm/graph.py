@@ -19,10 +19,11 @@ def _both(edges: DataFrame) -> DataFrame:
 def _stars(pairs: DataFrame, larger_only: bool) -> DataFrame:
     """Connects neighbours of each node (``src``) with the smallest among them and the node.
 
-    The smallest neighbour is a partial aggregate; the join that brings it back is one that Spark
-    can split by skew, so a hub with very many neighbours is no single task.
+    The smallest neighbour is a partial aggregate. It is written before it is joined back, so that the
+    join has a shuffle on both sides, which Spark can split: a hub with very many neighbours is no
+    single task.
     """
-    lowest = pairs.groupBy("src").agg(F.min("dst").alias("m"))
+    lowest = stored(pairs.groupBy("src").agg(F.min("dst").alias("m")))
     root = F.least("src", "m")
     joined = pairs.join(lowest, "src")
     if larger_only:

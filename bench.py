@@ -26,7 +26,8 @@ from topicflow import (
     read_topic,
     write_stream_messages,
 )
-from topicflow.operators.delivery import ack_keys
+from topicflow.operators.delivery import ack_files, ack_keys
+from topicflow.sources.topic import read_files
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -59,7 +60,7 @@ def main() -> None:
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
     lineitem = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
-    rows = {"events": events.count(), "orders": orders.count(), "lineitem": lineitem.count()}
+    rows = {"events": events.count(), "orders": orders.count(), "lineitem": lineitem.count(), "many": 100_000}
 
     messages = events.select(
         F.col("event_id").cast("string").alias("id"),
@@ -76,13 +77,23 @@ def main() -> None:
     stored = read_topic(spark, topic, positions=True).drop("data")
     ack_keys(stored.where(F.crc32("message_id") % 2 == 0), Subscription.of(half), ack_id="half")
 
+    many = {"root": root, "topic": "many", "subscription": "most-acked"}
+    publish(spark.range(0, 100_000, 1, 1000), root=root, topic="many", publish_id="all")
+    files = read_files(spark, Topic(root, "many")).orderBy("file_name").limit(990)
+    ack_files(files.select("publish_id", "file_name"), Subscription.of(many), ack_id="most")
+
     def new(prefix: str) -> str:
         return f"{prefix}-{uuid.uuid4().hex}"
 
     def pull() -> None:
-        state = f"{root}/subscriptions/half"
-        taken = pull_messages(spark, max_messages=100, lease_seconds=0, state_path=state, **half)
-        drain(taken.messages)
+        drain(pull_messages(spark, max_messages=100, lease_seconds=0, **half).messages)
+
+    def pull_large() -> None:
+        whole = {"root": root, "topic": "ev", "subscription": new("large")}
+        drain(pull_messages(spark, max_messages=rows["events"] // 2, **whole).messages)
+
+    def pull_many() -> None:
+        drain(pull_messages(spark, max_messages=10, lease_seconds=0, **many).messages)
 
     def stream_pull() -> None:
         name = new("sub")
@@ -115,6 +126,9 @@ def main() -> None:
         "pull_half_acked": (pull, "events"),
         "backlog_half_acked": (lambda: backlog(spark, Subscription.of(half)).collect(), "events"),
         "decode_json": (decode, "events"),
+        "pull_half_of_events": (pull_large, "events"),
+        "pull_10_of_1000_files_990_acked": (pull_many, "many"),
+        "backlog_1000_files_990_acked": (lambda: backlog(spark, Subscription.of(many)).collect(), "many"),
         "stream_pull": (stream_pull, "events"),
         "stream_publish": (stream_publish, "orders"),
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicflow.operators.state import waiting_files, waiting_messages
@@ -15,30 +15,32 @@ from topicflow.schema import FILE_KEY, KEY
 ORDER = ["publish_time", *KEY]
 
 
-def _end(files: DataFrame, n: int) -> int | None:
-    """A publish time before or at which ``n`` messages wait, or None if fewer wait in all.
+def _files(files: DataFrame, n: int) -> list[Row]:
+    """The files to look into, and ``end``: a publish time before or at which ``n`` messages wait
+    (None if fewer wait in all).
 
-    Files are taken in the order of their last message until they hold enough: one small row
-    a file, in a sort that can spill.
+    Files are taken in the order of their last message until they hold enough; then those that
+    begin later are left out. One small row a file, in a sort that can spill.
     """
     order = Window.orderBy("last_micros", *FILE_KEY).rowsBetween(Window.unboundedPreceding, 0)
-    enough = files.withColumn("total", F.sum("waiting").over(order)).where(F.col("total") >= n)
-    return enough.agg(F.min("last_micros")).first()[0]
+    enough = F.when(F.col("total") >= n, F.col("last_micros"))
+    ends = files.withColumn("total", F.sum("waiting").over(order)).withColumn(
+        "end", F.min(enough).over(Window.partitionBy(F.lit(0)))
+    )
+    return ends.where("end is null or first_micros <= end").select(*FILE_KEY, "end").collect()
 
 
 def oldest(spark: SparkSession, sub: Subscription, n: int, now: int) -> tuple[DataFrame, str]:
     """Keys (with ``message_id``) of the ``n`` oldest waiting messages, or of all if fewer wait.
 
-    Only files that begin before ``_end`` are opened, and of their messages only those up to it
+    Only files that begin before the ``end`` of ``_files`` are opened, and of their messages only those up to it
     are looked at. They are written range-partitioned; the counts of the ranges tell which are
     taken whole, and in the one that is cut positions are numbered by a sort that can spill. No
     two keys are equal, so ranges are even, and no task gathers ``n`` rows. Also returns the
     directory the keys were written to, for the caller to remove.
     """
-    files = waiting_files(spark, sub, now)
-    end = _end(files, n)
-    if end is not None:
-        files = files.where(F.col("first_micros") <= end)
+    files = _files(waiting_files(spark, sub, now), n)
+    end = files[0]["end"] if files else None
     messages = waiting_messages(spark, sub, files, now)
     if end is not None:
         messages = messages.where(F.col("publish_time") <= F.timestamp_micros(F.lit(end)))

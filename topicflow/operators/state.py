@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.options import Subscription, to_millis
@@ -134,13 +134,12 @@ def file_paths(sub: Subscription, files: DataFrame) -> list[str]:
 
 
 def waiting_messages(
-    spark: SparkSession, sub: Subscription, files: DataFrame, now: int | None, *, positions: bool = True
+    spark: SparkSession, sub: Subscription, files: list[Row], now: int | None, *, positions: bool = True
 ) -> DataFrame:
     """The messages that wait in some files; only those files are opened."""
-    rows = files.select(*FILE_KEY).collect()
-    paths = sorted(f"{sub.topic.publish_path(r.publish_id)}/{r.file_name}" for r in rows)
+    paths = sorted(f"{sub.topic.publish_path(r.publish_id)}/{r.file_name}" for r in files)
     messages = read_topic_files(spark, sub.topic, paths, positions=True)
-    hidden = hidden_keys(spark, sub, now, sorted({r.publish_id for r in rows})) if rows else None
+    hidden = hidden_keys(spark, sub, now, sorted({r.publish_id for r in files})) if files else None
     if hidden is not None:
         messages = messages.join(hidden, KEY, "left_anti")
     return messages if positions else messages.drop("file_name", "position")
@@ -154,7 +153,8 @@ def eligible(spark: SparkSession, sub: Subscription, as_of: datetime | int | Non
     now = to_millis(as_of)
     if not exists(spark, sub.topic.path):
         return read_topic(spark, sub.topic)
-    return waiting_messages(spark, sub, waiting_files(spark, sub, now), now, positions=False)
+    files = waiting_files(spark, sub, now).select(*FILE_KEY).collect()
+    return waiting_messages(spark, sub, files, now, positions=False)
 
 
 def has_backlog(spark: SparkSession, sub: Subscription, as_of: datetime | int | None = None) -> bool:
@@ -169,7 +169,7 @@ def backlog(spark: SparkSession, sub: Subscription, as_of: datetime | int | None
     part is done and that begin before every untouched file.
     """
     now = to_millis(as_of)
-    files = waiting_files(spark, sub, now)
+    files = waiting_files(spark, sub, now).persist()
     untouched = F.col("waiting") == F.col("messages")
     totals = files.agg(
         F.sum("waiting").alias("messages"), F.min(F.when(untouched, F.col("first_micros"))).alias("first")
@@ -177,6 +177,8 @@ def backlog(spark: SparkSession, sub: Subscription, as_of: datetime | int | None
     begun = files.where(~untouched)
     if totals["first"] is not None:
         begun = begun.where(F.col("first_micros") < totals["first"])
+    begun = begun.select(*FILE_KEY).collect()
+    files.unpersist()
     parts = waiting_messages(spark, sub, begun, now)
     oldest = F.least(F.min(F.unix_micros("publish_time")), F.lit(totals["first"]).cast("long"))
     return parts.agg(

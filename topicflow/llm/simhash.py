@@ -95,7 +95,8 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """
     table = fps.select("fp", F.inline(F.array(_entry(0, _high()), _entry(1, _low()))))
     sizes = table.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.where(F.col("n") > bucket).select("segment", "value")
+    # written, so that joins with it have a shuffle on both sides and a common key can be split
+    large = stored(sizes.where(F.col("n") > bucket).select("segment", "value"))
     balls = F.concat(
         F.transform(_flips(_high(), range(32)), lambda v: _entry(0, v)), F.array(_entry(1, _low()))
     )

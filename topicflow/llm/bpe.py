@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicflow.llm.common import map_text
+from topicflow.llm.common import map_text, stored
 from topicflow.llm.lexicon import Lexicon, compile_lexicon
 
 #: How byte-level tokenizers cut a text before merging (a fixed value of the vocabulary).
@@ -30,6 +30,8 @@ CUT = regex.compile(
 _ODD_SPACE = regex.compile(r" (?=\p{White_Space}|$)")
 #: Words of the lexicon at most; a rarer word is merged.
 LEXICON_WORDS = 65_536
+#: Times that a word of the lexicon stands in the documents at least.
+MIN_COUNT = 4
 #: Characters between spaces that a task remembers, and the longest such unit that is one.
 REMEMBERED, UNIT = 450_000, 64
 #: Bytes of a word up to which words are merged side by side in a matrix.
@@ -205,11 +207,12 @@ class Encoder:
         found, bounds = self.lexicon.find(words), self.lexicon.offsets
         unseen = np.flatnonzero(found < 0)
         merged, begin, size = self.vocabulary.merge([words[i] for i in unseen.tolist()])
-        starts, sizes = bounds[:-1][found].astype(np.int64), np.diff(bounds)[found].astype(np.int64)
+        begins, ends = bounds[np.maximum(found, 0)], bounds[np.minimum(found + 1, len(bounds) - 1)]
+        starts, sizes = begins.astype(np.int64), (ends - begins).astype(np.int64)
         starts[unseen], sizes[unseen] = len(self.lexicon.ids) + begin, size
         ids, each = _gather(np.concatenate((self.lexicon.ids, merged)), starts[place], sizes[place])
-        edges, ends = np.concatenate(([0], np.cumsum(each))), np.cumsum(counts)
-        self._add(units, edges[ends] - edges[ends - counts], ids)
+        edges, last = np.concatenate(([0], np.cumsum(each))), np.cumsum(counts)
+        self._add(units, edges[last] - edges[last - counts], ids)
 
     def _add(self, units: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
         self.index.update(zip(units, range(len(self.index), len(self.index) + len(units))))
@@ -265,11 +268,29 @@ def count_units(docs: DataFrame) -> DataFrame:
     return units.groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
 
 
+def frequent_units(docs: DataFrame, most: int = LEXICON_WORDS) -> list[str]:
+    """The most frequent units of all documents, ``most`` at most, as one list.
+
+    They are those from some count on. The count is read from a histogram of at most some hundred
+    steps, so that no more units than are used ever leave the executors.
+    """
+    step = F.floor(F.log2("n") * 8).cast("int")
+    common = count_units(docs).where(F.length("unit").between(1, UNIT) & (F.col("n") >= MIN_COUNT))
+    common = stored(common.select("unit", step.alias("step")))
+    from_step, total = None, 0
+    for row in common.groupBy("step").count().orderBy(F.desc("step")).collect():
+        total += row["count"]
+        if total > most:
+            break
+        from_step = row["step"]
+    if from_step is None:
+        return []
+    return [r.unit for r in common.where(F.col("step") >= from_step).select("unit").collect()]
+
+
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, words: int = LEXICON_WORDS) -> bytes:
     """The compiled lexicon of the words in the ``words`` most frequent units of all documents."""
-    short = count_units(docs).where(F.length("unit").between(1, UNIT))
-    top = short.orderBy(F.desc("n"), "unit").limit(words).select("unit").collect()
-    frequent = sorted({p.encode() for r in top for p in CUT.findall(" " + r.unit)})
+    frequent = sorted({p.encode() for u in frequent_units(docs, words) for p in CUT.findall(" " + u)})
     ids, starts, sizes = vocabulary.merge(frequent)
     spans = zip(frequent, starts.tolist(), (starts + sizes).tolist())
     return compile_lexicon({word: ids[a:b].tolist() for word, a, b in spans})

@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicflow.llm.common import as_bytes, map_text
-from topicflow.llm.toxicity import held_out
+from topicflow.llm.toxicity import held_out, sampled
 
-#: Labelled rows of each grade in the sample at most, the smallest by a hash of their id.
+#: Labelled rows of each grade in the sample, about: of a larger grade, as many by a hash of the id.
 SAMPLE = 3000
 #: Weights, as a power of two.
 BITS = 18
@@ -97,7 +97,7 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, grades: DataFrame, size: int = SAMPLE) -> Grader:
-    """The regression on at most ``size`` rows of each grade of ``grades`` that are not held out.
+    """The regression on about ``size`` rows at most of each grade of ``grades`` that are not held out.
 
     Without a graded row, or with one grade only, every text gets the same grade.
     """
@@ -108,9 +108,10 @@ def fit(docs: DataFrame, grades: DataFrame, size: int = SAMPLE) -> Grader:
         return Grader(np.zeros(1 << BITS), np.where(np.arange(1, max(top, 1) + 1) <= top, -4.0, 4.0))
     chosen = None
     for grade in sorted(counts):
-        part = each.where(F.col("grade") == grade).orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(size)
+        part = each.where((F.col("grade") == grade) & sampled(size, counts[grade], SEED))
         chosen = part if chosen is None else chosen.union(part)
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # a bounded number of ids
+    # about size rows of each grade, of two columns
+    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def start():
         hasher = Hasher()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from topicflow.llm.common import map_text
 
-#: Labelled rows of each class in the sample at most, the smallest by a hash of their id.
+#: Labelled rows of each class in the sample, about: of a larger class, as many by a hash of the id.
 SAMPLE = 4000
 #: Letters of the word beginnings that are terms.
 PREFIXES = (4, 5, 6)
@@ -67,6 +67,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def sampled(size: int, of: int, seed: int) -> Column:
+    """Picks about ``size`` of ``of`` rows by a hash of their ``doc_id``, all if they are no more."""
+    share = round((1 << 30) * min(1.0, size / max(of, 1)))
+    return F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) < share
+
+
 def _sample(docs: DataFrame, labels: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Terms of the sampled texts behind one another, terms a text, labels, and weights of the rows."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
@@ -74,9 +80,9 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> tuple[np.ndarray,
     counts = {r.toxic: r.n for r in each.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = None
     for label in (True, False):
-        part = each.where(F.col("toxic") == label).orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(size)
+        part = each.where((F.col("toxic") == label) & sampled(size, counts.get(label, 0), SEED))
         chosen = part if chosen is None else chosen.union(part)
-    # the sample has 2 * size rows of two columns at most
+    # the sample has about 2 * size rows of two columns at most
     picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def start():
@@ -119,7 +125,7 @@ def _informative(flat: np.ndarray, owner: np.ndarray, y: np.ndarray) -> np.ndarr
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Machine:
-    """The machine of at most ``size`` labelled rows of each class that are not held out.
+    """The machine of about ``size`` labelled rows of each class at most that are not held out.
 
     With no label, or labels of one class, every text gets the score of the bias alone.
     """
@@ -172,12 +178,12 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Machine:
 
 
 def with_score(docs: DataFrame, machine: Machine) -> DataFrame:
-    """``docs`` with a column ``toxicity_score`` from 0 to 1; one of that name is replaced.
+    """``docs`` with a column ``_toxicity_score`` from 0 to 1; one of that name is replaced.
 
     Null and empty texts get the score of the bias. Each row is scored for itself, so rows that
     repeat get equal scores; other columns pass through; an empty table gives no rows.
     """
-    docs = docs.drop("toxicity_score")
+    docs = docs.drop("_toxicity_score")
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     def start():
@@ -200,13 +206,13 @@ def with_score(docs: DataFrame, machine: Machine) -> DataFrame:
                 logits[i] = machine.logit(sorted(own))
             scores = pa.array(1 / (1 + np.exp(-np.clip(logits, -30, 30))))
             return pa.RecordBatch.from_arrays(
-                [*batch.columns, scores], names=[*batch.schema.names, "toxicity_score"]
+                [*batch.columns, scores], names=[*batch.schema.names, "_toxicity_score"]
             )
 
         return each
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_text(docs, "text", f"{schema}, toxicity_score double", start)
+    return map_text(docs, "text", f"{schema}, _toxicity_score double", start)
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
@@ -215,11 +221,11 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     return scored.select(
         "doc_id",
         held_out().alias("held_out"),
-        F.col("toxicity_score").alias("score"),
-        (F.col("toxicity_score") >= THRESHOLD).cast("int").alias("predicted"),
+        F.col("_toxicity_score").alias("score"),
+        (F.col("_toxicity_score") >= THRESHOLD).cast("int").alias("predicted"),
     )
 
 
 def keep_clean(docs: DataFrame, machine: Machine) -> DataFrame:
     """The rows of ``docs`` with a score below ``THRESHOLD``, columns unchanged."""
-    return with_score(docs, machine).where(F.col("toxicity_score") < THRESHOLD).select(*docs.columns)
+    return with_score(docs, machine).where(F.col("_toxicity_score") < THRESHOLD).select(*docs.columns)

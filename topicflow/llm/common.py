@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from topicflow.storage import shared_scratch
+from topicflow.storage import delete, shared_scratch
 
 #: Bytes of text that a Python worker holds as objects at a time; one longer text is a slice alone.
 SLICE_BYTES = 2_000_000
@@ -27,6 +28,12 @@ def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Remove a table of ``stored`` that nothing reads any more: what came of it is stored, too."""
+    for file in table.inputFiles()[:1]:
+        delete(table.sparkSession, unquote(file.rsplit("/", 1)[0]))
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions of a shuffle, as the session sets them."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

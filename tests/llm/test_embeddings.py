@@ -52,6 +52,21 @@ def test_recall_at_the_threshold():
     assert (x[:, :, :, None] == y[:, :, None, :]).any(axis=(1, 2, 3)).mean() >= 0.95
 
 
+@pytest.mark.parametrize("vectors, hashes", [(51_000, 3), (2_000_000, 4), (117_000_000, 5)])
+def test_recall_does_not_fall_with_the_number_of_vectors(vectors, hashes):
+    assert E.hashes_for(vectors, 64) == hashes
+    tables = E.tables_for(hashes, 64)
+    r = np.random.default_rng(4)
+    a, o = r.normal(size=(2, 800, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    o -= (o * a).sum(1, keepdims=True) * a
+    o /= np.linalg.norm(o, axis=1, keepdims=True)
+    x, y = (E.buckets(v, tables, hashes) for v in (a, 0.9 * a + np.sqrt(1 - 0.81) * o))
+    recall = (x[:, :, :, None] == y[:, :, None, :]).any(axis=(1, 2, 3)).mean()
+    print(hashes, tables, recall)
+    assert recall >= 0.96
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(2).normal(size=(5, 32))
     assert np.allclose(np.linalg.norm(E.hadamard(x), axis=1), np.linalg.norm(x, axis=1))

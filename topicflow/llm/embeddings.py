@@ -24,7 +24,10 @@ from topicflow.llm.common import parallelism, stored
 from topicflow.llm.graph import components
 
 COSINE = 0.9
+#: Tables at least; more where the hashes of a bucket are so many that pairs at the bound meet less often.
 TABLES = 8
+#: Share of the pairs at the cosine bound that meet in a bucket.
+RECALL = 0.98
 SEED = 11
 #: Vectors of a block; a larger bucket is as many blocks as it takes.
 BLOCK = 1024
@@ -81,6 +84,27 @@ def hashes_for(vectors: int, size: int) -> int:
     return max(1, math.ceil(math.log(8 * max(vectors, 1)) / math.log(2 * padded)))
 
 
+def tables_for(hashes: int, size: int, cosine: float = COSINE, recall: float = RECALL) -> int:
+    """Tables, at least ``TABLES``, that bring pairs at the bound into a common bucket with ``recall``.
+
+    How often one table does is counted on made pairs, the same ones each time.
+    """
+    if size < 2 or not 0 < cosine < 1:
+        return TABLES
+    r = np.random.default_rng(SEED + 1)
+    met, tried = 0, 0
+    for _ in range(4):
+        a, o = r.normal(size=(2, 500, size))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        o -= (o * a).sum(axis=1, keepdims=True) * a
+        o /= np.linalg.norm(o, axis=1, keepdims=True)
+        x, y = (buckets(v, TABLES, hashes) for v in (a, cosine * a + math.sqrt(1 - cosine**2) * o))
+        same = (x[:, :, :, None] == y[:, :, None, :]).any(axis=(2, 3))
+        met, tried = met + int(same.sum()), tried + same.size
+    rate = max(met, 1) / tried
+    return TABLES if rate == 1 else max(TABLES, math.ceil(math.log(1 - recall) / math.log(1 - rate)))
+
+
 def _units(lists: pa.ListArray, size: int) -> np.ndarray:
     """Vectors of one length, scaled to length 1 in double precision."""
     x = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
@@ -218,14 +242,15 @@ def _block(table: pa.Table, cosine: float, tables: int) -> pa.Table:
 
 
 def near_duplicates(
-    vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, block: int = BLOCK
+    vectors: DataFrame, cosine: float = COSINE, tables: int | None = None, block: int = BLOCK
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors`` (``vec_id, embedding``).
 
     ``n_links`` counts the other rows found with a cosine of at least ``cosine``; ``component_id`` is
     the smallest ``vec_id`` that links reach; ``kept`` marks the row that is it. Vectors that are null,
     empty or zero, or hold null or non-finite components, link with nothing and are kept. Vectors of
-    different length are not compared. Rows that repeat are vectors of their own. Other columns are
+    different length are not compared. ``tables`` follows the number of hashes, so that recall at the
+    bound does not fall as the table grows. Rows that repeat are vectors of their own. Other columns are
     ignored; an empty table gives no rows.
     """
     schema = vectors.schema["vec_id"].dataType.simpleString()
@@ -239,7 +264,10 @@ def near_duplicates(
         valid.groupBy("embedding").agg(F.min("vec_id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
     )
     facts = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("size")).first()
-    coded = stored(_coded(classes, tables, hashes_for(facts["n"] or 0, facts["size"] or 1)))
+    size = facts["size"] or 1
+    hashes = hashes_for(facts["n"] or 0, size)
+    tables = tables or tables_for(hashes, size, cosine)
+    coded = stored(_coded(classes, tables, hashes))
     per_table = F.size("codes") / F.lit(tables)
     at = coded.select("size", "class_id", per_table.cast("int").alias("probes"), F.posexplode("codes").alias("at", "bucket"))
     key = ["size", "table", "bucket"]

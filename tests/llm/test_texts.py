@@ -2,6 +2,7 @@
 
 import collections
 import random
+import textwrap
 
 import public_tokenizers
 import pytest
@@ -46,6 +47,37 @@ def test_rules_over_sentences(spark):
     assert scan(spark, []) == {}
 
 
+@pytest.mark.parametrize("width", [30, 72, 80])
+@pytest.mark.parametrize("leader", ["", "# ", " * ", "// "])
+def test_broken_lines(width, leader):
+    known, ordered = licenses.known_sentences(), licenses.rules()
+    texts = {
+        ("MIT", "mit-text"): ["mit-1", "", "mit-2", "", "mit-3"],
+        ("BSD-3-Clause", "bsd-3-text"): ["bsd-1", "", "bsd-2", "bsd-3", "bsd-4"],
+        ("Apache-2.0", "apache-header"): ["apache-1 apache-2 apache-3"],
+        ("GPL-3.0", "gpl-3-header"): ["gpl-1", "", "gpl-2", "gpl-3"],
+        ("GPL-2.0", "gpl-2-header"): ["gpl2-1", "", "gpl-2", "gpl-3"],
+        ("LGPL-3.0", "lgpl-3-grant"): ["lgpl-1"],
+        ("AGPL-3.0", "agpl-3-grant"): ["agpl-1"],
+        ("MPL-2.0", "mpl-2-header"): ["mpl-1"],
+        ("ISC", "isc-text"): ["isc-1"],
+    }
+    for (name, rule), parts in texts.items():
+        lines = [line for p in parts for line in (textwrap.wrap(" ".join(MIT[k] for k in p.split()), width) or [""])]
+        text = "\n".join((leader + line).rstrip() for line in ["Copyright 2020 A. B.", "", *lines, "", "code"])
+        found = licenses.match(licenses.find(text, known, licenses.beginnings(known)), ordered)
+        assert [(r.license, r.name) for r, _, _ in found] == [(name, rule)], (name, text)
+
+
+def test_an_empty_line_ends_a_sentence():
+    known = licenses.known_sentences()
+    begun = licenses.beginnings(known)
+    assert licenses.find("Released under the\nMIT License", known, begun) == [(0, "notice:MIT", 1)]
+    assert licenses.find("Released under the\n\nMIT License", known, begun) == []
+    assert licenses.find("# Released under the\n#\n# MIT License", known, begun) == []
+    assert licenses.find("Released under the MIT License\nSecond line", known, begun) == [(0, "notice:MIT", 0)]
+
+
 def brute_repeats(words, n=8):
     windows = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
     counts = collections.Counter(windows)

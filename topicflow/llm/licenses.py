@@ -1,7 +1,9 @@
 """Licence scans: known licence sentences, and ordered rules over their identifiers.
 
-A text is cut into sentences, and each is normalised: lower case, letters and digits only, one space
-between words. A normalised sentence that is known has an identifier. A rule is a sequence of
+A text is cut into sentences and lines, and each is normalised: lower case, letters and digits only,
+one space between words, which drops comment leaders too. Those that follow one another with no empty
+line between are also read as one, so a sentence is known however its lines are broken; the longest
+known one counts. A normalised sentence that is known has an identifier. A rule is a sequence of
 identifiers that names a licence; it matches where its sentences follow one another with no more
 than ``GAP`` other sentences between two of them. Longer rules go first, and a sentence serves one
 rule only, so the full text of a licence is not also read as its short notices.
@@ -62,12 +64,17 @@ SENTENCES = {
     "gpl-1": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl-2": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
     "gpl-3": "See the GNU General Public License for more details.",
+    "gpl2-1": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "lgpl-1": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl-1": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "mpl-1": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "unlicense-1": "This is free and unencumbered software released into the public domain.",
     "isc-1": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "rights-1": "All rights reserved.",
 }
-#: Words one of which every known sentence holds; a text without any has no known sentence.
-TRIGGERS = ("licens", "licenc", "spdx", "reserved", "permission", "copyright", "redistribut", "warranty", "distributed under", "released under", "available under", "public domain")
+#: Words one of which every known sentence holds; a text without any has no known sentence. No two
+#: words, as a line may end between them.
+TRIGGERS = ("licens", "licenc", "spdx", "reserved", "permission", "copyright", "redistribut", "warranty", "distributed", "released", "available", "unencumbered")
 
 
 @dataclass(frozen=True)
@@ -78,7 +85,7 @@ class Rule:
 
 
 _OTHER = re.compile(r"[\W_]+")
-_END = re.compile(r"\n+|(?<=[.!?;:])\s+")
+_END = re.compile(r"(\n+|(?<=[.!?;:])\s+)")
 
 
 def normalise(sentence: str) -> str:
@@ -87,7 +94,45 @@ def normalise(sentence: str) -> str:
 
 def sentences(text: str) -> list[str]:
     """Sentences of a text: they end at a line's end, or at a mark before white space."""
-    return [s for s in _END.split(text) if s and not s.isspace()]
+    return [s for s, _ in pieces(text)]
+
+
+def pieces(text: str) -> list[tuple[str, bool]]:
+    """Sentences of a text, and whether an empty line stands before each."""
+    parts, found, apart = _END.split(text), [], False
+    for i, s in enumerate(parts):
+        if not s or s.isspace():
+            apart = apart or s.count("\n") > 1 or (i % 2 == 0 and bool(s))
+        else:
+            found.append((s, apart))
+            apart = False
+    return found
+
+
+def beginnings(known: dict[str, str]) -> set[str]:
+    """What known sentences begin with, whole words at a time."""
+    return {" ".join(words[:n]) for k in known for words in [k.split()] for n in range(1, len(words) + 1)}
+
+
+def find(text: str, known: dict[str, str], begun: set[str]) -> list[tuple[int, str, int]]:
+    """Known sentences of a text: position of the first part, identifier, position of the last part."""
+    parts = [(normalise(s), apart) for s, apart in pieces(text)]
+    found, i = [], 0
+    while i < len(parts):
+        joined, best = parts[i][0], None
+        for j in range(i, len(parts)):
+            if j > i:
+                if parts[j][1] or not parts[j][0]:
+                    break
+                joined += " " + parts[j][0]
+            if joined in known:
+                best = (i, known[joined], j)
+            if joined not in begun:
+                break
+        if best:
+            found.append(best)
+        i = best[2] + 1 if best else i + 1
+    return found
 
 
 def known_sentences() -> dict[str, str]:
@@ -110,6 +155,11 @@ def rules() -> list[Rule]:
         Rule("apache-header", "Apache-2.0", ("apache-1", "apache-2", "apache-3")),
         Rule("gpl-3-header", "GPL-3.0", ("gpl-1", "gpl-2", "gpl-3")),
         Rule("gpl-3-grant", "GPL-3.0", ("gpl-1",)),
+        Rule("gpl-2-header", "GPL-2.0", ("gpl2-1", "gpl-2", "gpl-3")),
+        Rule("gpl-2-grant", "GPL-2.0", ("gpl2-1",)),
+        Rule("lgpl-3-grant", "LGPL-3.0", ("lgpl-1",)),
+        Rule("agpl-3-grant", "AGPL-3.0", ("agpl-1",)),
+        Rule("mpl-2-header", "MPL-2.0", ("mpl-1",)),
         Rule("unlicense-text", "Unlicense", ("unlicense-1",)),
         Rule("isc-text", "ISC", ("isc-1",)),
         Rule("rights-reserved", "Proprietary", ("rights-1",)),
@@ -118,8 +168,8 @@ def rules() -> list[Rule]:
     return sorted(texts + notices, key=lambda r: -len(r.sentences))
 
 
-def match(found: list[tuple[int, str]], ordered: list[Rule], gap: int = GAP) -> list[tuple[Rule, int, int]]:
-    """Rules in the known sentences of a text (position, identifier), with first and last position."""
+def match(found: list[tuple[int, str, int]], ordered: list[Rule], gap: int = GAP) -> list[tuple[Rule, int, int]]:
+    """Rules in the known sentences of a text (see ``find``), with first and last position."""
     free = dict(enumerate(found))
     out = []
     for rule in ordered:
@@ -131,7 +181,7 @@ def match(found: list[tuple[int, str]], ordered: list[Rule], gap: int = GAP) ->
                     continue
                 path = [start]
                 for wanted in rule.sentences[1:]:
-                    last = free[path[-1]][0]
+                    last = free[path[-1]][2]
                     step = next(
                         (k for k in sorted(free) if k > path[-1] and free[k][1] == wanted and free[k][0] - last <= gap + 1),
                         None,
@@ -140,7 +190,7 @@ def match(found: list[tuple[int, str]], ordered: list[Rule], gap: int = GAP) ->
                         break
                     path.append(step)
                 if len(path) == len(rule.sentences):
-                    out.append((rule, free[path[0]][0], free[path[-1]][0]))
+                    out.append((rule, free[path[0]][0], free[path[-1]][2]))
                     for k in path:
                         del free[k]
                     again = len(rule.sentences) > 1
@@ -153,18 +203,18 @@ def scan(docs: DataFrame, gap: int = GAP) -> DataFrame:
     """``doc_id, licenses, kinds, matches`` of every row of ``docs`` (``doc_id, text``).
 
     ``licenses`` and ``kinds`` are sorted and without repeats; ``matches`` has licence, rule and the
-    first and last sentence of each match, counted from 0. Null and empty texts have none. Rows
+    first and last sentence of each match, counted from 0 (a line of a broken sentence counts as one). Null and empty texts have none. Rows
     that repeat get equal results; other columns are ignored; an empty table gives no rows.
     """
     known, ordered = known_sentences(), rules()
+    begun = beginnings(known)
 
     def start():
         def look(text: str) -> list[tuple[Rule, int, int]]:
             lower = text.lower()
             if not any(t in lower for t in TRIGGERS):
                 return []
-            named = ((i, known.get(normalise(s))) for i, s in enumerate(sentences(text)))
-            return match([(i, k) for i, k in named if k], ordered, gap)
+            return match(find(text, known, begun), ordered, gap)
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [look(t or "") for t in batch.column("text").to_pylist()]

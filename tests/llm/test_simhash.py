@@ -91,3 +91,11 @@ def test_empty_and_repeated_rows(spark):
 def test_fingerprint_text(spark):
     df = spark.createDataFrame([(0,), (255,), (-1,)], "fp bigint").select(S.fingerprint_text().alias("t"))
     assert [r.t for r in df.collect()] == ["0" * 16, "0" * 14 + "ff", "f" * 16]
+
+
+def test_rows_without_an_id_stay(spark):
+    rows = [(None, "a b c d"), (None, "a b c d"), (1, "a b c d"), (2, "a b c d"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("text", "doc_id")
+    kept = S.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (0, "a b c d"), (0, "a b c d"), (1, "a b c d")]

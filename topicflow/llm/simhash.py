@@ -147,8 +147,10 @@ def fingerprint_text(fp: str = "fp") -> Column:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents that are the smallest ``doc_id`` of their component; columns unchanged.
 
-    Rows that repeat a kept ``doc_id`` stay as they came only once.
+    Rows that repeat a kept ``doc_id`` stay as they came only once. Rows of a null ``doc_id`` can't be
+    told to be a copy of any document, and all stay.
     """
     found = simhash_components(docs)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    first = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return first.union(docs.where(F.col("doc_id").isNull()))

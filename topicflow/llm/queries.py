@@ -14,11 +14,14 @@ from topicflow.llm import (
     embeddings,
     extraction,
     fertility,
+    infill,
     licenses,
     mixing,
     ordinal,
+    resampling,
     simhash,
     substring,
+    token_files,
     toxicity,
 )
 
@@ -83,6 +86,20 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(BPE_FILE), encoding="utf-8") as file:
+        return token_files.token_files(_table(spark, sf_dir, "documents"), file.read())
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filled = infill.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return infill.digests(filled)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -95,10 +112,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_extraction": op8_extraction,
         "op9_fertility": op9_fertility,
         "op10_substring": op10_substring,
+        "op11_resampling": op11_resampling,
+        "op12_token_files": op12_token_files,
+        "op13_infill": op13_infill,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for what it can express; the others are tested against brute force."""
-    return {"op3_mixing": mixing.SQL}
+    return {"op3_mixing": mixing.SQL, "op11_resampling": resampling.SQL, "op13_infill": infill.SQL}

@@ -91,8 +91,7 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with open(public_tokenizers.path(BPE_FILE), encoding="utf-8") as file:
-        return token_files.token_files(_table(spark, sf_dir, "documents"), file.read())
+    return token_files.token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
 def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,9 +17,9 @@ import numpy as np
 #: A pair is replaced if it stands so often at least (a rule costs two symbols).
 MIN_PAIRS = 4
 #: A round takes the pairs that are at least as frequent as the most frequent one divided by this.
-SPREAD = 16
+SPREAD = 64
 #: Slots of the table in which pairs are counted.
-SLOT_BITS = 20
+SLOT_BITS = 18
 #: Ids of a rule up to which its expansion is looked up as a whole.
 LONG = 64
 #: Symbols between two entries of the index from ids to symbols.
@@ -36,25 +36,27 @@ def _count(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     fewer keys are left.
     """
     bits = min(SLOT_BITS, max(10, int(len(keys)).bit_length()))
-    slots = ((keys * _MULTIPLIER) >> np.uint64(64 - bits)).astype(np.int32)
+    slots = ((keys * _MULTIPLIER) >> np.uint64(64 - bits)).view(np.int64)
     owner = np.zeros(1 << bits, np.uint64)
     owner[slots] = keys
-    own = owner[slots] == keys
-    return slots, own, owner, np.bincount(slots[own], minlength=1 << bits)
+    own = owner.take(slots) == keys
+    return slots, own, owner, np.bincount(slots if own.all() else slots[own], minlength=1 << bits)
 
 
 def _places(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Which of the pairs at ``at`` (in order) are replaced: of two that overlap the one of lower rank,
     of a run of equal pairs every second one from its begin."""
-    n = len(at)
     touch = np.diff(at) == 1
     same = touch & (rank[1:] == rank[:-1])
-    begins = np.arange(n)
-    begins[1:][same] = 0
-    even = (np.arange(n) - np.maximum.accumulate(begins)) % 2 == 0
-    even[1:] &= ~(touch & (rank[:-1] < rank[1:]))
-    even[:-1] &= ~(touch & (rank[1:] < rank[:-1]))
-    return np.flatnonzero(even)
+    kept = np.ones(len(at), bool)
+    if same.any():
+        number = np.arange(len(at), dtype=np.int32)
+        begins = number.copy()
+        begins[1:][same] = 0
+        kept = (number - np.maximum.accumulate(begins)) & 1 == 0
+    kept[1:] &= ~(touch & (rank[:-1] < rank[1:]))
+    kept[:-1] &= ~(touch & (rank[1:] < rank[:-1]))
+    return np.flatnonzero(kept)
 
 
 @dataclass
@@ -68,26 +70,28 @@ class Grammar:
     @classmethod
     def of(cls, ids: np.ndarray, least: int = MIN_PAIRS) -> Grammar:
         first = int(ids.max(initial=-1)) + 1
-        symbols, rules, made = ids.astype(np.uint64), [np.zeros((0, 2), np.uint64)], 0
+        symbols, rules, made = ids.astype(np.uint32), [np.zeros((0, 2), np.uint64)], 0
         # pairs that may be frequent: a count only falls, but for pairs with a new symbol
         live = np.ones(len(symbols), bool)
         live[-1:] = False
         while len(at := np.flatnonzero(live)):
-            keys = symbols[at] << np.uint64(32) | symbols[at + 1]
+            keys = symbols.take(at).astype(np.uint64)
+            keys <<= np.uint64(32)
+            keys |= symbols.take(at + 1)
             slots, own, owner, counts = _count(keys)
-            frequent = counts >= least
             most = int(counts.max())
             if most < least:
                 if own.all():
                     break
                 live[at[own]] = False
                 continue
-            live[at] = ~own | frequent[slots]
             taken = np.flatnonzero(counts >= max(least, most // SPREAD))
             taken = taken[np.lexsort((owner[taken], -counts[taken]))]
-            rank = np.full(len(counts), -1, np.int32)
+            pairs = np.stack((owner[taken] >> np.uint64(32), owner[taken] & np.uint64(0xFFFFFFFF)), axis=1)
+            rank = np.where(counts >= least, np.int32(-1), np.int32(-2))
             rank[taken] = np.arange(len(taken), dtype=np.int32)
-            rank = rank[slots]
+            rank = rank.take(slots)
+            live[at] = ~own | (rank > -2)
             chosen = np.flatnonzero(own & (rank >= 0))
             at, rank = at[chosen], rank[chosen]
             placed = _places(at, rank)
@@ -97,20 +101,18 @@ class Grammar:
                 # overlaps leave too few of these; what is left of them is counted anew
                 at, rank = at[good[rank]], rank[good[rank]]
                 if not len(at):
-                    live &= False
                     break
-            number = np.cumsum(good) - 1
-            pairs = owner[taken[good]]
-            symbols[at] = (first + made + number[rank]).astype(np.uint64)
+            new = (first + made + np.cumsum(good) - 1).astype(np.uint32)
+            symbols[at] = new[rank]
             live[at] = True
             live[np.maximum(at - 1, 0)] = True
-            left = np.ones(len(symbols), bool)
-            left[at + 1] = False
-            symbols, live = symbols[left], live[left]
+            kept = np.ones(len(symbols), bool)
+            kept[at + 1] = False
+            symbols, live = symbols[kept], live[kept]
             live[-1:] = False
-            rules.append(np.stack((pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)), axis=1))
-            made += len(pairs)
-        return cls(first, np.concatenate(rules).astype(np.int64), symbols.astype(np.int64))
+            rules.append(pairs[good])
+            made += int(good.sum())
+        return cls(first, np.concatenate(rules).astype(np.int64), symbols)
 
     def lengths(self) -> np.ndarray:
         """Ids that each rule expands to."""
@@ -125,6 +127,13 @@ class Grammar:
         return out[self.first :]
 
 
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``flat[start : start + size]`` of each, one behind another."""
+    place = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    place += np.arange(len(place))
+    return flat.take(place)
+
+
 def expand(symbols: np.ndarray, first: int, rules: np.ndarray, only: np.ndarray | None = None) -> np.ndarray:
     """The sequence with symbols replaced by those they stand for until none is left (of ``only``,
     which says for each rule whether it is to be replaced)."""
@@ -151,7 +160,7 @@ class _Table:
         self.first, self.rules, self.long = first, rules, lengths > LONG
         short = np.flatnonzero(~self.long)
         flat = expand(rules[short].reshape(-1), first, rules)
-        self.flat = np.concatenate((np.arange(first), flat))
+        self.flat = np.concatenate((np.arange(first), flat)).astype(np.uint32)
         self.sizes = np.ones(first + len(rules), np.int64)
         self.sizes[first:] = np.where(self.long, 0, lengths)
         self.starts = np.cumsum(self.sizes) - self.sizes
@@ -159,9 +168,7 @@ class _Table:
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         if self.long.any():
             symbols = expand(symbols, self.first, self.rules, self.long)
-        sizes = self.sizes[symbols]
-        shift = np.repeat(self.starts[symbols] - (np.cumsum(sizes) - sizes), sizes)
-        return self.flat[shift + np.arange(len(shift))]
+        return gather(self.flat, self.starts.take(symbols), self.sizes.take(symbols))
 
 
 def pack(values: np.ndarray, bits: int) -> bytes:
@@ -175,12 +182,14 @@ def pack(values: np.ndarray, bits: int) -> bytes:
 
 
 def unpack(data: np.ndarray, bits: int, begin: int, end: int) -> np.ndarray:
-    """Numbers ``begin`` to before ``end`` of ``pack``; ``data`` goes on for 8 bytes after them at least."""
+    """Numbers ``begin`` to before ``end`` of ``pack``; ``data`` goes on for 16 bytes after them at least."""
     at = np.arange(begin, end, dtype=np.int64) * bits
-    byte = at >> 3
-    octets = data[byte[:, None] + np.arange(8)]
-    word = np.ascontiguousarray(octets).view("<u8").reshape(-1)
-    return ((word >> (at & 7).astype(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+    low = begin * bits >> 3
+    part = data[low : low + ((end - begin) * bits >> 3) + 9]
+    # the number that the eight bytes from each byte on are; no copy of the bytes is needed for it
+    words = np.lib.stride_tricks.as_strided(part[:8].view("<u8"), (max(0, len(part) - 7),), (1,))
+    word = words[(at >> 3) - low] >> (at & 7).astype(np.uint64)
+    return (word & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def write_shard(part: int, shard: int, doc_ids: Sequence[int | None], sizes: np.ndarray, ids: np.ndarray) -> bytes:
@@ -200,7 +209,7 @@ def write_shard(part: int, shard: int, doc_ids: Sequence[int | None], sizes: np.
         grammar.rules.astype("<u4").tobytes(),
         lengths.astype("<u4").tobytes(),
         (ends - each)[::SAMPLE].astype("<i8").tobytes(),
-        pack(grammar.symbols, bits) + b"\0" * 8,
+        pack(grammar.symbols, bits) + b"\0" * 16,
     ]
     body = b"".join(a + b"\0" * (-len(a) % 8) for a in arrays)
     size = 8 + 8 * len(_FIELDS) + len(body)

@@ -8,12 +8,13 @@ the same tables. Delivery state is new for each call.
 from __future__ import annotations
 
 import hashlib
-import importlib.util
 import sys
+import threading
 import uuid
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,19 +46,23 @@ from topicflow.plans.jobs import (  # noqa: E402
     topic_to_topic as run_topic_to_topic,
 )
 from topicflow.operators.maintenance import compact_acks  # noqa: E402
-from topicflow.schema import ENVELOPE_SCHEMA, KEY  # noqa: E402
+from topicflow.operators.state import read_acks, read_file_acks  # noqa: E402
+from topicflow.schema import ENVELOPE_SCHEMA, FILE_KEY, KEY  # noqa: E402
 from topicflow.storage import modified_at, shared_scratch  # noqa: E402
 
 #: The instant of every pull below, epoch ms.
 AS_OF = 1_700_000_000_000
 EVENT_FIELDS = "event_id bigint, user_id bigint, event_type string, value double"
+#: Bytes of a pull, and messages of a stream batch, where a query bounds them.
+PULL_BYTES, BATCH_ROWS = 20_000, 1500
 #: Seconds a bounded stream may take before the query fails.
 STREAM_TIMEOUT = 6000
 
-#: Queries that prepare training data; absent where their package is.
-_llm = None
-if importlib.util.find_spec("topicflow.llm") is not None:
-    _llm = importlib.import_module("topicflow.llm.queries")
+#: Queries that prepare training data; absent where their package, or what it needs, is.
+try:
+    from topicflow.llm import queries as _llm
+except ImportError:
+    _llm = None
 
 _roots: dict[str, str] = {}
 
@@ -334,7 +339,7 @@ def topic_to_topic_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         compact_acks(spark, sub)
     left = backlog(spark, sub, AS_OF + 10**9).select(F.col("messages").alias("left"))
     copies = read_topic(spark, Topic(sub.topic.root, target)).groupBy("message_id")
-    return copies.agg(F.count(F.lit(1)).alias("messages")).join(left)
+    return copies.agg(F.count(F.lit(1)).alias("messages")).crossJoin(left)
 
 
 def two_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -407,6 +412,93 @@ def backlog_of_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog(spark, _mixed_state(spark, sf_dir), AS_OF)
 
 
+def ack_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two acks that overlap, merged: the stored ranges by their first and last event, and what waits."""
+    sub = Subscription.of(_events(spark, sf_dir))
+    _ack_type(spark, sf_dir, sub, "click")
+    stored = read_topic(spark, sub.topic, positions=True).select(*KEY, _event_id())
+    ack_keys(stored.where("event_id % 4 = 0").select(*KEY), sub, ack_id="fourth", acked_at=AS_OF)
+    compact_acks(spark, sub)
+    ranges = read_acks(spark, sub).select(*FILE_KEY, "from_row", (F.col("to_row") - 1).alias("last_row"))
+    first = stored.select(*FILE_KEY, F.col("position").alias("from_row"), F.col("event_id").alias("first_event"))
+    last = stored.select(*FILE_KEY, F.col("position").alias("last_row"), F.col("event_id").alias("last_event"))
+    found = ranges.join(first, [*FILE_KEY, "from_row"]).join(last, [*FILE_KEY, "last_row"])
+    waiting = backlog(spark, sub, AS_OF).select(F.col("messages").alias("waiting"))
+    return found.select(
+        "first_event", "last_event", (F.col("last_row") - F.col("from_row") + 1).alias("messages")
+    ).crossJoin(waiting)
+
+
+def batch_pull_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pull bounded by the bytes of its payloads."""
+    options = {**_events(spark, sf_dir), "max_messages": 1_000_000, "max_bytes": PULL_BYTES}
+    return _envelope_view(pull_messages(spark, as_of=AS_OF, **options).messages)
+
+
+def two_pullers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two pulls at once: together the oldest messages, none of them twice."""
+    options = {**_events(spark, sf_dir), "max_messages": 300}
+    pulls: list = []
+
+    def pull() -> None:
+        pulls.append(pull_messages(spark, as_of=AS_OF, **options))
+
+    _at_once(pull, pull)
+    both = pulls[0].messages.unionByName(pulls[1].messages)
+    return both.groupBy("message_id").agg(F.count(F.lit(1)).alias("pulls"))
+
+
+def _at_once(*work: Callable[[], None]) -> None:
+    """Run functions side by side; the first error is raised."""
+    errors: list[BaseException] = []
+
+    def run(each: Callable[[], None]) -> None:
+        try:
+            each()
+        except BaseException as error:  # noqa: BLE001 - raised below
+            errors.append(error)
+
+    threads = [threading.Thread(target=run, args=(w,)) for w in work]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
+
+
+def lease_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of 300 leased messages a third is given back, a third is held longer: what waits now and later."""
+    options = {**_events(spark, sf_dir), "max_messages": 300}
+    sub = Subscription.of(options)
+    pull = pull_messages(spark, as_of=AS_OF, **options)
+    number = F.col("message_id").cast("bigint") % 3
+    pull.modify_lease(10_000, where=number < 2, as_of=AS_OF)
+    pull.modify_lease(0, where=number == 0, as_of=AS_OF)
+    instants = {"now": AS_OF + 1, "later": AS_OF + 300_000, "at last": AS_OF + 10_000_000}
+    waiting = [
+        eligible(spark, sub, at).select(F.lit(name).alias("instant"), "message_id") for name, at in instants.items()
+    ]
+    return waiting[0].union(waiting[1]).union(waiting[2])
+
+
+def pull_waits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pull that was there before the messages."""
+    options = {**_fresh(_root(spark, sf_dir, "events"), f"ev-{uuid.uuid4().hex}"), "max_messages": 100}
+    rows = _event_rows(spark, sf_dir).where("event_type = 'click'")
+    pulls: list = []
+
+    def pull() -> None:
+        pulls.append(pull_messages(spark, as_of=AS_OF, wait_seconds=STREAM_TIMEOUT, **options))
+
+    def publish_later() -> None:
+        threading.Event().wait(1)
+        publish(rows, root=options["root"], topic=options["topic"], publish_id="late", **_EVENT_MESSAGE)
+
+    _at_once(pull, publish_later)
+    return _envelope_view(pulls[0].messages)
+
+
 # --- streams -------------------------------------------------------------------------------
 
 
@@ -439,7 +531,7 @@ def stream_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ack_type(spark, sf_dir, sub, "purchase")
     _drain(spark, options, f"{state}/out", f"{state}/checkpoint")
     left = backlog(spark, sub, AS_OF).select(F.col("messages").alias("left"))
-    return _envelope_view(_drained(spark, f"{state}/out")).drop("event_timestamp", "batch").join(left)
+    return _envelope_view(_drained(spark, f"{state}/out")).drop("event_timestamp", "batch").crossJoin(left)
 
 
 def stream_pull_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -449,7 +541,7 @@ def stream_pull_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     _drain(spark, options, f"{state}/out", f"{state}/checkpoint", max_bytes=1)
     drained = _drained(spark, f"{state}/out")
     batches = drained.agg((F.max("offset") > 1).alias("several_batches"))
-    return drained.select(_event_id()).join(batches)
+    return drained.select(_event_id()).crossJoin(batches)
 
 
 def stream_pull_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -460,6 +552,59 @@ def stream_pull_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(spark, f"{state}/out").select(_event_id())
 
 
+def stream_pull_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of so many messages, cut inside files; the stream fails in the middle and goes on."""
+    options = _events_by_type(spark, sf_dir, "click", "error", others=True)
+    state, fails = options["state_path"], [3]
+
+    def keep(messages: DataFrame, offset: int) -> None:
+        if offset in fails:
+            fails.clear()
+            raise RuntimeError("the handler fails once")
+        messages.write.parquet(f"{state}/out/batch={offset}")
+
+    for _ in range(2):
+        query = process_stream(
+            spark, keep, available_now=True, checkpoint=f"{state}/checkpoint", max_messages=BATCH_ROWS, **options
+        )
+        try:
+            _finish(query, f"{state}/checkpoint")
+        except StreamingQueryException:
+            if fails:
+                raise
+    drained = _drained(spark, f"{state}/out")
+    by_batch = drained.groupBy("offset").agg(F.count(F.lit(1)).alias("n"))
+    batches = by_batch.agg(F.max("offset").alias("batches"), F.max("n").alias("largest"))
+    return drained.select(_event_id()).crossJoin(batches)
+
+
+def stream_fenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second stream starts while the first one handles a batch: every file is acknowledged by the second."""
+    options = _events_by_type(spark, sf_dir, "click", "error", others=True)
+    sub, state = Subscription.of(options), options["state_path"]
+    entered, released = threading.Event(), threading.Event()
+
+    def slow(messages: DataFrame, offset: int) -> None:
+        entered.set()
+        released.wait(STREAM_TIMEOUT)
+
+    early = process_stream(spark, slow, available_now=True, checkpoint=f"{state}/early", **options)
+    entered.wait(STREAM_TIMEOUT)
+    late = process_stream(
+        spark, lambda messages, offset: None, available_now=True, checkpoint=f"{state}/late", **options
+    )
+    _finish(late, f"{state}/late")
+    released.set()
+    refused = False
+    try:
+        _finish(early, f"{state}/early")
+    except StreamingQueryException as error:
+        refused = "FencedError" in str(error)
+    acks = read_file_acks(spark, sub).select(*FILE_KEY, F.col("ack_id").startswith(str(late.id)).alias("by_later"))
+    stored = read_topic(spark, sub.topic, positions=True).select(*FILE_KEY, _event_id())
+    return stored.join(acks, FILE_KEY, "left").select("event_id", "by_later", F.lit(refused).alias("refused"))
+
+
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs from one checkpoint, with new publishes in between: every message once."""
     options = _events_by_type(spark, sf_dir, "click", "error")
@@ -602,7 +747,7 @@ def topic_to_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     left = backlog(spark, sub, AS_OF).select(F.col("messages").alias("left"))
     rows = spark.read.schema(fields).csv(f"{state}/csv").drop("event_timestamp", "batch")
-    return rows.join(left)
+    return rows.crossJoin(left)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -633,11 +778,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ack_then_pull": ack_then_pull,
         "lease": lease_default,
         "lease_short": lease_short,
+        "lease_changed": lease_changed,
+        "ack_ranges": ack_ranges,
+        "batch_pull_bytes": batch_pull_bytes,
+        "two_pullers": two_pullers,
+        "pull_waits": pull_waits,
         "redelivery": redelivery,
         "backlog": backlog_of_subscription,
         "stream_pull": stream_pull,
         "stream_pull_bytes": stream_pull_bytes,
         "stream_pull_count": stream_pull_count,
+        "stream_pull_rows": stream_pull_rows,
+        "stream_fenced": stream_fenced,
         "stream_restart": stream_restart,
         "stream_offsets": stream_offsets,
         "stream_ack": stream_ack,
@@ -749,6 +901,28 @@ def oracle_sql() -> dict[str, str]:
         "ack_then_pull": f"{_ENVELOPE} WHERE event_type <> 'view' {_OLDEST} 10",
         "lease": _lease_sql(240_000),
         "lease_short": _lease_sql(1_000),
+        "lease_changed": """
+    WITH m AS (SELECT event_id, row_number() OVER (ORDER BY ts, CAST(event_id AS VARCHAR)) > 300 AS free FROM events)
+    SELECT instant, CAST(event_id AS VARCHAR) AS message_id
+    FROM m, (VALUES ('now'), ('later'), ('at last')) AS t(instant)
+    WHERE free OR event_id % 3 = 0 OR (instant = 'later' AND event_id % 3 = 2) OR instant = 'at last'""",
+        "ack_ranges": """
+    WITH a AS (SELECT event_id, event_id - row_number() OVER (ORDER BY event_id) AS island
+               FROM events WHERE event_type = 'click' OR event_id % 4 = 0)
+    SELECT min(event_id) AS first_event, max(event_id) AS last_event, count(*) AS messages,
+           (SELECT count(*) FROM events WHERE event_type <> 'click' AND event_id % 4 <> 0) AS waiting
+    FROM a GROUP BY island""",
+        "batch_pull_bytes": f"""
+    SELECT * EXCLUDE (bytes) FROM (
+        SELECT *, sum(strlen(data)) OVER (ORDER BY publish_timestamp, CAST(message_id AS BIGINT)) AS bytes
+        FROM ({_ENVELOPE})) WHERE bytes <= {PULL_BYTES}""",
+        "two_pullers": f"""
+    SELECT message_id, CAST(1 AS BIGINT) AS pulls FROM ({_ENVELOPE} {_OLDEST} 600)""",
+        "pull_waits": f"{_ENVELOPE} WHERE event_type = 'click' {_OLDEST} 100",
+        "stream_pull_rows": f"""
+    SELECT event_id, (n + {BATCH_ROWS - 1}) // {BATCH_ROWS} AS batches, least(n, {BATCH_ROWS}) AS largest
+    FROM events, (SELECT count(*) AS n FROM events)""",
+        "stream_fenced": "SELECT event_id, true AS by_later, true AS refused FROM events",
         "redelivery": f"""
     SELECT CAST(event_id AS VARCHAR) AS message_id FROM events WHERE {_WAITING}""",
         "backlog": f"""

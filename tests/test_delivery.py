@@ -19,7 +19,7 @@ from topicflow.operators import state
 from topicflow.operators.delivery import ack_files, ack_keys, lease
 from topicflow.operators.maintenance import compact_acks, drop_expired_leases, drop_stale_staging
 from topicflow.operators.state import read_acks, read_file_acks, read_leases
-from topicflow.schema import KEY
+from topicflow.schema import FILE_KEY, KEY
 from topicflow.storage import find, list_dirs
 
 NOW = 1_000_000
@@ -60,9 +60,10 @@ def keys(spark, sub, *chosen):
 
 
 def acked(spark, sub):
-    """Numbers of the messages acknowledged one by one."""
+    """Numbers of the messages acknowledged by ranges."""
     stored = read_topic(spark, sub.topic, positions=True).select(*KEY, "message_id")
-    return numbers(stored.join(read_acks(spark, sub).select(*KEY).distinct(), KEY))
+    rows = F.explode(F.sequence("from_row", F.col("to_row") - 1)).alias("position")
+    return numbers(stored.join(read_acks(spark, sub).select(*FILE_KEY, rows).distinct(), KEY))
 
 
 def retired(done):
@@ -110,7 +111,8 @@ def test_same_pull_id_returns_the_same_set(spark, options, sub):
     two = pull_messages(spark, pull_id="job-1", as_of=NOW + 999_999, **options)
     assert numbers(one.messages) == numbers(two.messages)
     two.ack()
-    assert read_acks(spark, sub).count() == 10
+    ranges = read_acks(spark, sub).select("from_row", "to_row").collect()
+    assert [tuple(r) for r in ranges] == [(0, 10)]
 
 
 def test_ack_by_pull_id_and_unknown_pull(spark, options, sub):
@@ -231,7 +233,7 @@ class TestFilesOfAPull:
             lambda s, t, files, **kw: seen.append(len(files)) or original(s, t, files, **kw),
         )
         assert self.pulled(spark, root, 5) == list(range(5))
-        assert seen == [1]
+        assert set(seen) == {1}
 
 
 @pytest.mark.parametrize("n", [5, 25, 55])
@@ -323,7 +325,7 @@ class TestCompaction:
         pull_messages(spark, pull_id="new", as_of=NOW + 5000, lease_seconds=1, **options)
         gone = drop_expired_leases(spark, sub, keep_seconds=1, as_of=NOW + 3000)
         assert gone == [f"lease_until={NOW + 1000}"]
-        assert len(find(spark, f"{sub.leases}/*/pull_id=*")) == 1
+        assert len(find(spark, f"{sub.leases}/*/*/pull_id=*")) == 1
 
     def test_stale_staging(self, spark, root, options, sub):
         topic = Topic(root, "t")

@@ -1,5 +1,6 @@
 import os
 import shutil
+import threading
 import time
 from pathlib import Path
 
@@ -22,6 +23,8 @@ from topicflow import (
 from topicflow.operators.maintenance import compact_acks
 from topicflow.operators.state import read_file_acks
 from topicflow.sources.files import stream_csv
+from topicflow.storage import list_dirs
+from topicflow.streaming import slices
 from topicflow.streaming.control import with_trigger
 
 
@@ -233,11 +236,92 @@ def test_old_csv_files_are_not_dropped(spark, root, tmp_path):
     assert payloads(spark, root) == ["[1,2]", "[3,4]"]
 
 
-def test_messages_bound_a_trigger_by_files(spark, root, options):
+def test_messages_bound_a_trigger(spark, root, options):
     fill(spark, root, 0, 9, parts=3)
     keeper = Keeper()
     drain(spark, root, options, keeper, messageCountPerBatch=1)
-    assert len(keeper.batches) >= 3 and keeper.seen == list(range(9))
+    assert len(keeper.batches) == 9 and keeper.seen == list(range(9))
+
+
+@pytest.mark.parametrize("width", [1, 4, 7, 30, 100])
+def test_no_batch_has_more_messages(spark, root, options, width):
+    """Slices run over the ends of files and inside them."""
+    fill(spark, root, 0, 10, parts=3)
+    fill(spark, root, 10, 33, parts=2)
+    keeper = Keeper()
+    drain(spark, root, options, keeper, max_messages=width)
+    assert keeper.seen == list(range(33)) and sorted(keeper.batches) == list(range(1, -(-33 // width) + 1))
+    assert all(len(b) == width for o, b in keeper.batches.items() if o < len(keeper.batches))
+    fill(spark, root, 33, 40)
+    drain(spark, root, options, keeper, max_messages=width)
+    assert keeper.seen == list(range(40))
+    assert max(keeper.batches) == -(-33 // width) - (-7 // width)
+    assert eligible(spark, Subscription.of(options)).isEmpty()
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_a_restart_goes_on_in_the_middle_of_a_file(spark, root, options, parts):
+    fill(spark, root, 0, 30, parts=parts)
+    keeper, sub = Keeper(fail_at=4), Subscription.of(options)
+    with pytest.raises(Exception, match="handler failed"):
+        drain(spark, root, options, keeper, max_messages=7)
+    assert sorted(keeper.batches) == [1, 2, 3] and keeper.seen == list(range(21))
+    # what is done is hidden from pulls, also after upkeep; what is not is seen by them
+    assert eligible(spark, sub).count() == 9
+    compact_acks(spark, sub)
+    pull = pull_messages(spark, max_messages=2, **options)
+    assert sorted(int(r.message_id) for r in pull.messages.collect()) == [21, 22]
+    pull.ack()
+    # another width does not cut the batch anew
+    keeper.fail_at = None
+    drain(spark, root, options, keeper, max_messages=3)
+    assert keeper.batches[4] == [23, 24, 25, 26, 27] and keeper.batches[5] == [28, 29]
+    assert eligible(spark, sub).isEmpty()
+    fill(spark, root, 30, 36)
+    drain(spark, root, options, keeper, max_messages=3)
+    assert keeper.batches[6] == [30, 31, 32] and keeper.batches[7] == [33, 34, 35]
+
+
+def test_slices_done_but_not_committed_are_not_handled_again(spark, root, options):
+    fill(spark, root, 0, 10)
+    keeper = Keeper()
+    drain(spark, root, options, keeper, max_messages=4)
+    before = dict(keeper.batches)
+    for lost in (f"{root}/cp/commits", Subscription.of(options).file_acks):
+        shutil.rmtree(lost)
+    drain(spark, root, options, keeper, max_messages=4)
+    assert keeper.batches == before == {1: [0, 1, 2, 3], 2: [4, 5, 6, 7], 3: [8, 9]}
+
+
+def test_a_file_is_read_once_for_many_slices(spark, root, options, monkeypatch):
+    fill(spark, root, 0, 40)
+    scans = []
+    original = slices._scan
+    monkeypatch.setattr(slices, "_scan", lambda *a: scans.append(a) or original(*a))
+    monkeypatch.setattr(slices, "AT_ONCE", 8)
+    keeper = Keeper()
+    drain(spark, root, options, keeper, max_messages=2)
+    assert keeper.seen == list(range(40)) and len(keeper.batches) == 20 and len(scans) == 3
+    assert list_dirs(spark, Subscription.of(options).staging) == []
+
+
+def test_the_stream_that_started_last_acknowledges(spark, root, options):
+    fill(spark, root, 0, 10)
+    sub, entered, released, late = Subscription.of(options), threading.Event(), threading.Event(), Keeper()
+
+    def slow(messages, offset):
+        entered.set()
+        released.wait(60)
+
+    early = process_stream(spark, slow, available_now=True, checkpoint=f"{root}/early", **options)
+    assert entered.wait(60)
+    drain(spark, root, options, late)
+    acks = read_file_acks(spark, sub).select("ack_id").collect()
+    released.set()
+    with pytest.raises(Exception, match="FencedError"):
+        await_query(early, 60)
+    assert late.seen == list(range(10)) and read_file_acks(spark, sub).select("ack_id").collect() == acks
+    assert len(list_dirs(spark, sub.epochs)) == 1
 
 
 def test_console(spark, root, options):

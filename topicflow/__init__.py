@@ -2,18 +2,20 @@
 
 from topicflow.functions.envelope import attributes_text, to_envelope
 from topicflow.functions.payload import decode_payload, expand_payload, row_payload, row_text
-from topicflow.operators.delivery import Pull, ack_pull, pull_messages, read_messages
+from topicflow.operators.delivery import Pull, ack_pull, modify_lease, pull_messages, read_messages
 from topicflow.operators.publish import publish, to_messages
 from topicflow.operators.state import backlog, eligible, has_backlog
 from topicflow.options import Subscription, Topic
 from topicflow.schema import ENVELOPE_SCHEMA, TOPIC_SCHEMA
 from topicflow.sources.topic import read_topic
 from topicflow.streaming.control import StaleCheckpointError, await_query
+from topicflow.streaming.fence import FencedError
 from topicflow.streaming.read import process_stream, read_stream_messages
 from topicflow.streaming.write import write_stream_messages
 
 __all__ = [
     "ENVELOPE_SCHEMA",
+    "FencedError",
     "TOPIC_SCHEMA",
     "Pull",
     "StaleCheckpointError",
@@ -27,6 +29,7 @@ __all__ = [
     "eligible",
     "expand_payload",
     "has_backlog",
+    "modify_lease",
     "process_stream",
     "publish",
     "pull_messages",

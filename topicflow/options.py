@@ -169,6 +169,18 @@ class Subscription:
     def leases(self) -> str:
         return f"{self.state_path}/leases"
 
+    @property
+    def deadlines(self) -> str:
+        return f"{self.state_path}/deadlines"
+
+    @property
+    def epochs(self) -> str:
+        return f"{self.state_path}/epochs"
+
+    @property
+    def slices(self) -> str:
+        return f"{self.state_path}/slices"
+
     @property
     def bound(self) -> str:
         return f"{self.state_path}/bound"

@@ -40,13 +40,15 @@ FILE_SCHEMA = T.StructType(
     ]
 )
 
-#: Acknowledged messages: a directory for each acknowledgement (``ack_id``), in it one for each
-#: publish, so that the acks of some publishes are found without opening the others.
+#: Acknowledged messages as ranges of rows of a file, ``from_row`` to before ``to_row``: a directory for
+#: each acknowledgement (``ack_id``), in it one for each publish, so that the acks of some publishes are
+#: found without opening the others.
 ACK_SCHEMA = T.StructType(
     [
         T.StructField("subscription", T.StringType(), True),
         T.StructField("file_name", T.StringType(), True),
-        T.StructField("position", T.LongType(), True),
+        T.StructField("from_row", T.LongType(), True),
+        T.StructField("to_row", T.LongType(), True),
         T.StructField("acked_at", T.LongType(), True),
         T.StructField("ack_id", T.StringType(), True),
         T.StructField("publish_id", T.StringType(), True),
@@ -64,8 +66,9 @@ FILE_ACK_SCHEMA = T.StructType(
     ]
 )
 
-#: Pulled messages hidden until ``lease_until`` (epoch ms). Both partition columns come
-#: last; an expired lease is passed over as a directory, without opening a file.
+#: Pulled messages hidden until ``lease_until`` (epoch ms). Each lease is a numbered claim on the
+#: subscription. The partition columns come last; an expired lease is passed over as a directory, without
+#: opening a file.
 LEASE_SCHEMA = T.StructType(
     [
         T.StructField("subscription", T.StringType(), True),
@@ -73,11 +76,34 @@ LEASE_SCHEMA = T.StructType(
         T.StructField("file_name", T.StringType(), True),
         T.StructField("position", T.LongType(), True),
         T.StructField("message_id", T.StringType(), True),
+        T.StructField("claim", T.LongType(), True),
         T.StructField("lease_until", T.LongType(), True),
         T.StructField("pull_id", T.StringType(), True),
     ]
 )
 
+#: New deadlines of messages of a pull, numbered by ``sequence``; a message has its latest one.
+DEADLINE_SCHEMA = T.StructType(
+    [
+        T.StructField("publish_id", T.StringType(), True),
+        T.StructField("file_name", T.StringType(), True),
+        T.StructField("position", T.LongType(), True),
+        T.StructField("pull_id", T.StringType(), True),
+        T.StructField("sequence", T.LongType(), True),
+        T.StructField("lease_until", T.LongType(), True),
+    ]
+)
+
+#: The files of a stream batch that is cut into slices; ``base`` rows of the batch stand before a file.
+SLICE_SCHEMA = T.StructType(
+    [
+        T.StructField("publish_id", T.StringType(), True),
+        T.StructField("file_name", T.StringType(), True),
+        T.StructField("base", T.LongType(), True),
+        T.StructField("messages", T.LongType(), True),
+    ]
+)
+
 #: Publishes a subscription has finished with.
 RETIRED_SCHEMA = T.StructType([T.StructField("publish_id", T.StringType(), True)])
 
@@ -87,3 +113,6 @@ FILE_KEY = ["publish_id", "file_name"]
 #: A message is identified by where it stands: its file and its row there. Stored files never
 #: change, so that is unique and stable whatever ids the publisher gives, repeated or null ones too.
 KEY = [*FILE_KEY, "position"]
+
+#: Rows of a file, ``from_row`` to before ``to_row``.
+ROWS = [*FILE_KEY, "from_row", "to_row"]

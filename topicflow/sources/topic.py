@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.options import Topic
+from topicflow.options import FILE_TABLE, Topic
 from topicflow.schema import FILE_SCHEMA, TOPIC_SCHEMA
 from topicflow.sources.files import NO_AGE
 from topicflow.storage import exists, find
@@ -49,6 +49,12 @@ def read_files(spark: SparkSession, topic: Topic) -> DataFrame:
     return spark.read.schema(FILE_SCHEMA).parquet(*paths)
 
 
+def read_publish_files(spark: SparkSession, topic: Topic, publish_ids: Sequence[str]) -> DataFrame:
+    """The rows of the file table of some publishes; only theirs are listed."""
+    paths = [f"{topic.publish_path(p)}/{FILE_TABLE}" for p in publish_ids]
+    return spark.read.schema(FILE_SCHEMA).parquet(*paths)
+
+
 def file_rows(staged: DataFrame, publish_id: str) -> DataFrame:
     """Rows of the file table for files of messages that are not visible yet."""
     micros = F.unix_micros("publish_time")

@@ -18,8 +18,15 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
+_path_class: tuple = (None, None)
+
+
 def _path(spark: SparkSession, path: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    global _path_class
+    jvm = spark.sparkContext._jvm
+    if _path_class[0] is not jvm:  # looking a class up costs several calls
+        _path_class = jvm, jvm.org.apache.hadoop.fs.Path
+    return _path_class[1](path)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -33,10 +40,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the directories directly under ``path``; none if it does not exist."""
-    if not exists(spark, path):
+    files, folder = _file_system(spark, path), _path(spark, path)
+    if not files.exists(folder):
         return []
-    found = _file_system(spark, path).listStatus(_path(spark, path))
-    return sorted(s.getPath().getName() for s in found if s.isDirectory())
+    return sorted(s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory())
 
 
 def find(spark: SparkSession, pattern: str) -> list[str]:
@@ -119,13 +126,15 @@ def write_once(
     max_records_per_file: int = 0,
     fmt: str = "parquet",
     beside: tuple[str, Callable[[DataFrame], DataFrame]] | None = None,
+    inside: str = "",
 ) -> bool:
     """Write ``df`` as the directory ``target``, all or nothing.
 
     Executors write to a fresh directory under ``staging``; one rename makes the result
     visible. Returns False, and writes nothing, if ``target`` exists: a replay of work that
     was committed before. A crashed attempt leaves only its own staging directory. ``beside``
-    names a table inside the directory and makes it from what was written.
+    names a table inside the directory and makes it from what was written. ``inside`` is where in the
+    directory the rows go, if not directly.
     """
     spark = df.sparkSession
     if exists(spark, target):
@@ -136,7 +145,7 @@ def write_once(
         df = df.sortWithinPartitions(*sort_by)
     with _timestamps_with_statistics(spark):
         writer = df.write.option("maxRecordsPerFile", max_records_per_file)
-        writer.partitionBy(*partition_by).format(fmt).save(staged)
+        writer.partitionBy(*partition_by).format(fmt).save(f"{staged}/{inside}" if inside else staged)
     if beside:
         name, rows = beside
         rows(spark.read.schema(schema).parquet(staged)).write.parquet(f"{staged}/{name}")
@@ -146,6 +155,16 @@ def write_once(
     return created
 
 
+def create_once(spark: SparkSession, target: str, staging: str) -> bool:
+    """Create an empty directory; False if it exists. Of several at once one succeeds."""
+    staged = f"{staging}/{uuid.uuid4().hex}"
+    make_dirs(spark, staged)
+    created = _rename_if_absent(spark, staged, target)
+    if not created:
+        delete(spark, staged)
+    return created
+
+
 def name_table(spark: SparkSession, rows: Sequence[tuple], *columns: str) -> DataFrame:
     """A few rows of text the driver holds (names of files or messages) as a local table."""
     table = pa.table({c: pa.array([r[i] for r in rows], pa.string()) for i, c in enumerate(columns)})

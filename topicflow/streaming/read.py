@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from topicflow.functions.envelope import to_envelope
 from topicflow.operators.delivery import ack_files
-from topicflow.operators.state import bind, hidden_keys, read_file_acks
+from topicflow.operators.state import Hidden, bind, read_file_acks, slices_done, without
 from topicflow.options import (
     DEFAULT_MAX_FILES,
     SUBSCRIPTION_OPTIONS,
@@ -19,10 +19,12 @@ from topicflow.options import (
     checked,
     positive,
 )
-from topicflow.schema import FILE_KEY, KEY
+from topicflow.schema import FILE_KEY
 from topicflow.sources.topic import read_topic_files, stream_topic
 from topicflow.storage import make_dirs, name_table
+from topicflow.streaming import slices
 from topicflow.streaming.control import with_trigger
+from topicflow.streaming.fence import Fence
 
 #: Options that bound a trigger.
 BOUNDS = ("max_files", "max_bytes", "max_messages")
@@ -33,7 +35,7 @@ def _bounds(known: dict) -> dict[str, int]:
 
     A number of messages bounds the files, each of which holds one at least.
     """
-    given = [k for k in ("max_files", "max_bytes", "max_messages") if known.get(k) is not None]
+    given = [k for k in BOUNDS if known.get(k) is not None]
     if len(given) > 1:
         raise ValueError(f"Give {' or '.join(given)}, not both")
     if given == ["max_bytes"]:
@@ -45,7 +47,7 @@ def read_stream_messages(spark: SparkSession, **options) -> DataFrame:
     """The messages of a subscription as a streaming DataFrame of envelopes.
 
     The cursor is the checkpoint of the query that uses it. ``max_files``, ``max_bytes`` or
-    ``max_messages`` bound a trigger. The schema is fixed: a ``schema`` option is refused.
+    ``max_messages`` bound a trigger, here by whole files. The schema is fixed: a ``schema`` option is refused.
 
     A raw frame has no step after its sink, so it cannot acknowledge, does not leave out what is
     acknowledged, and does not know its batch: ``offset`` is -1. :func:`process_stream` does all three.
@@ -87,12 +89,11 @@ def _undelivered(spark: SparkSession, sub: Subscription, files: list[TopicFile])
     share the subscription.
     """
     paths = [f"{sub.topic.publish_path(publish_id)}/{name}" for publish_id, name in files]
-    hidden = hidden_keys(spark, sub, None, sorted({publish_id for publish_id, _ in files}))
-    if hidden is None:
+    masks = Hidden.of(spark, sub, None).masks(sorted({publish_id for publish_id, _ in files}))
+    if masks is None:
         return read_topic_files(spark, sub.topic, paths)
     messages = read_topic_files(spark, sub.topic, paths, positions=True)
-    columns = [c for c in messages.columns if c not in ("file_name", "position")]
-    return messages.join(hidden, KEY, "left_anti").select(*columns)
+    return without(messages, masks).drop("file_name", "position")
 
 
 def process_stream(
@@ -110,6 +111,13 @@ def process_stream(
     frame Spark hands to ``foreachBatch``. ``offset`` counts batches from 1. Options are those
     of :func:`read_stream_messages`, ``checkpoint``, and ``available_now`` or ``interval``.
 
+    With ``max_messages`` no batch has more messages, also where a file holds more: what a trigger finds is cut
+    into slices, each handled and acknowledged for itself under its own offset (see ``slices``). A restart
+    goes on with the slice that was not acknowledged.
+
+    Of several streams on one subscription the one that was started last goes on: an earlier one is
+    refused when it wants to acknowledge, and stops with a ``FencedError``.
+
     Messages a batch pull of the same subscription has acknowledged are left out. If
     ``handle`` fails the query stops, and a restart replays the same files under the same
     offset; make ``handle`` idempotent in it. A batch that was acknowledged already is not
@@ -121,17 +129,45 @@ def process_stream(
     bind(spark, sub)
     make_dirs(spark, sub.topic.path)
 
+    width = positive("max_messages", known["max_messages"]) if known.get("max_messages") is not None else None
+    bounds = _bounds(known) if width is None else {"max_files": DEFAULT_MAX_FILES}
+    fence = Fence(spark, sub)
+
+    def give(messages: DataFrame, offset: int) -> None:
+        fence.check()
+        handle(messages if stored else to_envelope(messages, sub.name, offset=offset), offset)
+        fence.check()
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         files = _batch_files(batch)
         files = _without_acked(spark, sub, files) if files else []
         if not files:
             return
-        messages, offset = _undelivered(spark, sub, files), batch_id + 1
-        handle(messages if stored else to_envelope(messages, sub.name, offset=offset), offset)
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if width is None:
+            give(_undelivered(spark, sub, files), batch_id + 1)
+        else:
+            _give_slices(spark, sub, query_id, batch_id, files, width, give)
         done = name_table(spark, files, *FILE_KEY)
         ack_files(done, sub, ack_id=f"{query_id}-{batch_id}")
 
-    names = stream_topic(spark, sub.topic, **_bounds(known))
+    names = stream_topic(spark, sub.topic, **bounds)
     names = names.select("publish_id", "_metadata.file_name")
     return with_trigger(names.writeStream.foreachBatch(on_batch), known).start()
+
+
+def _give_slices(
+    spark: SparkSession,
+    sub: Subscription,
+    query_id: str,
+    batch_id: int,
+    files: list[TopicFile],
+    width: int,
+    give: Callable[[DataFrame, int], None],
+) -> None:
+    """Handle and acknowledge the slices of a batch, but those that were acknowledged before."""
+    made = slices.plan(spark, sub, query_id, batch_id, files, width)
+    masks = Hidden.of(spark, sub, None).masks(sorted({publish_id for publish_id, _ in files}))
+    for k, messages in slices.read(spark, sub, made, slices_done(spark, made.path)):
+        give(without(messages, masks).drop("file_name", "position"), made.first + k)
+        slices.finish(spark, made, k)

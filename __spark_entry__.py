@@ -53,6 +53,10 @@ from topicflow.storage import modified_at, shared_scratch  # noqa: E402
 #: The instant of every pull below, epoch ms.
 AS_OF = 1_700_000_000_000
 EVENT_FIELDS = "event_id bigint, user_id bigint, event_type string, value double"
+EVENT_AVRO = """{"type": "record", "name": "event", "fields": [
+    {"name": "event_id", "type": "long"}, {"name": "user_id", "type": ["null", "int", "long"]},
+    {"name": "event_type", "type": {"type": "enum", "name": "kind", "symbols": ["click", "view"]}},
+    {"name": "value", "type": ["null", "double"]}]}"""
 #: Bytes of a pull, and messages of a stream batch, where a query bounds them.
 PULL_BYTES, BATCH_ROWS = 20_000, 1500
 #: Seconds a bounded stream may take before the query fails.
@@ -203,6 +207,19 @@ def payload_text_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", row_text(rows).alias("payload"))
 
 
+def payload_text_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals of both kinds, positive, negative and none, as ISO-8601 text."""
+    rows = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.expr("make_ym_interval(0, (l_linenumber - 4) * cast(l_quantity as int))").alias("period"),
+        F.expr(
+            "make_dt_interval(0, 0, 0, cast((l_partkey % 7 - 3) * l_quantity * l_suppkey * 0.025 as decimal(18, 6)))"
+        ).alias("duration"),
+    )
+    return rows.select("l_orderkey", "l_linenumber", row_text(rows, ["period", "duration"]).alias("payload"))
+
+
 def batch_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = _orders_topic(spark, sf_dir)
     return read_topic(spark, topic).select("message_id", _text().alias("payload"))
@@ -269,6 +286,12 @@ def decode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand_payload(decode_payload(messages, EVENT_FIELDS))
 
 
+def decode_avro_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON payloads under a schema that is declared as Avro text."""
+    messages = read_topic(spark, Subscription.of(_events(spark, sf_dir)).topic)
+    return expand_payload(decode_payload(messages, EVENT_AVRO))
+
+
 def decode_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _root(spark, sf_dir, "orders")
     orders = _table(spark, sf_dir, "orders")
@@ -760,6 +783,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return (_llm.queries() if _llm else {}) | {
         "payload_text": payload_text,
         "payload_text_types": payload_text_types,
+        "payload_text_intervals": payload_text_intervals,
         "batch_publish": batch_publish,
         "batch_publish_numbered": batch_publish_numbered,
         "batch_publish_content_ids": batch_publish_content_ids,
@@ -767,6 +791,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "envelope_schema": envelope_schema,
         "attributes_text": attributes_as_text,
         "decode_json": decode_json,
+        "decode_avro_schema": decode_avro_schema,
         "decode_csv": decode_csv,
         "batch_pull": batch_pull,
         "batch_pull_limit": batch_pull_limit,
@@ -880,6 +905,20 @@ def oracle_sql() -> dict[str, str]:
         (SELECT count(*) AS messages FROM events)""",
         "attributes_text": f"SELECT message_id, attributes FROM ({_ENVELOPE})",
         "decode_json": "SELECT event_id, user_id, event_type, value FROM events",
+        "decode_avro_schema": "SELECT event_id, user_id, event_type, value FROM events",
+        "payload_text_intervals": f"""
+    WITH v AS (SELECT l_orderkey, l_linenumber, (l_linenumber - 4) * CAST(l_quantity AS INT) AS m,
+                      (l_partkey % 7 - 3) * CAST(l_quantity AS BIGINT) * l_suppkey * 25000 AS u FROM lineitem),
+    p AS (SELECT *, abs(u) AS a, CASE WHEN u < 0 THEN '-' ELSE '' END AS s,
+                 'P' || CASE WHEN trunc(m / 12) <> 0 THEN CAST(trunc(m / 12) AS INT) || 'Y' ELSE '' END
+                 || CASE WHEN m % 12 <> 0 THEN m % 12 || 'M' ELSE '' END AS period FROM v),
+    d AS (SELECT *, CASE WHEN a >= 3600000000 THEN s || a // 3600000000 || 'H' ELSE '' END
+                 || CASE WHEN a // 60000000 % 60 <> 0 THEN s || a // 60000000 % 60 || 'M' ELSE '' END
+                 || CASE WHEN a % 60000000 <> 0 THEN s || a // 1000000 % 60
+                      || CASE WHEN a % 1000000 <> 0 THEN '.' || rtrim(lpad(CAST(a % 1000000 AS VARCHAR), 6, '0'), '0')
+                         ELSE '' END || 'S' ELSE '' END AS rest FROM p)
+    SELECT l_orderkey, l_linenumber, '[' || CASE period WHEN 'P' THEN 'P0D' ELSE period END || ',PT'
+           || CASE rest WHEN '' THEN '0S' ELSE rest END || ']' AS payload FROM d""",
         "decode_csv": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
         "batch_pull": f"{_ENVELOPE} {_OLDEST} 10",
         "batch_pull_limit": f"{_ENVELOPE} {_OLDEST} 5000",

@@ -135,3 +135,18 @@ def test_unknown_format(spark):
     df = spark.createDataFrame([(bytearray(b"x"),)], "data binary")
     with pytest.raises(ValueError, match="Unknown payload format"):
         decode_payload(df, "a int", "xml")
+
+
+def test_intervals_are_iso_text(spark):
+    """As a JVM period or duration prints them."""
+    cases = {
+        "interval '14' month": "P1Y2M", "interval '-14' month": "P-1Y-2M", "interval '2' year": "P2Y",
+        "interval '0' month": "P0D", "interval '1 02:03:04.5' day to second": "PT26H3M4.5S",
+        "interval '-1.5' second": "PT-1.5S", "interval '-0.000001' second": "PT-0.000001S",
+        "interval '0' second": "PT0S", "interval '-3661' second": "PT-1H-1M-1S", "interval '90' minute": "PT1H30M",
+        "interval '3' day": "PT72H", "cast(null as interval day to second)": "null",
+    }
+    df = spark.sql("select " + ", ".join(f"{c} as c{i}" for i, c in enumerate(cases)))
+    assert df.select(row_text(df)).first()[0] == "[" + ",".join(cases.values()) + "]"
+    nested = spark.sql("select array(interval '1' month, null) as a")
+    assert nested.select(row_text(nested)).first()[0] == "[WrappedArray(P1M, null)]"

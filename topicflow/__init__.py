@@ -1,5 +1,6 @@
 """Message topics on Spark: publish rows, pull envelopes, decode payloads, keep delivery state."""
 
+from topicflow.functions.avro_schema import from_avro_text, to_avro_text
 from topicflow.functions.envelope import attributes_text, to_envelope
 from topicflow.functions.payload import decode_payload, expand_payload, row_payload, row_text
 from topicflow.operators.delivery import Pull, ack_pull, modify_lease, pull_messages, read_messages
@@ -28,6 +29,7 @@ __all__ = [
     "decode_payload",
     "eligible",
     "expand_payload",
+    "from_avro_text",
     "has_backlog",
     "modify_lease",
     "process_stream",
@@ -38,6 +40,7 @@ __all__ = [
     "read_topic",
     "row_payload",
     "row_text",
+    "to_avro_text",
     "to_envelope",
     "to_messages",
     "write_stream_messages",

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topicflow.functions.avro_schema import from_avro_text, is_avro_text
+
 # How a JVM row prints its parts.
 NULL_TEXT = "null"
 ARRAY_OPEN, ARRAY_CLOSE = "WrappedArray(", ")"
@@ -57,6 +59,32 @@ def _decimal_text(column: Column, scale: int) -> Column:
     return F.when(exponent >= -6, plain).otherwise(scientific)
 
 
+def _period_text(column: Column) -> Column:
+    """ISO-8601 of years and months, ``P1Y2M``; none of them is ``P0D``."""
+    years, months = F.extract(F.lit("YEAR"), column), F.extract(F.lit("MONTH"), column)
+    part = lambda n, unit: F.when(n != 0, F.concat(n.cast("string"), F.lit(unit))).otherwise("")
+    text = F.concat(F.lit("P"), part(years, "Y"), part(months, "M"))
+    return F.when(text == "P", "P0D").otherwise(text)
+
+
+def _duration_text(column: Column) -> Column:
+    """ISO-8601 of hours, minutes and seconds, ``PT26H1.5S``: days are hours, every part has the sign of
+    the whole, and a fraction ends with its last digit."""
+    micros = F.unix_micros(F.timestamp_micros(F.lit(0)) + column)
+    sign = F.when(micros < 0, "-").otherwise("")
+    size = F.abs(micros)
+    hours, minutes = F.floor(size / 3_600_000_000), F.floor(size / 60_000_000) % 60
+    seconds, fraction = F.floor(size / 1_000_000) % 60, size % 1_000_000
+    part = lambda n, unit: F.when(n != 0, F.concat(sign, n.cast("string"), F.lit(unit))).otherwise("")
+    digits = F.regexp_replace(F.lpad(fraction.cast("string"), 6, "0"), "0+$", "")
+    point = F.when(fraction != 0, F.concat(F.lit("."), digits)).otherwise("")
+    last = F.when(
+        (seconds != 0) | (fraction != 0), F.concat(sign, seconds.cast("string"), point, F.lit("S"))
+    ).otherwise("")
+    text = F.concat(F.lit("PT"), part(hours, "H"), part(minutes, "M"), last)
+    return F.when(text == "PT", "PT0S").otherwise(text)
+
+
 def value_text(column: Column, data_type: T.DataType) -> Column:
     """The text of one value; NULL is ``null``."""
     if isinstance(data_type, T.StructType):
@@ -81,6 +109,10 @@ def value_text(column: Column, data_type: T.DataType) -> Column:
         text = _local_timestamp_text(column)
     elif isinstance(data_type, T.DecimalType):
         text = _decimal_text(column, data_type.scale)
+    elif isinstance(data_type, T.YearMonthIntervalType):
+        text = _period_text(column)
+    elif isinstance(data_type, T.DayTimeIntervalType):
+        text = _duration_text(column)
     else:
         text = column.cast("string")
     return F.coalesce(text, F.lit(NULL_TEXT))
@@ -111,12 +143,14 @@ def decode_payload(
 ) -> DataFrame:
     """Replace ``column`` by the struct its bytes hold.
 
-    ``schema`` is a ``StructType`` or DDL text for ``json`` and ``csv``, and the Avro schema
-    as JSON text for ``avro`` (needs the Avro module of Spark on the class path).
+    ``schema`` is a ``StructType``, DDL text or a record declared as Avro JSON text; ``avro`` takes the
+    last one (and needs the Avro module of Spark on the class path).
     Malformed JSON or CSV gives a struct of NULLs.
     """
     source = quoted(column)
     options = options or {}
+    if fmt in ("json", "csv") and is_avro_text(schema):
+        schema = from_avro_text(schema)
     if fmt == "json":
         decoded = F.from_json(source.cast("string"), schema, options)
     elif fmt == "csv":

@@ -61,6 +61,7 @@ def _decimal_text(column: Column, scale: int) -> Column:
 
 def _period_text(column: Column) -> Column:
     """ISO-8601 of years and months, ``P1Y2M``; none of them is ``P0D``."""
+    column = column.cast(T.YearMonthIntervalType(0, 1))
     years, months = F.extract(F.lit("YEAR"), column), F.extract(F.lit("MONTH"), column)
     part = lambda n, unit: F.when(n != 0, F.concat(n.cast("string"), F.lit(unit))).otherwise("")
     text = F.concat(F.lit("P"), part(years, "Y"), part(months, "M"))

@@ -65,7 +65,7 @@ def _period_text(column: Column) -> Column:
     years, months = F.extract(F.lit("YEAR"), column), F.extract(F.lit("MONTH"), column)
     part = lambda n, unit: F.when(n != 0, F.concat(n.cast("string"), F.lit(unit))).otherwise("")
     text = F.concat(F.lit("P"), part(years, "Y"), part(months, "M"))
-    return F.when(text == "P", "P0D").otherwise(text)
+    return F.when(column.isNotNull(), F.when(text == "P", "P0D").otherwise(text))
 
 
 def _duration_text(column: Column) -> Column:
@@ -83,7 +83,7 @@ def _duration_text(column: Column) -> Column:
         (seconds != 0) | (fraction != 0), F.concat(sign, seconds.cast("string"), point, F.lit("S"))
     ).otherwise("")
     text = F.concat(F.lit("PT"), part(hours, "H"), part(minutes, "M"), last)
-    return F.when(text == "PT", "PT0S").otherwise(text)
+    return F.when(column.isNotNull(), F.when(text == "PT", "PT0S").otherwise(text))
 
 
 def value_text(column: Column, data_type: T.DataType) -> Column:

@@ -18,12 +18,12 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables a
 def test_every_query_is_registered():
     assert set(Q.queries()) <= set(contract.queries())
     assert sorted(Q.queries()) == sorted([q for q in contract.queries() if q.startswith("op")] + ["pipeline"])
-    assert {q.split("_")[0] for q in Q.queries()} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {q.split("_")[0] for q in Q.queries()} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
 
 
 def test_sql(spark):
     db = duckdb.connect()
-    for table in ("documents", "labels"):
+    for table in ("documents", "labels", "benchmark"):
         db.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     for name, sql in Q.oracle_sql().items():
         got, expected = Q.queries()[name](spark, SF_DIR), db.execute(sql)
@@ -78,6 +78,6 @@ def test_stages(spark):
 
 
 def test_run_on_an_empty_table(spark, tmp_path):
-    for table in ("documents", "labels"):
+    for table in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF_DIR}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
     assert P.run(spark, str(tmp_path)).count() == 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass, field
 
 #: Elements that stand inside a block of text (fixed values, as the next four).
@@ -24,9 +25,8 @@ ENDS = {
 _KEEPS_P = INLINE | VOID | {"li", "dt", "dd", "td", "th", "tr", "option", "body", "html"}
 _HOLDERS = frozenset("ul ol dl table tbody thead tfoot select".split())
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.DOTALL
-)
+_HEAD = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*))")
+_UNQUOTED = re.compile(r"[^>\"']*")
 _HINTS = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -45,10 +45,61 @@ class Node:
     controls: int = 0
 
 
+class _Ends:
+    """Ends of tags, asked from left to right. What is missing once is not searched again, so that all
+    searches of a page together read it a few times at most."""
+
+    def __init__(self, page: str):
+        self.page, self.quoting, self.missing = page, True, set()
+
+    def _find(self, what: str, at: int) -> int:
+        if what in self.missing:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def of_tag(self, start: int) -> int:
+        """Where the tag whose attributes begin at ``start`` ends (its ``>``), the page's end if nowhere.
+
+        A quote that is not closed is a plain character. If all ``>`` to the page's end stand in quotes, quotes
+        mean nothing from here on.
+        """
+        at = start
+        while self.quoting:
+            at = _UNQUOTED.match(self.page, at).end()
+            if at == len(self.page):
+                self.quoting = False
+            elif self.page[at] == ">":
+                return at
+            else:
+                at = max(at, self._find(self.page[at], at + 1)) + 1
+        return self.plain(start)
+
+    def plain(self, start: int, what: str = ">") -> int:
+        found = self._find(what, start)
+        return len(self.page) if found < 0 else found
+
+    def of_content(self, name: str, start: int) -> int:
+        """Where the end tag of an element begins whose content is no markup; -1 if nowhere."""
+        if name in self.missing:
+            return -1
+        found = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(self.page, start)
+        if found is None:
+            self.missing.add(name)
+        return found.start() if found else -1
+
+
 def parse(page: str) -> list[Node]:
-    """Nodes in page order, the root first. Runs of text are leaves; nothing fails on bad markup."""
+    """Nodes in page order, the root first. Runs of text are leaves; nothing fails on bad markup.
+
+    Time is in proportion to the page whatever is unclosed or nested: ends of tags are searched by ``_Ends``, and
+    open elements are found by name. A tag that the page's end cuts off is markup.
+    """
     nodes = [Node("#root", (), -1, 0)]
     stack, names = [0], ["#root"]
+    opened: dict[str, list[int]] = {}  # depths of the open elements of a name
     run: list[str] = []
     linked, in_link = 0, False
 
@@ -71,35 +122,47 @@ def parse(page: str) -> list[Node]:
 
     def close(depth: int) -> None:
         flush()
+        for name in names[depth:]:
+            opened[name].pop()
         del stack[depth:], names[depth:]
 
-    at, end = 0, len(page)
+    def deepest(some) -> int:
+        return max((opened[n][-1] for n in some if opened.get(n)), default=0)
+
+    ends, at, end = _Ends(page), 0, len(page)
     while at < end:
-        tag = _TAG.search(page, at)
-        if tag is None:
-            say(page[at:])
+        start = ends.plain(at, "<")
+        if start > at:
+            say(page[at:start])
+        if start == end:
             break
-        if tag.start() > at:
-            say(page[at : tag.start()])
-        at = tag.end()
-        name = tag[2]
-        if name is None:
+        tag = _HEAD.match(page, start)
+        if tag is None:
+            say("<")
+            at = start + 1
+            continue
+        if tag[1] or tag[2]:
+            at = ends.plain(start + 2, "-->") + 3 if tag[1] else ends.plain(start) + 1
             continue
-        name = name.lower()
-        if tag[1]:
+        name, at = tag[4].lower(), ends.of_tag(tag.end()) + 1
+        attributes = page[tag.end() : at - 1]
+        if tag[3]:
             if name == "a":
                 in_link = False
-            elif name not in INLINE and name in names:
-                depth = len(names) - 1 - names[::-1].index(name)
-                close(depth)
+            elif name not in INLINE and opened.get(name):
+                close(opened[name][-1])
             elif name not in INLINE:
                 flush()
             continue
         if name in RAW or name in SILENT:
-            ended = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            inner, at = (page[at : ended.start()], ended.end()) if ended else (page[at:], end)
             if name == "textarea" or name == "select":
                 nodes[stack[-1]].controls += 1
+            if name in RAW or not attributes.endswith("/"):
+                ended = ends.of_content(name, at)
+                if ended >= 0:
+                    at = ends.plain(ended) + 1
+                elif name in RAW:
+                    break
             continue
         if name in INLINE:
             if name == "br":
@@ -117,21 +180,19 @@ def parse(page: str) -> list[Node]:
         in_link = False
         if name == "button":
             nodes[stack[-1]].controls += 1
-        ends = ENDS.get(name, ())
-        for depth in range(len(names) - 1, 0, -1):
-            if names[depth] in ends:
-                close(depth)
-            elif names[depth] in _HOLDERS or name not in ends:
-                break
-        if name not in _KEEPS_P and "p" in names:
-            depth = len(names) - 1 - names[::-1].index("p")
-            if not set(names[depth:]) & {"td", "th", "li", "div"}:
-                close(depth)
-        hints = [x for m in _HINTS.finditer(tag[3]) for x in m.groups() if x] if tag[3] else []
+        if name in ENDS:
+            holder = deepest(_HOLDERS)
+            inside = [opened[n][bisect_right(opened[n], holder)] for n in ENDS[name] if deepest((n,)) > holder]
+            if inside:
+                close(min(inside))
+        if name not in _KEEPS_P and deepest(("p",)) > deepest(("td", "th", "li", "div")):
+            close(opened["p"][-1])
+        hints = [x for m in _HINTS.finditer(attributes) for x in m.groups() if x] if attributes else []
         tokens = tuple(dict.fromkeys(t.lower() for h in hints for t in _TOKEN.findall(h)))
         parent = stack[-1]
         nodes.append(Node(name, tokens, parent, nodes[parent].depth + 1))
         nodes[parent].children.append(len(nodes) - 1)
+        opened.setdefault(name, []).append(len(names))
         stack.append(len(nodes) - 1)
         names.append(name)
     flush()

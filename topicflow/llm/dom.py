@@ -8,11 +8,12 @@ import re
 from bisect import bisect_right
 from dataclasses import dataclass, field
 
-#: Elements that stand inside a block of text (fixed values, as the next four).
+#: Elements that stand inside a block of text (fixed values, as the next five).
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
+LANDMARKS = frozenset("article main".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
 SILENT = frozenset("script style template noscript iframe svg math object canvas audio video select datalist".split())
@@ -204,7 +205,7 @@ _STOPS = re.compile(r"[.,;:!?。、，]")
 FEATURES = (
     "tag tokens_low tokens_high above_low above_high parent_tag depth leaf chars linked density stops words_a_leaf "
     "leaves siblings place same_tag share_of_siblings before after parent_linked parent_chars position share_of_page "
-    "controls controls_above marks"
+    "controls controls_above marks landmark"
 ).split()
 
 
@@ -225,7 +226,8 @@ def features(nodes: list[Node], tag_odds: dict[str, float], token_odds: dict[str
             for total in (chars, linked, stops, words, leaves, size, controls):
                 total[p] += total[i]
     whole = max(1.0, chars[0])
-    low, high, form = [0.0] * n, [0.0] * n, [0.0] * n
+    low, high, form, inside = [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n
+    outside = -float(any(x.tag in LANDMARKS for x in nodes))  # of a page that has one
     out, passed = [], 0.0
     for i, x in enumerate(nodes):
         own = [token_odds[t] for t in x.tokens if t in token_odds]
@@ -235,6 +237,7 @@ def features(nodes: list[Node], tag_odds: dict[str, float], token_odds: dict[str
         above_low, above_high = (low[p], high[p]) if x.parent >= 0 else (0.0, 0.0)
         low[i], high[i] = min(above_low, own_low, tag), max(above_high, own_high, tag)
         form[i] = max(form[p] if x.parent >= 0 else 0.0, float(x.tag == "form"), float(x.controls > 0))
+        inside[i] = 1.0 if x.tag in LANDMARKS or (x.parent >= 0 and inside[p] > 0) else outside
         family = nodes[p].children if x.parent >= 0 else [i]
         out.append(
             [
@@ -243,7 +246,7 @@ def features(nodes: list[Node], tag_odds: dict[str, float], token_odds: dict[str
                 stops[i] / max(1.0, words[i]), words[i] / max(1.0, leaves[i]), leaves[i], float(len(family)), 0.0, 0.0,
                 chars[i] / max(1.0, chars[p]), 0.0, 0.0, linked[p] / max(1.0, chars[p]), math.log1p(chars[p]),
                 passed / whole, chars[i] / whole, controls[i], form[i],
-                float(any(c in x.text for c in "©|»›·•")) if x.text else 0.0,
+                float(any(c in x.text for c in "©|»›·•")) if x.text else 0.0, inside[i],
             ]
         )
         passed += len(x.text)

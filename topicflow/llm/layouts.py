@@ -19,9 +19,11 @@ PARTS = {
 }
 ELEMENTS = {
     "nav": ("nav", "div", "ul"), "header": ("header", "div"), "footer": ("footer", "div"), "aside": ("aside", "div", "section"),
-    "ad": ("div", "aside", "ins"), "notice": ("div", "section", "p"), "form": ("form", "div"), "share": ("div", "ul"),
+    "ad": ("div", "aside"), "notice": ("div", "section", "p"), "form": ("form", "div"), "share": ("div", "ul"),
     "comments": ("section", "div", "ol"),
 }
+#: Attribute tokens of blocks of an article (fixed values).
+BLOCKS = "lead intro first dropcap byline date subtitle title note caption".split()
 _SOUNDS = "an er in on th re ti en ea ou le de st qu ra mi ko sa el ung chen ción ment".split()
 
 
@@ -71,7 +73,10 @@ class Maker:
             body = items(r.randint(3, 10), r.randint(1, 2), 1.0)
             body = body[4:-5] if element == "ul" else body
         elif kind == "header":
-            body = say(r.choice(["h1", "div", "p", "h2"]), r.randint(1, 6), False, 0.4) + (self.part("nav") if r.random() < 0.5 else "")
+            body = say("", r.randint(1, 4), False, 0.9) if r.random() < 0.5 else ""
+            body += say(r.choice(["h1", "div", "p", "h2"]), r.randint(1, 6), False, 0.4)
+            body += say(r.choice(["p", "p", "div", "h2"]), r.randint(2, 12), False) if r.random() < 0.5 else ""
+            body += self.part("nav") if r.random() < 0.5 else ""
         elif kind == "footer":
             body = say(r.choice(["p", "", "div"]), r.choice([3, 8, 25, 60]), False)
             body = ("&copy; " if r.random() < 0.7 else "") + body + (items(r.randint(2, 6), 2, 1.0) if r.random() < 0.4 else "")
@@ -93,34 +98,72 @@ class Maker:
             body = say("h3", 2, False) + "".join(each() for _ in range(r.randint(1, 6)))
         return f"{open_}{body}</{element}>"
 
-    def article(self) -> str:
+    def code(self) -> str:
+        """A block of code; its lines are one block of text."""
+        r = self.r
+        line = lambda: " ".join(self.words(1).strip(".,;!").lower() + r.choice(["", "()", " =", "_x", ";", ":", "(a, b)"]) for _ in range(r.randint(1, 8)))
+        text = "\n".join(line() for _ in range(r.choice([1, 1, 3, 8])))
+        self.blocks.append(text)
+        return f"<pre><code>{text}</code></pre>" if r.random() < 0.5 else f"<pre>{text}</pre>"
+
+    def block(self) -> str:
+        """A block of an article, or several that belong together."""
+        r, say = self.r, self.say
+        kind = r.random()
+        if kind < 0.6:
+            text = say("p", self.size(), True, 0.02)
+            return f'<p class="{r.choice(BLOCKS)}"{text[2:]}' if r.random() < 0.06 else text
+        if kind < 0.7:
+            return say(r.choice(["h2", "h2", "h3", "h3", "h4", "h5", "h6"]), r.randint(1, 7), True)
+        if kind < 0.76:
+            items = "".join(say("li", r.choice([1, 2, 8, 20]), True, 0.1) for _ in range(r.randint(1, 6)))
+            return f"<ol>{items}</ol>" if r.random() < 0.3 else f"<ul>{items}</ul>"
+        if kind < 0.8:
+            return f"<blockquote>{say(r.choice(['p', '']), self.size(), True)}</blockquote>"
+        if kind < 0.84:
+            cell = lambda: say(r.choice(["td", "td", "td", "th"]), r.choice([1, 2, 9]), True)
+            both = lambda: f"<td>{say('', 2, True)}{say('p', 9, True)}</td>"
+            row = lambda: "<tr>" + "".join(cell() if r.random() < 0.9 else both() for _ in range(r.randint(1, 3))) + "</tr>"
+            return "<table>" + "".join(row() for _ in range(r.randint(1, 4))) + "</table>"
+        if kind < 0.88:
+            return self.code()
+        if kind < 0.92:
+            return f'<figure><img src="a.png" alt="a">{say("figcaption", r.choice([2, 5, 12, 25]), True)}</figure>'
+        if kind < 0.94:
+            return "<dl>" + "".join(say("dt", 1, True) + say("dd", self.size(), True) for _ in range(r.randint(1, 3))) + "</dl>"
+        if kind < 0.98:  # text beside blocks
+            return say("", self.size(), True) + say("p", self.size(), True) + (say("", self.size(), True) + "<hr>" if r.random() < 0.5 else "")
+        return f"<section>{say('h2', 3, True)}{say('p', self.size(), True)}{say('p', self.size(), True)}</section>"
+
+    def article(self, between: float = 0.06, headed: float = 0.15) -> str:
+        """Blocks, with parts that are no text of it between them."""
         r, say = self.r, self.say
         out = []
         if r.random() < 0.8:
-            title = say(r.choice(["h1", "h1", "h2"]), r.randint(1, 14), True)
-            out.append(f"<header>{title}</header>" if r.random() < 0.15 else title)
+            title = say(r.choice(["h1", "h1", "h1", "h2"]), r.randint(1, 14), True)
+            out.append(f"<header>{title}</header>" if r.random() < headed else title)
         for _ in range(r.choice([0, 1, 1, 1, 2, 4, 7, 12, 20]) or (0 if out else 1)):
-            kind = r.random()
-            if kind < 0.8:
-                out.append(say("p", self.size(), True, 0.02))
-            elif kind < 0.86:
-                out.append(say(r.choice(["h2", "h3"]), r.randint(1, 7), True))
-            elif kind < 0.91:
-                out.append("<ul>" + "".join(say("li", r.choice([2, 8, 20]), True, 0.1) for _ in range(r.randint(1, 6))) + "</ul>")
-            elif kind < 0.94:
-                out.append(f"<blockquote>{say('p', self.size(), True)}</blockquote>")
-            elif kind < 0.96:
-                row = lambda: "<tr>" + "".join(say("td", 2, True) for _ in range(3)) + "</tr>"
-                out.append("<table>" + "".join(row() for _ in range(r.randint(1, 4))) + "</table>")
-            else:
+            out.append(self.block())
+            if r.random() < between:
                 out.append(self.part(r.choice(["ad", "share", "aside", "notice", "form"])))
-        if r.random() < 0.15:
+        if r.random() < 2 * between:
             out.append(self.part("comments"))
         return "".join(out)
 
-    def page(self) -> str:
+    def bare(self) -> str:
+        """An article right in the body, with little around it."""
+        r = self.r
+        if r.random() < 0.15:
+            return self.say(r.choice(["", "p"]), self.size(), True)
+        top = [self.part(k) for k in r.choices(["nav", "header", "nav"], k=r.choice([0, 0, 1]))]
+        body = self.article(0.01, 0.0)
+        end = [self.part(k) for k in r.choices(["footer", "footer", "comments"], k=r.choice([0, 0, 1]))]
+        return "".join([*top, body, *end])
+
+    def inner(self) -> str:
+        """The body of a page whose article stands in elements of its own."""
         r = self.r
-        top = [self.part(k) for k in r.choices(["nav", "header", "ad", "notice", "form", "share"], k=r.randint(0, 4))]
+        top = [self.part(k) for k in r.choices(["nav", "header", "header", "ad", "notice", "form", "share"], k=r.randint(0, 4))]
         body = self.article()
         for _ in range(r.choice([1, 1, 1, 2])):
             kind = r.random()
@@ -132,7 +175,11 @@ class Maker:
                 body += self.part(r.choice(["comments", "share", "aside", "ad"]))
             body = f"<{element}{name}>{body}</{element}>"
         end = [self.part(k) for k in r.choices(["comments", "aside", "footer", "form", "ad", "notice"], k=r.randint(0, 4))]
-        inner = "".join([*top, body, *end])
+        return "".join([*top, body, *end])
+
+    def page(self) -> str:
+        r = self.r
+        inner = self.bare() if r.random() < 0.2 else self.inner()
         if r.random() < 0.3:
             inner = f'<div class="{r.choice(["page", "wrapper", "container", "site", "layout"])}">{inner}</div>'
         head = f"<head><title>{self.words(4)}</title><script>var t='</p>'</script></head>" if r.random() < 0.8 else ""

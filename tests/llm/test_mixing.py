@@ -55,8 +55,8 @@ def test_sql_gives_the_same_rows(spark, tmp_path):
     df.write.parquet(str(tmp_path / "d"))
     db = duckdb.connect()
     db.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
-    got = M.mix(df, copy="copy").select("doc_id", "source", "copy").collect()
-    key = lambda r: (r[0], r[2])
+    got = M.mix(df, copy="copy").collect()
+    key = lambda r: (r[0], r[-1])
     assert sorted(map(tuple, got), key=key) == sorted(db.execute(M.SQL).fetchall(), key=key)
 
 
@@ -66,3 +66,28 @@ def test_empty_zero_weights_and_repeated_rows(spark):
     assert M.mix(df, weights={"big": 0.0}).where("source = 'big'").count() == 0
     twice = M.mix(df.where("source = 'big'").union(df.where("source = 'big'")), weights={"big": 1.0}, copy="copy")
     assert all(r["count"] == 2 for r in twice.groupBy("doc_id", "copy").count().collect())
+
+
+def test_the_order_is_the_same_however_rows_and_tasks_are_dealt(spark):
+    df, weights = frame(spark, 700), {"small": 2.0}
+    order = [(r.doc_id, r.copy) for r in M.mix(df, weights=weights, copy="copy").collect()]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        again = [(r.doc_id, r.copy) for r in M.mix(df.repartition(5), weights=weights, copy="copy").collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert order == again and len(order) > 500
+
+
+def test_clashing_names_and_nulls(spark):
+    rows = [(None, None, None, 7)] * 3 + [(i, None, "a", 8) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, Copy int")
+    wide = df.withColumns({n: M.F.lit("x") for n in ("row", "part", "nth", "key", "cdf", "parts", "u", "times")})
+    mixed = M.mix(wide, copy="copy")
+    assert mixed.columns == ["doc_id", "text", "source", *wide.columns[4:], "copy"]
+    found = mixed.collect()
+    assert all(r.copy >= 1 and r.key == "x" for r in found)
+    nulls = [r.copy for r in found if r.doc_id is None]
+    assert all(nulls.count(c) == 3 for c in nulls)  # rows without an id draw alike
+    assert M.mix(df).columns == df.columns

@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicflow.llm.common import stored
+from topicflow.llm.common import parallelism, stored
 
 SEED = "mix-1"
 #: Weights of sources that ``weights`` does not name: rows to this power.
@@ -73,15 +73,19 @@ def mix(
 ) -> DataFrame:
     """``docs`` with each row repeated by its draw, in a global order that is random and repeatable.
 
-    ``copy`` names a column for the number of the repetition, from 1. Rows of a null source are a
+    ``copy`` names a column for the number of the repetition, from 1; one of that name in ``docs`` is replaced.
+    Rows of a null source are a
     source of their own; rows of one ``doc_id`` get the same draw; the text plays no part, so null,
     empty and long texts are rows like others. An empty table gives no rows. Other columns, of
     whatever names, pass through.
+
+    The order is that of a hashed key, whose first bits also name the partition: keys are even by
+    nature, so no sample is drawn first and what is repeated is made once.
     """
     found = stored(rates(docs, by, weights, rows))
     if found.count() <= BROADCAST_SOURCES:
         found = F.broadcast(found)
-    kept = docs.columns
+    kept = [c for c in docs.columns if copy is None or c.lower() != copy.lower()]
     wide = docs.select(F.struct(*[docs[c] for c in kept]).alias("row"))
     drawn = wide.join(found, F.col("row")[by].eqNullSafe(F.col("source"))).select("row", "parts", "cdf")
     part = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("parts").cast("bigint"))).alias("part")
@@ -93,12 +97,15 @@ def mix(
         "row", "part", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("nth")
     )
     key = F.md5(F.concat_ws("|", F.lit(seed), F.col("row.doc_id").cast("string"), "part", "nth"))
-    ordered = copies.withColumn("key", key).orderBy("key")
+    n = parallelism(docs.sparkSession)
+    place = F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint") * n
+    dealt = copies.withColumn("key", key).repartitionById(n, F.shiftright(place, 32).cast("int"))
+    ordered = dealt.sortWithinPartitions("key")
     number = [((F.col("part") - 1) * (TERMS + 2) + F.col("nth")).alias(copy)] if copy else []
     return ordered.select(*[F.col("row")[c].alias(c) for c in kept], *number)
 
 
-#: The rows of ``mix(documents, copy="copy")`` by a SQL engine: 52 bits of the same digest, the
+#: The whole rows of ``mix(documents, copy="copy")`` by a SQL engine: 52 bits of the same digest, the
 #: distribution by its logarithms.
 SQL = f"""
     WITH c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
@@ -109,12 +116,11 @@ SQL = f"""
                  sum(exp(-mean / parts + k * ln(mean / parts) - lgamma(k + 1)))
                    OVER (PARTITION BY source ORDER BY k) AS cdf
           FROM s, generate_series(0, {TERMS}) AS g(k)),
-    d AS (SELECT doc_id, d.source, unnest(generate_series(1, parts)) AS part
+    d AS (SELECT d.*, unnest(generate_series(1, parts)) AS part
           FROM documents d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
-    u AS (SELECT doc_id, source, part,
-                 (CAST('0x' || substr(md5('{SEED}|' || doc_id || '|' || part), 1, 13) AS BIGINT)
-                   + 0.5::DOUBLE) / {1 << 52}::DOUBLE AS u FROM d),
-    t AS (SELECT u.doc_id, u.source, u.part, count(*) AS times
+    u AS (SELECT *, (CAST('0x' || substr(md5('{SEED}|' || doc_id || '|' || part), 1, 13) AS BIGINT)
+                      + 0.5::DOUBLE) / {1 << 52}::DOUBLE AS u FROM d),
+    t AS (SELECT u.* EXCLUDE (u), count(*) AS times
           FROM u JOIN p ON u.source IS NOT DISTINCT FROM p.source AND p.cdf < u.u GROUP BY ALL)
-    SELECT doc_id, source, (part - 1) * {TERMS + 2} + nth AS copy
-    FROM (SELECT doc_id, source, part, unnest(generate_series(1, times)) AS nth FROM t)"""
+    SELECT * EXCLUDE (part, nth), (part - 1) * {TERMS + 2} + nth AS copy
+    FROM (SELECT * EXCLUDE (times), unnest(generate_series(1, times)) AS nth FROM t)"""

@@ -44,8 +44,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(_table(spark, sf_dir, "documents"), copy="copy")
-    return mixed.select("doc_id", "source", "copy")
+    return mixing.mix(_table(spark, sf_dir, "documents"), copy="copy")
 
 
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,7 +69,7 @@ PAGES = [
 ]
 
 
-#: More of them, written once the generated pages were settled and never used to change these.
+#: More of them, written while the generated pages were widened; none led to a change of these.
 T = "The committee published its findings on Friday after eleven months of hearings."
 U = "Farmers in the north say the new rules leave them little choice but to sell."
 V = "She laughed. Then she put the kettle on and told the whole story from the start."

@@ -305,6 +305,65 @@ def test_a_file_is_read_once_for_many_slices(spark, root, options, monkeypatch):
     assert list_dirs(spark, Subscription.of(options).staging) == []
 
 
+class Counter:
+    """What each call delivered, by its first batch: the messages of every batch."""
+
+    def __init__(self, fail_at=None):
+        self.calls, self.fail_at = {}, fail_at
+
+    def __call__(self, messages, offset):
+        if offset == self.fail_at:
+            raise RuntimeError("handler failed")
+        batches = self.calls.setdefault(offset, {})
+        for r in messages.collect():
+            batches.setdefault(r.offset, []).append(int(r.message_id))
+
+    @property
+    def sizes(self):
+        return {offset: {b: len(ids) for b, ids in sorted(call.items())} for offset, call in self.calls.items()}
+
+    @property
+    def seen(self):
+        return sorted(i for call in self.calls.values() for ids in call.values() for i in ids)
+
+
+@pytest.mark.parametrize("parts", [1, 30])
+def test_several_batches_are_handled_at_once(spark, root, options, monkeypatch, parts):
+    """Also over passes of two groups, and where files are small enough to be read directly."""
+    monkeypatch.setattr(slices, "AT_ONCE", 2)
+    fill(spark, root, 0, 40, parts=parts)
+    counter = Counter()
+    drain(spark, root, options, counter, max_messages=3, batches_at_once=4)
+    sizes = {1: 3, 2: 3, 3: 3, 4: 3}
+    later = [{b + 4 * i: 3 for b in sizes} for i in range(3)]
+    assert counter.sizes == {1: later[0], 5: later[1], 9: later[2], 13: {13: 3, 14: 1}}
+    assert counter.seen == list(range(40))
+    assert eligible(spark, Subscription.of(options)).isEmpty()
+    assert list_dirs(spark, Subscription.of(options).staging) == []
+
+
+def test_batches_given_together_come_together_again(spark, root, options):
+    """A handler may have written all of them before it failed."""
+    fill(spark, root, 0, 40)
+    counter, sub = Counter(fail_at=4), Subscription.of(options)
+    with pytest.raises(Exception, match="handler failed"):
+        drain(spark, root, options, counter, max_messages=2, batches_at_once=3)
+    assert eligible(spark, sub).count() == 34
+    counter.fail_at = 7
+    with pytest.raises(Exception, match="handler failed"):
+        drain(spark, root, options, counter, max_messages=2, batches_at_once=10)
+    assert [sorted(c) for c in counter.sizes.values()] == [[1, 2, 3], [4, 5, 6]]
+    counter.fail_at = None
+    drain(spark, root, options, counter, max_messages=2)
+    assert sorted(counter.sizes[7]) == list(range(7, 17)) and sorted(counter.sizes) == [1, 4, 7, 17, 18, 19, 20]
+    assert counter.seen == list(range(40)) and eligible(spark, sub).isEmpty()
+
+
+def test_batches_at_once_need_a_bound_in_messages(spark, root, options):
+    with pytest.raises(ValueError, match="max_messages"):
+        drain(spark, root, options, Counter(), batches_at_once=2)
+
+
 def test_the_stream_that_started_last_acknowledges(spark, root, options):
     fill(spark, root, 0, 10)
     sub, entered, released, late = Subscription.of(options), threading.Event(), threading.Event(), Keeper()

@@ -37,7 +37,7 @@ def pull_time(as_of: int | None) -> Column:
 
 
 def to_envelope(
-    messages: DataFrame, subscription: str, *, offset: int = -1, as_of: int | None = None
+    messages: DataFrame, subscription: str, *, offset: int | Column = -1, as_of: int | None = None
 ) -> DataFrame:
     """The envelope as one projection. ``offset`` is -1 where no batch is counted."""
     return messages.select(

@@ -5,6 +5,9 @@ the width of a slice are stored before the first slice is handled, so a replay c
 acknowledged by the number of slices done beside that, from which pulls tell the rows. Where
 slices are small parts of files, the files are read once for many slices and dealt to a directory a
 slice, so work follows the messages and not slices times files.
+
+Slices may be given to the handler several at a time. Which ones is stored before they are handled, so a
+replay gives the same ones together, whatever number it is asked for.
 """
 
 from __future__ import annotations
@@ -21,9 +24,9 @@ from topicflow.operators.state import Files, path_number, slice_plans
 from topicflow.options import Subscription
 from topicflow.schema import FILE_KEY, SLICE_SCHEMA
 from topicflow.sources.topic import read_publish_files
-from topicflow.storage import delete, make_dirs, write_once
+from topicflow.storage import delete, list_dirs, make_dirs, write_once
 
-#: Slices that one pass over their files is dealt to.
+#: Slices, or groups of slices that are handled together, that one pass over their files is dealt to.
 AT_ONCE = 200
 
 
@@ -100,9 +103,20 @@ def _table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(pa.table(dict(zip(SLICE_SCHEMA.names, arrays)))).coalesce(1)
 
 
-def finish(spark: SparkSession, made: Plan, k: int) -> None:
-    """Acknowledge slice ``k`` and with it all before."""
-    make_dirs(spark, f"{made.path}/_done/{k + 1}")
+def begin_group(spark: SparkSession, made: Plan, begin: int, end: int) -> None:
+    """Store that slices ``begin`` to before ``end`` are handled together."""
+    make_dirs(spark, f"{made.path}/_given/{begin}-{end}")
+
+
+def _begun(spark: SparkSession, made: Plan, done: int) -> int:
+    """The end of the group that was begun with slice ``done`` and not acknowledged; ``done`` if there is none."""
+    given = (map(int, name.split("-")) for name in list_dirs(spark, f"{made.path}/_given"))
+    return max((end for begin, end in given if begin == done), default=done)
+
+
+def finish(spark: SparkSession, made: Plan, end: int) -> None:
+    """Acknowledge all slices before ``end``."""
+    make_dirs(spark, f"{made.path}/_done/{end}")
 
 
 def _scan(spark: SparkSession, sub: Subscription, parts: list[Part]) -> DataFrame:
@@ -114,27 +128,45 @@ def _scan(spark: SparkSession, sub: Subscription, parts: list[Part]) -> DataFram
     return messages
 
 
-def read(spark: SparkSession, sub: Subscription, made: Plan, done: int) -> Iterator[tuple[int, DataFrame]]:
-    """Number and messages (with positions) of every slice but the first ``done``.
+def _numbered(spark: SparkSession, sub: Subscription, made: Plan, begin: int, end: int) -> DataFrame:
+    """The messages of slices ``begin`` to before ``end``, with positions and the slice of each (``_slice``)."""
+    parts = made.parts(begin, end)
+    messages = _scan(spark, sub, parts)
+    if end - begin == 1:
+        return messages.withColumn("_slice", F.lit(begin).cast("long"))
+    # one small row for each file that a trigger admits
+    bases = F.broadcast(_table(spark, [(p.publish_id, p.file_name, p.base, 0) for p in parts]).drop("messages"))
+    number = F.floor((F.col("base") + F.col("position")) / made.width)
+    return messages.join(bases, FILE_KEY).select(*messages.columns, number.alias("_slice"))
+
 
-    Files that are cut into more than two slices on average are dealt to slices in passes of ``AT_ONCE``.
+def read(
+    spark: SparkSession, sub: Subscription, made: Plan, done: int, at_once: int = 1
+) -> Iterator[tuple[int, int, DataFrame]]:
+    """Begin, end and messages (with positions and ``_slice``) of every group of ``at_once`` slices but the
+    first ``done`` slices; a group that was begun before comes as it was.
+
+    Files that are cut into more than two groups on average are dealt to groups in passes of ``AT_ONCE``.
     """
-    if made.count <= 2 * len(made.files):
-        for k in range(done, made.count):
-            yield k, _scan(spark, sub, made.parts(k, k + 1))
+    if done >= made.count:
+        return
+    begun = _begun(spark, made, done)
+    edges = sorted({done, *range(begun, made.count, at_once), made.count})
+    groups = list(zip(edges, edges[1:]))
+    if made.count <= 2 * len(made.files) * at_once:
+        for begin, end in groups:
+            yield begin, end, _numbered(spark, sub, made, begin, end)
         return
-    for begin in range(done, made.count, AT_ONCE):
-        end = min(begin + AT_ONCE, made.count)
-        parts = made.parts(begin, end)
-        messages = _scan(spark, sub, parts)
-        # one small row for each file that a trigger admits
-        bases = F.broadcast(_table(spark, [(p.publish_id, p.file_name, p.base, 0) for p in parts]).drop("messages"))
-        number = F.floor((F.col("base") + F.col("position")) / made.width)
-        dealt = messages.join(bases, FILE_KEY).select(*messages.columns, number.alias("_slice"))
+    for i in range(0, len(groups), AT_ONCE):
+        some = groups[i : i + AT_ONCE]
+        messages = _numbered(spark, sub, made, some[0][0], some[-1][1])
+        # the group that was begun before is -1, or else there is none
+        group = F.greatest(F.lit(-1), F.floor((F.col("_slice") - begun) / at_once))
         path = f"{sub.staging}/{uuid.uuid4().hex}"
-        dealt.write.partitionBy("_slice").parquet(path)
+        messages.withColumn("_group", group).write.partitionBy("_group").parquet(path)
         try:
-            for k in range(begin, end):
-                yield k, spark.read.schema(messages.schema).parquet(f"{path}/_slice={k}")
+            for begin, end in some:
+                number = (begin - begun) // at_once if begin >= begun else -1
+                yield begin, end, spark.read.schema(messages.schema).parquet(f"{path}/_group={number}")
         finally:
             delete(spark, path)

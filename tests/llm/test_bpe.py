@@ -1,11 +1,14 @@
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from topicflow.llm import bpe
+from topicflow.llm.common import slices
 from topicflow.llm.lexicon import Lexicon, compile_lexicon
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,3 +84,22 @@ def test_operator_and_digests(spark, library):
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         assert tuple(row) == (doc_id, len(ids), sha(",".join(map(str, ids))), sha(text or ""))
     assert bpe.encode_decode(df.limit(0), PATH).count() == 0
+
+
+def test_memory_of_a_task_does_not_follow_the_batch(spark, monkeypatch):
+    taken = {}
+    df = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
+    monkeypatch.setattr(bpe, "map_text", lambda rows, column, schema, start, *size: taken.update(start=start, size=size) or rows)
+    bpe.encode_decode(df, PATH)
+    words = [f"{a}{b}" for a in ("hello", "world", "again", "never") for b in range(500)]
+    text = " ".join(words[i * 7919 % len(words)] for i in range(600))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(600)), "text": [text] * 600})
+    each = taken["start"]()
+    each(batch.slice(0, 1))
+    tracemalloc.start()
+    try:
+        for part in slices([batch], "text", *taken["size"]):
+            each(part)
+        assert tracemalloc.get_traced_memory()[1] < 25_000_000
+    finally:
+        tracemalloc.stop()

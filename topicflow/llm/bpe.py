@@ -36,6 +36,8 @@ MIN_COUNT = 4
 REMEMBERED, UNIT = 450_000, 64
 #: Bytes of a word up to which words are merged side by side in a matrix.
 MATRIX_BYTES = 64
+#: Bytes of text that are encoded and decoded at a time: arrays of some numbers for each byte are held meanwhile.
+AT_ONCE = 500_000
 _NONE = np.int64(1) << 62
 
 
@@ -257,9 +259,9 @@ class Encoder:
 
 def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``flat[start : start + size]`` of each, one behind another."""
-    total = int(sizes.sum())
-    offset = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    return flat[offset + np.arange(total)], sizes
+    place = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    place += np.arange(len(place))
+    return flat.take(place), sizes
 
 
 def count_units(docs: DataFrame) -> DataFrame:
@@ -326,7 +328,7 @@ def encode_decode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS
         return each
 
     return map_text(
-        docs.select("doc_id", "text"), "text", f"doc_id {kind}, ids array<int>, decoded string", start
+        docs.select("doc_id", "text"), "text", f"doc_id {kind}, ids array<int>, decoded string", start, AT_ONCE
     )
 
 

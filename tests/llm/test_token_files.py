@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from topicflow.llm import repair as R
 from topicflow.llm import token_files as T
+from topicflow.llm.common import parts_between_spaces
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -162,3 +163,28 @@ def test_empty_tables_and_tables_of_empty_texts(spark):
     rows = spark.createDataFrame([(2, None), (1, "")], "doc_id bigint, text string")
     crc = zlib.crc32(bytes(4))
     assert sorted(map(tuple, T.token_files(rows, PATH).collect())) == [(1, 0, 1, crc), (2, 1, 1, crc)]
+
+
+def test_a_part_is_looked_up_once_for_many_texts():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    asked, own = ["one two three two one two"] * 50, encoder()
+    whole = own.encode(asked)
+    own.after_space = Counted(own.after_space)
+    assert own.encode(asked) == whole and len(set(whole)) == 1
+    assert Counted.asked <= 3
+
+
+def test_parts_between_spaces():
+    place, parts, edges = parts_between_spaces(["a b  a", "", "b\n é", " "])
+    assert [[parts[n] for n in place[a:b]] for a, b in zip(edges, edges[1:])] == [["a", "b", "", "a"], [""], ["b\n", "é"], ["", ""]]
+    assert len(parts) == len(set(parts)) == 5

@@ -16,9 +16,11 @@ import hashlib
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,7 +29,7 @@ from tokenizers import Tokenizer
 
 from topicflow.llm import repair
 from topicflow.llm.bpe import CUT, Vocabulary
-from topicflow.llm.common import parallelism, slices, stored
+from topicflow.llm.common import parallelism, parts_between_spaces, slices, stored
 from topicflow.storage import shared_scratch
 
 #: Ids of a shard: it closes with the document that reaches them.
@@ -44,7 +46,8 @@ class Encoder:
     """Ids of texts as little-endian 32-bit numbers.
 
     Texts that hold a special token are given to the library. Others are cut where its pre-tokenizer always
-    cuts, before a space that begins a word; the parts, and what they are merged to, are remembered.
+    cuts, before a space that begins a word. Distinct parts of many texts are looked up once, and what they are
+    merged to is remembered.
     """
 
     def __init__(self, described: str, vocabulary: Vocabulary):
@@ -52,78 +55,114 @@ class Encoder:
         self.tokenizer, self.vocabulary = Tokenizer.from_str(described), vocabulary
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.sizes = np.array([len(t) for t in vocabulary.tokens], np.int64)
+        self.token_sizes = np.array([len(t) for t in vocabulary.tokens], np.int64)
         # where merges make ids in ascending order, as here, an id is the rank of its bytes
         in_order = len({(v & 0xFFFFF) - (v >> 20) for v in vocabulary.ranked.values()}) == 1
         ranks = {t: i for i, t in enumerate(vocabulary.tokens) if i not in vocabulary.special.values()}
         self.ranked = tiktoken.Encoding("ranks", pat_str=CUT.pattern, mergeable_ranks=ranks, special_tokens={}) if in_order else None
-        #: Ids of a space and these characters, None if they do not begin a word; and of parts as they are.
-        self.after_space: dict[str, bytes | None] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Number of a part behind a space; where its ids stand in ``flat`` and how many they are, -1 if it begins no word.
+        self.after_space: dict[str, int] = {"": 0}
+        self.starts, self.sizes, self.flat = np.zeros(1, np.int64), np.full(1, -1, np.int64), np.zeros(0, np.uint32)
+        #: Ids of the parts that texts begin with.
         self.parts: dict[str, bytes] = {}
 
-    def _merged(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts that are cut like texts of their own, by exact merges."""
-        if not parts:
-            return []
+    def _merged(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts that are cut like texts of their own, by exact merges, and how many each has."""
         cut = [CUT.findall(p) for p in parts]
         number: dict[str, int] = {}
         place = np.array([number.setdefault(w, len(number)) for words in cut for w in words], np.int64)
         flat, starts, sizes = self.vocabulary.merge([w.encode() for w in number])
         ids = repair.gather(flat, starts[place], sizes[place])
         ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes[place])))
-        return _parted(ids, ends[np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))])
+        return ids, np.diff(ends[np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))], prepend=0)
 
-    def _spaced(self, parts: list[str]) -> list[bytes]:
-        """The same for parts that begin with a space and a word: together they are cut like one text."""
-        if not self.ranked or not parts:
-            return self._merged(parts)
+    def _spaced(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts that stand behind a space and begin a word: together they are cut like one text."""
+        text = " " + " ".join(parts)
+        if not self.ranked:
+            return self._merged([" " + p for p in parts])
         try:
-            ids = self.ranked.encode_to_numpy("".join(parts), disallowed_special=())
+            ids = self.ranked.encode_to_numpy(text, disallowed_special=())
         except ValueError:  # white space that its pattern cannot hold
-            return self._merged(parts)
-        ends = np.cumsum(self.sizes[ids])
-        octets = np.cumsum(np.fromiter((len(p.encode()) for p in parts), np.int64, len(parts)))
-        return _parted(ids, np.searchsorted(ends, octets) + 1)
-
-    def _learn(self, known: dict, fresh: set[str], space: bool) -> dict[str, bytes]:
-        """Remember parts; those that are too long are returned instead."""
-        asked = list(fresh)
-        found = dict(zip(asked, self._spaced([" " + p for p in asked]) if space else self._merged(asked)))
-        known.update((p, ids) for p, ids in found.items() if len(p) <= UNIT)
-        return {p: ids for p, ids in found.items() if len(p) > UNIT}
+            return self._merged([" " + p for p in parts])
+        ends = np.cumsum(self.token_sizes[ids])
+        octets = np.cumsum(pc.binary_length(pa.array(parts, pa.large_string())).to_numpy() + 1)
+        # the number of the last id that ends with each part
+        last = np.zeros(int(octets[-1]) + 1, bool)
+        last[octets] = True
+        return ids, np.diff(np.flatnonzero(last[ends]) + 1, prepend=0)
+
+    def _learn(self, fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts behind spaces, and how many each has (-1 if it begins no word); short ones are remembered."""
+        odd = {i for i, p in enumerate(fresh) if not p or p[0].isspace()}
+        words = [p for i, p in enumerate(fresh) if i not in odd] if odd else fresh
+        ids, each = self._spaced(words) if words else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        return ids.astype(np.uint32), np.insert(each, [i - n for n, i in enumerate(sorted(odd))], -1)
+
+    def _remember(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.after_space.update(zip(parts, range(len(self.after_space), len(self.after_space) + len(parts))))
+        each = np.maximum(sizes, 0)
+        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(each) - each))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.flat = np.concatenate((self.flat, ids))
+
+    def _found(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each part behind a space start and how many they are."""
+        number = np.fromiter(map(self.after_space.get, parts, repeat(-1)), np.int64, len(parts))
+        fresh = np.flatnonzero(number < 0)
+        if len(fresh):
+            length = np.fromiter(map(len, map(parts.__getitem__, fresh.tolist())), np.int64, len(fresh))
+            short, long = fresh[length <= UNIT], fresh[length > UNIT]
+            asked = list(map(parts.__getitem__, short.tolist()))
+            self._remember(asked, *self._learn(asked))
+            number[short] = np.arange(len(self.after_space) - len(asked), len(self.after_space))
+        starts, sizes, flat = self.starts.take(number, mode="clip"), self.sizes.take(number, mode="clip"), self.flat
+        if len(fresh) and len(long):  # these are not remembered
+            ids, sizes[long] = self._learn([parts[i] for i in long.tolist()])
+            each = np.maximum(sizes[long], 0)
+            starts[long] = len(flat) + np.cumsum(each) - each
+            flat = np.concatenate((flat, ids))
+        return flat, starts, sizes
+
+    def _first(self, parts: list[str]) -> list[bytes]:
+        """The ids of parts that texts begin with."""
+        fresh = list(set(parts).difference(self.parts))
+        found = dict(zip(fresh, _parted(*self._merged(fresh))))
+        self.parts.update((p, ids) for p, ids in found.items() if len(p) <= UNIT)
+        return [found[p] if p in found else self.parts[p] for p in parts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         if len(self.after_space) + len(self.parts) > REMEMBERED:
-            self.after_space.clear()
-            self.parts.clear()
+            self._forget()
         special = self.vocabulary.special
         whole = {i for i, t in enumerate(texts) if any(s in t for s in special)}
-        cut = [t.split(" ") if i not in whole else [""] for i, t in enumerate(texts)]
-        fresh = set().union(*(units[1:] for units in cut)).difference(self.after_space)
-        odd = {u for u in fresh if not u or u[0].isspace()}
-        self.after_space.update(dict.fromkeys(u for u in odd if len(u) <= UNIT))
-        long = self._learn(self.after_space, fresh - odd, True) | {u: None for u in odd if len(u) > UNIT}
-        first = self._learn(self.parts, {units[0] for units in cut}.difference(self.parts), False)
+        place, parts, edges = parts_between_spaces(["" if i in whole else t for i, t in enumerate(texts)])
+        flat, starts, sizes = self._found(parts)
+        heads = self._first([parts[i] for i in place[edges[:-1]].tolist()])
+        sizes = np.append(sizes, 0)
+        place[edges[:-1]] = len(parts)  # what a text begins with is in heads
+        odd = np.flatnonzero(sizes[place] < 0)  # spaces that begin no word
+        merged = set((np.searchsorted(edges, odd, "right") - 1).tolist())
+        sizes = np.maximum(sizes, 0)[place]
+        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))[edges]
+        rests = _parted(repair.gather(flat, np.append(starts, 0)[place], sizes), np.diff(ends))
         out = []
-        for i, (text, units) in enumerate(zip(texts, cut)):
+        for i, text in enumerate(texts):
             if i in whole:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-                continue
-            head = first[units[0]] if units[0] in first else self.parts[units[0]]
-            if long:
-                rest = [long[u] if u in long else self.after_space[u] for u in units[1:]]
+            elif i in merged:
+                out.append(_parted(*self._merged([text]))[0])
             else:
-                rest = map(self.after_space.__getitem__, units[1:])
-            try:
-                out.append(b"".join([head, *rest]))
-            except TypeError:  # a space that begins no word
-                out.append(self._merged([text])[0])
+                out.append(heads[i] + rests[i])
         return out
 
 
-def _parted(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
-    raw, edges = ids.astype("<u4").tobytes(), [0, *(4 * ends).tolist()]
+def _parted(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    raw, edges = ids.astype("<u4").tobytes(), [0, *(4 * np.cumsum(sizes)).tolist()]
     return [raw[a:b] for a, b in zip(edges, edges[1:])]
 
 

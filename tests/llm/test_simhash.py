@@ -99,3 +99,11 @@ def test_rows_without_an_id_stay(spark):
     kept = S.keep_first(df)
     assert kept.columns == df.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (0, "a b c d"), (0, "a b c d"), (1, "a b c d")]
+
+
+def test_what_an_explode_makes_is_not_broadcast(spark):
+    """Spark sizes it by the rows before."""
+    df = spark.createDataFrame([(v,) for v in range(200)], "fp bigint")
+    plan = S.links(df)._jdf.queryExecution().sparkPlan()
+    joins = [p for p in plan.toString().splitlines() if "Join" in p and "Inner" in p]
+    assert len(joins) == 2 and all("SortMergeJoin" in p for p in joins)

@@ -105,14 +105,15 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     small = table.join(large, ["segment", "value"], "left_anti")
     asked = probes.withColumnRenamed("fp", "other")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= MAX_BITS
-    pairs = small.join(asked, ["segment", "value"]).where((F.col("fp") != F.col("other")) & near)
+    # Spark sizes a table by its file, not by what an explode makes of it: left to it, 34 rows a fingerprint are broadcast
+    pairs = small.join(asked.hint("merge"), ["segment", "value"]).where((F.col("fp") != F.col("other")) & near)
     pairs = pairs.select(F.col("fp").alias("src"), F.col("other").alias("dst"))
 
     dense = probes.join(large, ["segment", "value"], "left_semi").select("fp").distinct()
     points = dense.select("fp", F.explode(_flips(F.col("fp"), range(64))).alias("point"))
     hubs = points.groupBy("point").agg(F.min("fp").alias("hub"), F.max("fp").alias("last"))
     hubs = hubs.where("hub <> last").select("point", "hub")
-    stars = points.join(hubs, "point").where(
+    stars = points.join(hubs.hint("merge"), "point").where(
         (F.col("fp") != F.col("hub"))
         & (F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= MAX_BITS)
     )
